@@ -191,3 +191,43 @@ def py_round_ratio(num, den, places: int = 3) -> Column:
         .otherwise(q % 2)  # exactly representable tie: half-even
     )
     return F.when(b == 0, F.lit(None).cast("double")).otherwise((q + up).cast("double") / F.lit(float(scale)))
+
+
+# ---------------------------------------------------------------------------------------------
+# The Unicode word-character class of the vocabulary pre-tokenizer (\w in Unicode
+# mode: letters, marks, decimal digits, letter numbers, connector punctuation, ZWNJ/ZWJ, and the
+# circled / squared Latin letters that are Alphabetic), and Unicode White_Space (Python's
+# whitespace minus U+001C..U+001F).
+WORD_CLASS_BODY = (
+    r"\p{L}\p{M}\p{Nd}\p{Nl}\p{Pc}\x{200c}\x{200d}\x{24b6}-\x{24e9}"
+    r"\x{1f130}-\x{1f149}\x{1f150}-\x{1f169}\x{1f170}-\x{1f189}"
+)
+WHITE_SPACE_BODY = (
+    r"\t\n\x0b\x0c\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+)
+# Word runs, or runs of anything that is neither a word character nor white space.
+PRETOKEN = f"[{WORD_CLASS_BODY}]+|[^{WORD_CLASS_BODY}{WHITE_SPACE_BODY}]+"
+# ---------------------------------------------------------------------------------------------
+
+
+def pretokens(c) -> Column:
+    """Split a text into word runs and punctuation runs (the BPE pre-tokenizer)."""
+    return F.regexp_extract_all(F.coalesce(_c(c), F.lit("")), F.lit(PRETOKEN), 0)
+
+
+def pretokens_with_specials(c, specials) -> Column:
+    """Pre-tokens where special-token strings are cut out first and kept whole.
+
+    A special token is matched before anything else at each position, and a run stops before a
+    special token begins, which is what extracting the specials first and pre-tokenizing the
+    pieces in between gives.
+    """
+    if not specials:
+        return pretokens(c)
+    import re as _re
+
+    alts = "|".join(_re.escape(s) for s in sorted(specials, key=len, reverse=True))
+    guard = f"(?!(?:{alts}))"
+    word = f"(?:{guard}[{WORD_CLASS_BODY}])+"
+    other = f"(?:{guard}[^{WORD_CLASS_BODY}{WHITE_SPACE_BODY}])+"
+    return F.regexp_extract_all(F.coalesce(_c(c), F.lit("")), F.lit(f"{alts}|{word}|{other}"), 0)

@@ -160,3 +160,23 @@ def funnel_select() -> str:
 def reason_counts_select(src: str = "c") -> str:
     cols = ["count(*) AS seen", "count_if(reason IS NULL) AS ok"] + [f"count_if(reason = '{r}') AS {r}" for r in REASONS]
     return "SELECT " + ", ".join(cols) + f" FROM {src}"
+
+
+def pretokens(x: str) -> str:
+    from corpusprep.functions.text import PRETOKEN
+
+    return f"regexp_extract_all(coalesce({x}, ''), '{PRETOKEN}')"
+
+
+def char_ids(x: str, offset: int = 5) -> str:
+    return f"list_transform(string_split({x}, ''), lambda ch: CAST(unicode(ch) + {offset} AS INTEGER))"
+
+
+def pad_truncate(ids: str, length: int, pad: int) -> str:
+    return f"list_slice(list_concat({ids}, list_resize([{pad}], {length}, {pad})), 1, {length})"
+
+
+CLEAN = (
+    "clean AS (SELECT row_key, " + strip("src") + " AS src, " + strip("tgt") + " AS tgt, src_len, tgt_len "
+    "FROM c WHERE reason IS NULL)"
+)

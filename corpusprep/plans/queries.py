@@ -239,3 +239,254 @@ def q_filter_funnel(spark, sf_dir):
 def q_turn_funnel(spark, sf_dir):
     c = Q.classify(conversation_pairs(spark, sf_dir), FilterConfig())
     return S.first_n_valid(c, FIRST_N, SEED).funnel
+
+
+# ---- shared inputs for layout / collation ------------------------------------------------------------
+
+from corpusprep.functions import arrays as A  # noqa: E402
+from corpusprep.operators import buckets as BK  # noqa: E402
+from corpusprep.operators import collate as CL  # noqa: E402
+from corpusprep.operators import evaluate as EV  # noqa: E402
+from corpusprep.sources.tables import table  # noqa: E402
+
+BATCH = 8
+WIDTH = 16
+L_SEQ = 64
+T_CTX = 32
+
+
+def _clean(spark, sf_dir):
+    """Valid pairs, stripped, with their word counts (the filtered corpus, full scan)."""
+    v = Q.filter_valid(_classified(spark, sf_dir))
+    return v.select("row_key", T.strip_text("src").alias("src"), T.strip_text("tgt").alias("tgt"), "src_len", "tgt_len")
+
+
+_CLEAN_SQL = f"WITH {O.PAIRS}, {O.classified('pairs', 'c')}, {O.CLEAN}"
+
+
+def _bucket_sql(drop_last: bool = False, epochs: int = 1) -> str:
+    ep = "(SELECT CAST(range AS INTEGER) AS epoch FROM range(" + str(epochs) + "))"
+    keep = f"WHERE cnt = {BATCH}" if drop_last else ""
+    return (
+        f"{_CLEAN_SQL}, e AS {ep}, "
+        "b AS (SELECT clean.row_key, e.epoch, CAST(floor(src_len / " + str(WIDTH) + ") AS INTEGER) AS bucket_id, "
+        "row_number() OVER (PARTITION BY e.epoch, CAST(floor(src_len / " + str(WIDTH) + ") AS INTEGER) "
+        "ORDER BY md5(CAST(42 + e.epoch AS VARCHAR) || ':' || CAST(clean.row_key AS VARCHAR)), clean.row_key) AS rn "
+        "FROM clean, e), "
+        f"ch AS (SELECT *, CAST((rn - 1) // {BATCH} AS INTEGER) AS chunk, CAST((rn - 1) % {BATCH} AS INTEGER) AS pos FROM b), "
+        "k AS (SELECT epoch, bucket_id, chunk, count(*) AS cnt FROM ch GROUP BY ALL), "
+        "o AS (SELECT epoch, bucket_id, chunk, row_number() OVER (PARTITION BY epoch ORDER BY chunk, bucket_id) - 1 AS batch_index "
+        f"FROM k {keep}), "
+        "bb AS (SELECT ch.row_key, ch.epoch, ch.bucket_id, CAST(ch.rn AS BIGINT) AS rn, ch.chunk, ch.pos, "
+        "CAST(o.batch_index AS BIGINT) AS batch_index FROM ch JOIN o USING (epoch, bucket_id, chunk))"
+    )
+
+
+def _batches(spark, sf_dir, drop_last=False, epochs=1):
+    b = BK.bucket_batches(_clean(spark, sf_dir), "src_len", BATCH, WIDTH, drop_last=drop_last, seed=SEED, epochs=epochs)
+    return b.select(
+        "row_key", F.col("epoch").cast("int").alias("epoch"), "bucket_id", F.col("rn").cast("long").alias("rn"),
+        "chunk", "pos", F.col("batch_index").cast("long").alias("batch_index"),
+    )
+
+
+# ---- F: bucketing ------------------------------------------------------------------------------------
+
+
+@register(
+    "bucket_id",
+    f"{_CLEAN_SQL} SELECT row_key, src_len, CAST(floor(src_len / {WIDTH}) AS INTEGER) AS bucket_id FROM clean",
+)
+def q_bucket_id(spark, sf_dir):
+    return _clean(spark, sf_dir).select("row_key", "src_len", BK.bucket_id("src_len", WIDTH).alias("bucket_id"))
+
+
+@register("bucket_shuffle", f"{_bucket_sql()} SELECT row_key, epoch, bucket_id, CAST(rn AS BIGINT) AS rn FROM b")
+def q_bucket_shuffle(spark, sf_dir):
+    s = BK.bucket_shuffle(_clean(spark, sf_dir), "src_len", WIDTH, SEED)
+    return s.select("row_key", F.col("epoch").cast("int").alias("epoch"), "bucket_id", F.col("rn").cast("long").alias("rn"))
+
+
+@register("bucket_batches", f"{_bucket_sql()} SELECT * FROM bb")
+def q_bucket_batches(spark, sf_dir):
+    return _batches(spark, sf_dir)
+
+
+@register("drop_last", f"{_bucket_sql(drop_last=True)} SELECT * FROM bb")
+def q_drop_last(spark, sf_dir):
+    return _batches(spark, sf_dir, drop_last=True)
+
+
+@register("epoch_plan", f"{_bucket_sql(epochs=2)} SELECT * FROM bb")
+def q_epoch_plan(spark, sf_dir):
+    return _batches(spark, sf_dir, epochs=2)
+
+
+@register(
+    "batch_count",
+    f"{_CLEAN_SQL}, k AS (SELECT floor(src_len / {WIDTH}) AS b, count(*) AS cnt FROM clean GROUP BY 1) "
+    f"SELECT CAST(coalesce(sum(ceil(cnt / {BATCH})), 0) AS BIGINT) AS n_batches, "
+    f"CAST(coalesce((sum(cnt) + {BATCH - 1}) // {BATCH}, 0) AS BIGINT) AS batch_count_estimate FROM k",
+)
+def q_batch_count(spark, sf_dir):
+    return BK.batch_count(_clean(spark, sf_dir), "src_len", BATCH, WIDTH)
+
+
+# ---- H: collation (character-level stand-in ids) --------------------------------------------------------
+
+
+def _ids(spark, sf_dir):
+    c = _clean(spark, sf_dir)
+    return c.select("row_key", A.char_ids("src").alias("src_ids"), A.char_ids("tgt").alias("tgt_ids"))
+
+
+_IDS_SQL = f"{_CLEAN_SQL}, ids AS (SELECT row_key, {O.char_ids('src')} AS src_ids, {O.char_ids('tgt')} AS tgt_ids FROM clean)"
+_PADDED_SQL = f"{_IDS_SQL}, pt AS (SELECT row_key, {O.pad_truncate('src_ids', L_SEQ, CL.PAD_ID)} AS enc, {O.pad_truncate('tgt_ids', L_SEQ, CL.PAD_ID)} AS tgt FROM ids)"
+
+
+@register("pad_truncate", f"{_PADDED_SQL} SELECT row_key, enc AS encoder_input_ids FROM pt")
+def q_pad_truncate(spark, sf_dir):
+    return _ids(spark, sf_dir).select("row_key", A.pad_truncate("src_ids", L_SEQ, CL.PAD_ID).alias("encoder_input_ids"))
+
+
+@register(
+    "decoder_input",
+    f"{_PADDED_SQL} SELECT row_key, list_concat([{CL.BOS_ID}], list_slice(tgt, 1, {L_SEQ - 1})) AS decoder_input_ids FROM pt",
+)
+def q_decoder_input(spark, sf_dir):
+    t = A.pad_truncate("tgt_ids", L_SEQ, CL.PAD_ID)
+    return _ids(spark, sf_dir).select("row_key", A.decoder_input(t, L_SEQ, CL.BOS_ID).alias("decoder_input_ids"))
+
+
+@register(
+    "labels",
+    f"{_PADDED_SQL} SELECT row_key, list_concat(list_slice(tgt, 1, {L_SEQ - 1}), [{CL.EOS_ID}]) AS labels FROM pt",
+)
+def q_labels(spark, sf_dir):
+    t = A.pad_truncate("tgt_ids", L_SEQ, CL.PAD_ID)
+    return _ids(spark, sf_dir).select("row_key", A.labels(t, L_SEQ, CL.EOS_ID).alias("labels"))
+
+
+@register(
+    "attention_mask",
+    f"{_PADDED_SQL} SELECT row_key, list_transform(enc, lambda x: x <> {CL.PAD_ID}) AS encoder_attn_mask, "
+    f"list_transform(list_concat([{CL.BOS_ID}], list_slice(tgt, 1, {L_SEQ - 1})), lambda x: x <> {CL.PAD_ID}) AS decoder_attn_mask FROM pt",
+)
+def q_attention_mask(spark, sf_dir):
+    c = CL.collate_rows(_ids(spark, sf_dir), l_src=L_SEQ, l_tgt=L_SEQ)
+    return c.select("row_key", "encoder_attn_mask", "decoder_attn_mask")
+
+
+@register(
+    "pad_to_batch_max",
+    f"{_bucket_sql()}, {_IDS_SQL[len(_CLEAN_SQL) + 2:]}, j AS (SELECT bb.epoch, bb.batch_index, bb.row_key, "
+    f"list_slice(ids.src_ids, 1, {L_SEQ}) AS t FROM bb JOIN ids USING (row_key)) "
+    f"SELECT epoch, batch_index, row_key, list_resize(t, max(len(t)) OVER (PARTITION BY epoch, batch_index), {CL.PAD_ID}) AS ids FROM j",
+)
+def q_pad_to_batch_max(spark, sf_dir):
+    b = _batches(spark, sf_dir).select("row_key", "epoch", "batch_index")
+    j = b.join(_ids(spark, sf_dir), "row_key").select(
+        "epoch", "batch_index", "row_key", F.slice("src_ids", 1, L_SEQ).alias("ids")
+    )
+    return CL.pad_to_batch_max(j, "ids", ["epoch", "batch_index"])
+
+
+@register(
+    "pack_batches",
+    f"{_bucket_sql()}, {_PADDED_SQL[len(_CLEAN_SQL) + 2:]}, r AS (SELECT bb.epoch, bb.batch_index, bb.pos, "
+    f"CAST(pt.enc AS INTEGER[]) AS encoder_input_ids, CAST(list_concat([{CL.BOS_ID}], list_slice(pt.tgt, 1, {L_SEQ - 1})) AS INTEGER[]) AS decoder_input_ids, "
+    f"CAST(list_concat(list_slice(pt.tgt, 1, {L_SEQ - 1}), [{CL.EOS_ID}]) AS INTEGER[]) AS labels FROM bb JOIN pt USING (row_key)) "
+    "SELECT epoch, batch_index, count(*) AS batch_rows, list(encoder_input_ids ORDER BY pos) AS encoder_input_ids, "
+    "list(decoder_input_ids ORDER BY pos) AS decoder_input_ids, list(labels ORDER BY pos) AS labels, "
+    f"{CL.PAD_ID} AS pad_id FROM r GROUP BY epoch, batch_index",
+)
+def q_pack_batches(spark, sf_dir):
+    b = _batches(spark, sf_dir).select("row_key", "epoch", "batch_index", "pos")
+    rows = CL.collate_rows(b.join(_ids(spark, sf_dir), "row_key"), l_src=L_SEQ, l_tgt=L_SEQ)
+    return CL.pack_batches(rows, ["epoch", "batch_index"], fields=["encoder_input_ids", "decoder_input_ids", "labels"])
+
+
+@register(
+    "next_token_pairs",
+    "WITH d AS (SELECT doc_id, " + O.char_ids("coalesce(text, '')") + " AS ids FROM documents WHERE length(coalesce(text, '')) >= 2), "
+    f"w AS (SELECT doc_id, ids, CAST(k.range AS INTEGER) AS k FROM d, range(0, CAST(ceil((len(ids) - 1) / {T_CTX}) AS BIGINT)) AS k) "
+    f"SELECT doc_id, k AS window, list_slice(ids, k * {T_CTX} + 1, k * {T_CTX} + {T_CTX}) AS x, "
+    f"list_slice(ids, k * {T_CTX} + 2, k * {T_CTX} + {T_CTX} + 1) AS y FROM w",
+)
+def q_next_token_pairs(spark, sf_dir):
+    d = table(spark, sf_dir, "documents").select("doc_id", A.char_ids("text").alias("ids")).where(F.size("ids") >= 2)
+    n_win = F.ceil((F.size("ids") - 1) / F.lit(T_CTX)).cast("int")
+    w = d.select("doc_id", "ids", F.explode(F.sequence(F.lit(0), n_win - 1)).alias("window"))
+    start = F.col("window") * T_CTX
+    return w.select(
+        "doc_id", "window",
+        F.slice("ids", start + 1, F.lit(T_CTX)).alias("x"),
+        F.slice("ids", start + 2, F.lit(T_CTX)).alias("y"),
+    )
+
+
+@register(
+    "cast_long_arrays",
+    f"{_IDS_SQL} SELECT row_key, CAST(src_ids AS BIGINT[]) AS src_ids, CAST(tgt_ids AS BIGINT[]) AS tgt_ids FROM ids",
+)
+def q_cast_long_arrays(spark, sf_dir):
+    i = _ids(spark, sf_dir)
+    return i.select("row_key", A.as_int64("src_ids").alias("src_ids"), A.as_int64("tgt_ids").alias("tgt_ids"))
+
+
+# ---- E5 / E6: scoring ----------------------------------------------------------------------------------
+
+_SCORED_SQL = (
+    "WITH s AS (SELECT vec_id AS seq_id, CAST(embedding AS DOUBLE[]) AS scores, "
+    "((label % len(embedding)) + len(embedding)) % len(embedding) AS target FROM embeddings WHERE len(embedding) > 0)"
+)
+
+
+@register(
+    "token_accuracy",
+    f"{_SCORED_SQL} SELECT count(*) AS n_tokens, round(avg(CASE WHEN list_position(scores, list_max(scores)) - 1 = target "
+    "THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END), 9) AS token_accuracy FROM s",
+)
+def q_token_accuracy(spark, sf_dir):
+    return EV.token_accuracy(EV.scored_tokens(table(spark, sf_dir, "embeddings")))
+
+
+@register(
+    "mean_nll",
+    f"{_SCORED_SQL} SELECT count(*) AS n_tokens, round(avg(ln(list_sum(list_transform(scores, lambda x: exp(x - list_max(scores))))) "
+    "+ list_max(scores) - scores[target + 1]), 9) AS mean_nll FROM s",
+)
+def q_mean_nll(spark, sf_dir):
+    return EV.mean_nll(EV.scored_tokens(table(spark, sf_dir, "embeddings")))
+
+
+# ---- G1-G3: corpus texts, pre-tokens, word counts ----------------------------------------------------------
+
+
+@register(
+    "corpus_texts",
+    f"{_CLEAN_SQL} SELECT row_key, 0 AS side, src AS text FROM clean UNION ALL SELECT row_key, 1 AS side, tgt AS text FROM clean",
+)
+def q_corpus_texts(spark, sf_dir):
+    from corpusprep.operators.vocab import corpus_texts
+
+    return corpus_texts(_clean(spark, sf_dir), key="row_key")
+
+
+@register(
+    "pretokenize",
+    f"SELECT doc_id, CAST(pos - 1 AS INTEGER) AS pos, tok AS token FROM documents, unnest({O.pretokens('text')}) WITH ORDINALITY AS t(tok, pos)",
+)
+def q_pretokenize(spark, sf_dir):
+    d = table(spark, sf_dir, "documents")
+    return d.select("doc_id", F.posexplode(T.pretokens("text")).alias("pos", "token"))
+
+
+@register(
+    "word_freq",
+    f"SELECT tok AS word, count(*) AS freq FROM documents, unnest({O.pretokens('text')}) AS t(tok) GROUP BY tok",
+)
+def q_word_freq(spark, sf_dir):
+    from corpusprep.operators.vocab import word_freq
+
+    return word_freq(table(spark, sf_dir, "documents").select("text"), "text")
