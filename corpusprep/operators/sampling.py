@@ -108,12 +108,18 @@ def shuffle_positions(df: DataFrame, seed: int = 42, key: str = "row_key") -> Da
     return rank_within(keyed, ["_g"], "skey", key, out="position").drop("_g")
 
 
+def draw_position(seed: int, draw, n: int):
+    """1-based position of draw ``j``: ``1 + (first 60 bits of md5('<seed>:draw:<j>') mod n)``."""
+    h = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:draw:"), draw.cast("string"))), 1, 15), 16, 10).cast("long")
+    return F.pmod(h, F.lit(n)) + 1
+
+
 def sample_with_replacement(df: DataFrame, b: int, seed: int = 42, key: str = "row_key") -> DataFrame:
-    """``b`` draws, uniform with replacement, as an exact count.
+    """Exactly ``b`` draws, uniform with replacement.
 
-    Each row gets its position in the seeded order (skew-safe ranking); draw ``j`` picks position
-    ``1 + (hash(seed, j) mod N)``. The draws are generated by ``range`` and joined on position,
-    so neither side passes through the driver. ``N`` is one count.
+    Rows get their 1-based position in the seeded order (skew-safe ranking, no single-task
+    window); draw ``j`` picks a hashed position. The draws come from ``range`` and are joined on
+    position, so nothing passes through the driver except the row count ``N``.
     """
     from corpusprep.operators.ranking import rank_within
 
@@ -122,11 +128,8 @@ def sample_with_replacement(df: DataFrame, b: int, seed: int = 42, key: str = "r
         raise ValueError("cannot draw from an empty input")
     keyed = add_shuffle_key(df, seed, key).withColumn("_g", F.lit(0))
     ranked = rank_within(keyed, ["_g"], "skey", key, out="position").drop("_g")
-    spark = df.sparkSession
-    draws = spark.range(b).select(
-        F.col("id").alias("draw"),
-        (F.pmod(F.xxhash64(F.lit(seed), F.col("id")), F.lit(n)) + 1).alias("position"),
-    )
+    ranked = ranked.withColumn("position", F.col("position").cast("long"))
+    draws = df.sparkSession.range(b).select(F.col("id").alias("draw"), draw_position(seed, F.col("id"), n).alias("position"))
     return draws.join(ranked, "position", "inner")
 
 

@@ -490,3 +490,305 @@ def q_word_freq(spark, sf_dir):
     from corpusprep.operators.vocab import word_freq
 
     return word_freq(table(spark, sf_dir, "documents").select("text"), "text")
+
+
+# ---- A: files, hub, streams -------------------------------------------------------------------------------
+
+from corpusprep.session import shared_path  # noqa: E402
+from corpusprep.sources import jsonl as J  # noqa: E402
+
+_PAIRS_SQL = f"WITH {O.PAIRS} SELECT row_key, src, tgt FROM pairs"
+
+
+def _nested(df: DataFrame) -> DataFrame:
+    return df.select("row_key", F.struct(F.col("src").alias("en"), F.col("tgt").alias("fr")).alias("translation"))
+
+
+@register("scan_pairs", _PAIRS_SQL)
+def q_scan_pairs(spark, sf_dir):
+    """A1: documents written as nested JSON Lines, scanned back with an explicit schema."""
+    path = shared_path(spark, "scan_pairs")
+    J.write_jsonl_exclusive(_nested(documents_pairs(spark, sf_dir)), path)
+    return J.scan_pairs(spark, path, extra=T_ROWKEY)
+
+
+@register("flatten_translation", _PAIRS_SQL)
+def q_flatten_translation(spark, sf_dir):
+    """A4: one folder holding both shapes - English documents nested, the others flat."""
+    p = documents_pairs(spark, sf_dir)
+    nested = F.when(F.col("lang") == "en", F.struct(F.col("src").alias("en"), F.col("tgt").alias("fr")))
+    flat_en = F.when(F.col("lang") != "en", F.col("src"))
+    flat_fr = F.when(F.col("lang") != "en", F.col("tgt"))
+    path = shared_path(spark, "flatten")
+    J.write_jsonl_exclusive(p.select("row_key", nested.alias("translation"), flat_en.alias("en"), flat_fr.alias("fr")), path)
+    return J.scan_pairs(spark, path, extra=T_ROWKEY)
+
+
+@register(
+    "sink_jsonl_exclusive",
+    f"WITH {O.PAIRS}, {O.classified('pairs', 'c')}, s AS (SELECT {O.strip('src')} AS src, {O.strip('tgt')} AS tgt "
+    f"FROM c WHERE reason IS NULL) SELECT {O.content_idx('src', 'tgt')} AS idx, src, tgt FROM s",
+)
+def q_sink_jsonl_exclusive(spark, sf_dir):
+    """A2: clean pairs written with create-only semantics and read back."""
+    path = shared_path(spark, "sink")
+    J.write_jsonl_exclusive(Q.project_clean(Q.filter_valid(_classified(spark, sf_dir))), path)
+    return spark.read.schema("idx string, src string, tgt string").json(path)
+
+
+@register("export_jsonl", ORACLE["sink_jsonl_exclusive"])
+def q_export_jsonl(spark, sf_dir):
+    """A3: export with ASCII escapes; reading back gives the same strings."""
+    path = shared_path(spark, "export")
+    J.export_jsonl(Q.project_clean(Q.filter_valid(_classified(spark, sf_dir))), path, ensure_ascii=True)
+    return spark.read.schema("idx string, src string, tgt string").json(path)
+
+
+@register("source_by_language_split", f"WITH {O.PAIRS} SELECT row_key, src, tgt, lang, 'train' AS split FROM pairs")
+def q_source_by_language_split(spark, sf_dir):
+    """A5: documents laid out as a hub dataset (lang / split folders) and read back through it."""
+    root = shared_path(spark, "hub")
+    p = documents_pairs(spark, sf_dir)
+    hub_rows = _nested(p).join(p.select("row_key", "lang"), "row_key").withColumn("split", F.lit("train"))
+    J.write_hub(hub_rows, root, "documents")
+    return J.read_hub(spark, root, "documents", extra=T_ROWKEY)
+
+
+from pyspark.sql import types as _T  # noqa: E402
+
+T_ROWKEY = _T.StructType([_T.StructField("row_key", _T.LongType())])
+
+
+def _stream_input(spark, sf_dir, files: int = 4) -> str:
+    path = shared_path(spark, "stream_in")
+    _nested(documents_pairs(spark, sf_dir)).repartition(files, "row_key").write.json(path)
+    return path
+
+
+@register("stream_ingest", ORACLE["reject_reason"])
+def q_stream_ingest(spark, sf_dir):
+    """Documents arriving as files, one file per trigger; classified rows sink."""
+    from corpusprep.streaming.ingest import stream_ingest
+
+    src = _stream_input(spark, sf_dir)
+    out, ck = shared_path(spark, "stream_out"), shared_path(spark, "stream_ck")
+    ing = stream_ingest(spark, src, out, ck, FilterConfig(), max_files_per_trigger=1, totals_name=None)
+    ing.await_done()
+    return spark.read.parquet(ing.rows_path).select("row_key", "src_len", "tgt_len", "reason")
+
+
+@register("stream_totals", ORACLE["reason_counts"])
+def q_stream_totals(spark, sf_dir):
+    """Running funnel totals (complete mode) after the stream has drained."""
+    from corpusprep.streaming.ingest import stream_ingest
+
+    src = _stream_input(spark, sf_dir)
+    out, ck = shared_path(spark, "stream_out"), shared_path(spark, "stream_ck")
+    ing = stream_ingest(spark, src, out, ck, FilterConfig(), max_files_per_trigger=1, totals_name=None)
+    ing.await_done()
+    return spark.read.parquet(ing.totals_path).select("seen", "ok", *Q.REASONS)
+
+
+@register("stream_take")
+def q_stream_take(spark, sf_dir):
+    """The first SAMPLE_N rows of a stream of pairs (order = file arrival order)."""
+    from corpusprep.streaming.ingest import stream_pairs, stream_take
+
+    src = _stream_input(spark, sf_dir)
+    out, ck = shared_path(spark, "take_out"), shared_path(spark, "take_ck")
+    q = (
+        stream_take(stream_pairs(spark, src, max_files_per_trigger=1), SAMPLE_N)
+        .writeStream.format("parquet").option("path", out).option("checkpointLocation", ck)
+        .outputMode("append").trigger(availableNow=True).start()
+    )
+    q.awaitTermination()
+    return spark.read.parquet(out)
+
+
+# ---- B5, E2b ---------------------------------------------------------------------------------------------
+
+
+@register(
+    "sample_with_replacement",
+    f"WITH {O.PAIRS}, r AS (SELECT row_key, row_number() OVER (ORDER BY {O.shuffle_key(SEED, 'row_key')}, row_key) AS position FROM pairs), "
+    "n AS (SELECT count(*) AS n FROM pairs), "
+    f"d AS (SELECT range AS draw, 1 + ((CAST(('0x' || substr(md5('{SEED}:draw:' || CAST(range AS VARCHAR)), 1, 15)) AS BIGINT) % n.n) + n.n) % n.n AS position "
+    "FROM range((SELECT n FROM n)), n) "
+    "SELECT d.draw, CAST(d.position AS BIGINT) AS position, r.row_key FROM d JOIN r USING (position)",
+)
+def q_sample_with_replacement(spark, sf_dir):
+    """As many draws as rows (a bootstrap resample of the whole table)."""
+    p = documents_pairs(spark, sf_dir).select("row_key")
+    n = p.count()
+    return S.sample_with_replacement(p, n, SEED).select("draw", "position", "row_key")
+
+
+@register(
+    "series_summary",
+    f"WITH {O.PAIRS} SELECT 'seq_len_data' AS key, count(*) AS rows FROM pairs "
+    "UNION ALL SELECT 'reject_reasons' AS key, count(*) AS rows FROM pairs",
+)
+def q_series_summary(spark, sf_dir):
+    from corpusprep.operators.profile import SeriesStore
+
+    p = documents_pairs(spark, sf_dir)
+    store = SeriesStore().add("seq_len_data", length_series(p)).add(
+        "reject_reasons", _classified(spark, sf_dir).select("row_key", "reason")
+    )
+    store = store.add("scratch", p.select("row_key")).remove("scratch")
+    return store.info()
+
+
+# ---- I / J: catalog and jobs ------------------------------------------------------------------------------
+
+from corpusprep.config import RawConfig, VocabConfig  # noqa: E402
+from corpusprep.plans import jobs as JB  # noqa: E402
+from corpusprep.plans.catalog import Catalog  # noqa: E402
+
+_STATE: dict = {}
+
+
+def _catalog_with_jobs(spark, sf_dir) -> tuple[Catalog, str, str]:
+    """A catalog in the shared folder holding the raw extraction of the documents view and its
+    filtered set (n = FIRST_N)."""
+    key = ("catalog", sf_dir, id(spark))
+    if key in _STATE:
+        return _STATE[key]
+    cat = Catalog(spark, shared_path(spark, "catalog"))
+    raw = JB.extract_job(documents_pairs(spark, sf_dir), RawConfig(split="train"), cat)
+    filt = JB.filter_job(cat, raw.id, n=FIRST_N)
+    _STATE[key] = (cat, raw.id, filt.id)
+    return _STATE[key]
+
+
+@register(
+    "extract_job",
+    f"WITH {O.PAIRS} SELECT row_key, {O.shuffle_key(SEED, 'row_key')} AS skey, src, tgt, "
+    f"{O.word_count('src')} AS src_len, {O.word_count('tgt')} AS tgt_len FROM pairs "
+    f"ORDER BY skey, row_key LIMIT {RawConfig().n}",
+)
+def q_extract_job(spark, sf_dir):
+    """Seeded sample of the default n (50,000) rows, stored with its lengths."""
+    cat, raw_id, _ = _catalog_with_jobs(spark, sf_dir)
+    return cat.get(raw_id).rows
+
+
+@register(
+    "filter_job",
+    f"WITH {O.PAIRS}, {O.first_n_window(FIRST_N, SEED)}, s AS (SELECT {O.strip('src')} AS src, {O.strip('tgt')} AS tgt "
+    f"FROM win WHERE reason IS NULL) SELECT {O.content_idx('src', 'tgt')} AS idx, src, tgt FROM s",
+)
+def q_filter_job(spark, sf_dir):
+    """The raw set filtered: first FIRST_N valid pairs of the seeded walk as idx, src, tgt."""
+    cat, _, filt_id = _catalog_with_jobs(spark, sf_dir)
+    return cat.get(filt_id).rows
+
+
+@register("catalog_show")
+def q_catalog_show(spark, sf_dir):
+    """The registry (manifests only)."""
+    cat, _, _ = _catalog_with_jobs(spark, sf_dir)
+    return cat.show()
+
+
+@register("registry_predicate")
+def q_registry_predicate(spark, sf_dir):
+    """Registry filtered by stage and split."""
+    cat, _, _ = _catalog_with_jobs(spark, sf_dir)
+    return cat.show(stage="filtered", split="train")
+
+
+@register("dataset_info")
+def q_dataset_info(spark, sf_dir):
+    """The short description of the filtered set."""
+    cat, _, filt_id = _catalog_with_jobs(spark, sf_dir)
+    return cat.info(filt_id)
+
+
+@register("run_metrics")
+def q_run_metrics(spark, sf_dir):
+    """Start, end, duration and throughput of both builds, from their manifests."""
+    cat, _, _ = _catalog_with_jobs(spark, sf_dir)
+    m = cat.manifests()
+    return m.select(
+        "id", "stage",
+        F.get_json_object("metrics", "$.started_at").cast("timestamp").alias("started_at"),
+        F.get_json_object("metrics", "$.ended_at").cast("timestamp").alias("ended_at"),
+        F.get_json_object("metrics", "$.duration").cast("double").alias("duration"),
+        F.get_json_object("metrics", "$.throughput").cast("double").alias("throughput"),
+        F.get_json_object("metrics", "$.seen").cast("long").alias("seen"),
+        F.get_json_object("metrics", "$.n").cast("long").alias("n"),
+    )
+
+
+@register("catalog_audit")
+def q_catalog_audit(spark, sf_dir):
+    """Remove a dataset, check existence, and audit the catalog for orphans."""
+    cat, raw_id, filt_id = _catalog_with_jobs(spark, sf_dir)
+    assert cat.exists(raw_id) and cat.exists(filt_id)
+    return cat.audit()
+
+
+# ---- G4-G7, J3, J4 with a learned vocabulary -----------------------------------------------------------------
+
+BPE_MERGES = 100  # merges learned by the registered vocabulary queries
+
+
+def _model(spark, sf_dir):
+    key = ("bpe", sf_dir, id(spark))
+    if key not in _STATE:
+        from corpusprep.operators.vocab import corpus_texts, learn_bpe
+
+        _STATE[key] = learn_bpe(corpus_texts(_clean(spark, sf_dir)), VocabConfig(), max_merges=BPE_MERGES)
+    return _STATE[key]
+
+
+@register("bpe_learn")
+def q_bpe_learn(spark, sf_dir):
+    """The first BPE_MERGES merges learned from the filtered corpus (exact rules)."""
+    return _model(spark, sf_dir).merges_df(spark)
+
+
+@register("vocab_table")
+def q_vocab_table(spark, sf_dir):
+    """Token -> id."""
+    return _model(spark, sf_dir).vocab_df(spark)
+
+
+@register("vocab_job")
+def q_vocab_job(spark, sf_dir):
+    """Filtered set from the catalog -> vocabulary saved as tables -> loaded back."""
+    from corpusprep.operators.vocab import BpeModel
+
+    cat, _, filt_id = _catalog_with_jobs(spark, sf_dir)
+    path = shared_path(spark, "vocab")
+    JB.vocab_job(cat, filt_id, path, VocabConfig(), max_merges=BPE_MERGES)
+    return BpeModel.load(spark, path).merges_df(spark)
+
+
+@register("encode")
+def q_encode(spark, sf_dir):
+    """Source and target texts of the filtered corpus as ids."""
+    from corpusprep.operators.vocab import encode
+
+    m = _model(spark, sf_dir)
+    c = _clean(spark, sf_dir).select("row_key", "src", "tgt")
+    return encode(encode(c, m, "src", "src_ids"), m, "tgt", "tgt_ids").select("row_key", "src_ids", "tgt_ids")
+
+
+@register("decode")
+def q_decode(spark, sf_dir):
+    """Ids back to space-joined tokens."""
+    from corpusprep.operators.vocab import decode, encode
+
+    m = _model(spark, sf_dir)
+    c = encode(_clean(spark, sf_dir).select("row_key", "src"), m, "src", "ids")
+    return decode(c, m, "ids", "row_key").select("row_key", "decoded")
+
+
+@register("batch_job")
+def q_batch_job(spark, sf_dir):
+    """Filtered corpus -> BPE ids -> length buckets -> collated, packed batches."""
+    m = _model(spark, sf_dir)
+    return JB.batch_job(_clean(spark, sf_dir).select("row_key", "src", "tgt"), m, batch_size=BATCH, bucket_width=WIDTH,
+                        l_src=L_SEQ, l_tgt=L_SEQ)
