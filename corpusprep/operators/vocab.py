@@ -1,10 +1,10 @@
 """Byte-pair-encoding vocabulary: corpus texts, word counts, learning, encoding, decoding.
 
 Learning runs as Spark rounds over the *distinct-word table* ``(sym, freq)``; ``sym`` is the
-word's current symbol sequence written as ``" id id id "`` (ids separated and framed by spaces):
+word's current symbol sequence as ``array<int>``:
 
-* pair counts - ``regexp_extract_all`` with a look-ahead yields every adjacent ``"l r"`` pair,
-  ``explode`` + ``groupBy(pair).sum(freq)`` counts them (map-side combined), and a
+* pair counts - ``arrays_zip`` of the array with itself shifted by one yields every adjacent
+  pair, ``explode`` + ``groupBy(l, r).sum(freq)`` counts them (map-side combined), and a
   ``TakeOrderedAndProject`` returns the top ``k`` pairs by (count desc, left id, right id). Only
   those ``k`` rows reach the driver.
 * merge selection - the driver accepts a *batch* of merges per round, a prefix of that list
@@ -13,8 +13,10 @@ word's current symbol sequence written as ``" id id id "`` (ids separated and fr
   can outrank it (a new pair ``(x, N)`` counts at most ``min(count(l, r), max count of (x, l))``;
   a new pair ``(N, y)`` loses ties because ``N`` is the largest id). A merge whose token already
   exists (a reused id) ends the batch.
-* rewriting - each accepted merge is one ``regexp_replace(sym, ' l r(?= )', ' N')``, the
-  left-to-right, non-overlapping rewrite (the look-ahead leaves the next separator in place). Words reduced to one symbol
+* rewriting - a vectorised merge over each Arrow record batch (``mapInArrow``): positions where
+  ``l`` is followed by ``r`` inside a word are replaced left to right without overlap (runs of a
+  repeated symbol merge every other pair), then the array is compacted. The tasks get whole
+  batches of words; Spark still partitions, caches and counts. Words reduced to one symbol
   leave the working table. The table is persisted every round and checkpointed (reliably, into
   ``spark.checkpoint.dir``) every few rounds, which also bounds the plan's lineage.
 
@@ -43,7 +45,9 @@ from corpusprep.functions import text as TX
 
 PAIR_TOP_K = 256
 CHECKPOINT_EVERY = 8
-MAX_BATCH = 48  # merges rewritten per round (bounds the generated code of the rewrite chain)
+MAX_BATCH = 256  # merges applied per round (the batch rule usually stops far earlier)
+CHAR_BASE = 0  # working id of a character = its code point
+MERGED_BASE = 0x110000  # working id of the k-th merged token = MERGED_BASE + k
 
 
 # ---- G1-G3 -------------------------------------------------------------------------------------
@@ -125,30 +129,23 @@ class BpeModel:
 # ---- G4: learning ----------------------------------------------------------------------------------
 
 
-def _initial_symbols(words: DataFrame, alphabet_ids: DataFrame) -> DataFrame:
-    """``sym`` = " id id ... " per distinct word (characters joined to their ids)."""
-    chars = words.select("word", "freq", F.posexplode(F.split("word", "")).alias("pos", "ch"))
-    joined = chars.join(F.broadcast(alphabet_ids), "ch")
-    grouped = joined.groupBy("word", "freq").agg(F.sort_array(F.collect_list(F.struct("pos", "cid"))).alias("s"))
-    return grouped.select(
-        F.concat(F.lit(" "), F.array_join(F.transform("s", lambda x: x["cid"].cast("string")), " "), F.lit(" ")).alias("sym"),
-        "freq",
-    )
+def _initial_symbols(words: DataFrame) -> DataFrame:
+    """``sym`` = the word's characters as *working ids*: the code point plus ``CHAR_BASE``.
+
+    Vocabulary ids give characters ascending code points and merged tokens ascending creation
+    order, so working ids (code points, then ``MERGED_BASE + k`` for the k-th created token)
+    order every pair exactly as vocabulary ids do - tie-breaks are unchanged - while the table is
+    built by one projection, with no join to an alphabet table.
+    """
+    return words.select(F.transform(F.split("word", ""), lambda ch: F.ascii(ch) + F.lit(CHAR_BASE)).alias("sym"), "freq")
 
 
 def _pairs_top(active: DataFrame, k: int) -> list[tuple[int, int, int]]:
-    pairs = active.select("freq", F.explode(F.regexp_extract_all("sym", F.lit(r"(?= (\d+ \d+) )"), 1)).alias("p"))
-    counts = pairs.groupBy("p").agg(F.sum("freq").alias("cnt"))
-    top = (
-        counts.select(
-            "cnt",
-            F.substring_index("p", " ", 1).cast("int").alias("l"),
-            F.substring_index("p", " ", -1).cast("int").alias("r"),
-        )
-        .orderBy(F.col("cnt").desc(), "l", "r")
-        .limit(k)
-        .collect()
-    )
+    n = F.size("sym")
+    adjacent = F.arrays_zip(F.slice("sym", 1, n - 1).alias("l"), F.slice("sym", 2, n - 1).alias("r"))
+    pairs = active.select("freq", F.explode(adjacent).alias("p"))
+    counts = pairs.groupBy(F.col("p.l").alias("l"), F.col("p.r").alias("r")).agg(F.sum("freq").alias("cnt"))
+    top = counts.orderBy(F.col("cnt").desc(), "l", "r").limit(k).collect()
     return [(int(r["cnt"]), int(r["l"]), int(r["r"])) for r in top]
 
 
@@ -186,9 +183,53 @@ def select_batch(top: list[tuple[int, int, int]], complete: bool, tokens: list[s
     return batch
 
 
-def _rewrite(sym: Column, l: int, r: int, n: int) -> Column:
-    # One reference to ``sym`` per level keeps the chained expression linear in the batch size.
-    return F.regexp_replace(sym, f" {l} {r}(?= )", f" {n}")
+def merge_pair_arrays(vals, offsets, l: int, r: int, n: int):
+    """Merge every left-to-right, non-overlapping ``(l, r)`` into ``n`` in a batch of words
+    given as flat values + offsets (NumPy). Returns the new values and offsets."""
+    import numpy as np
+
+    m = len(vals)
+    if m < 2:
+        return vals, offsets
+    starts = np.zeros(m + 1, dtype=bool)
+    starts[offsets[:-1]] = True
+    cand = (vals[:-1] == l) & (vals[1:] == r) & ~starts[1:m]
+    idx = np.flatnonzero(cand)
+    if idx.size == 0:
+        return vals, offsets
+    if l == r and idx.size > 1:
+        # runs of a repeated symbol: keep every other pair from the start of each run
+        pos = np.arange(idx.size)
+        brk = np.ones(idx.size, dtype=bool)
+        brk[1:] = idx[1:] != idx[:-1] + 1
+        run_first = idx[np.maximum.accumulate(np.where(brk, pos, 0))]
+        idx = idx[(idx - run_first) % 2 == 0]
+    vals = vals.copy()
+    vals[idx] = n
+    drop = np.zeros(m, dtype=bool)
+    drop[idx + 1] = True
+    removed_before = np.concatenate(([0], np.cumsum(drop)))
+    return vals[~drop], offsets - removed_before[offsets]
+
+
+def _rewrite_batches(batch: list[tuple[int, int, int]]):
+    """``mapInArrow`` function applying the batch's merges, in order, to ``sym`` of each record batch."""
+
+    def fn(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for rb in batches:
+            sym = rb.column(0)
+            offs = np.asarray(sym.offsets, dtype=np.int64)
+            offs = offs - offs[0]
+            vals = np.asarray(sym.flatten().to_numpy(zero_copy_only=False), dtype=np.int32)
+            for l, r, n in batch:
+                vals, offs = merge_pair_arrays(vals, offs, l, r, n)
+            new_sym = pa.ListArray.from_arrays(pa.array(offs.astype(np.int32)), pa.array(vals, type=pa.int32()))
+            yield pa.RecordBatch.from_arrays([new_sym, rb.column(1)], names=["sym", "freq"])
+
+    return fn
 
 
 def learn_bpe(texts: DataFrame, cfg: VocabConfig = VocabConfig(), text: str = "text", max_merges: int | None = None,
@@ -201,35 +242,44 @@ def learn_bpe(texts: DataFrame, cfg: VocabConfig = VocabConfig(), text: str = "t
     """
     cfg.validate()
     spark = texts.sparkSession
-    from corpusprep.session import ensure_checkpoint_dir
+    from corpusprep.session import ensure_checkpoint_dir, ship_package
 
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     words = word_freq(texts, text).persist(StorageLevel.MEMORY_AND_DISK)
-    alphabet = sorted(
-        (r["ch"] for r in words.select(F.explode(F.split("word", "")).alias("ch")).distinct().collect()), key=ord
-    )
+    active = _initial_symbols(words).persist(StorageLevel.MEMORY_AND_DISK)
+    codes = sorted(r["c"] for r in active.select(F.explode("sym").alias("c")).distinct().collect())
+    words.unpersist()
+    alphabet = [chr(c - CHAR_BASE) for c in codes]
     tokens = list(cfg.special_tokens)
     for ch in alphabet:
         if ch not in tokens:
             tokens.append(ch)
     index = {t: i for i, t in enumerate(tokens)}
-    alphabet_ids = spark.createDataFrame([(ch, index[ch]) for ch in alphabet], "ch string, cid int")
-    active = _initial_symbols(words, alphabet_ids).where(F.col("sym").rlike(r"^ \d+ \d+ "))
-    active = active.persist(StorageLevel.MEMORY_AND_DISK)
+    if any(len(sp) == 1 and sp in alphabet for sp in cfg.special_tokens):
+        raise NotImplementedError("a one-character special token that also occurs in the corpus")
+    # working id <-> vocabulary id
+    to_vocab = {c: index[chr(c - CHAR_BASE)] for c in codes}
+    for i in range(len(cfg.special_tokens)):  # specials sort first: negative working ids
+        to_vocab[i - len(cfg.special_tokens)] = i
+    to_work = {v: k for k, v in to_vocab.items()}
+    active = active.where(F.size("sym") >= 2)
     merges: list[tuple[int, int, int]] = []
     rounds = 0
     prev = None
+    created = 0
     while len(tokens) < cfg.vocab_size and (max_merges is None or len(merges) < max_merges):
-        top = _pairs_top(active, top_k)
-        if not top:
+        top_w = _pairs_top(active, top_k)
+        if not top_w:
             break
+        top = [(c, to_vocab[l], to_vocab[r]) for c, l, r in top_w]
         batch = select_batch(top, len(top) < top_k, tokens, index, cfg.vocab_size, cfg.min_frequency)
         batch = batch[:MAX_BATCH]
         if max_merges is not None:
             batch = batch[: max_merges - len(merges)]
         if not batch:
             break
-        sym = F.col("sym")
+        applied = []
         for l, r, new, reused in batch:
             if reused:
                 nid = index[new]
@@ -237,14 +287,17 @@ def learn_bpe(texts: DataFrame, cfg: VocabConfig = VocabConfig(), text: str = "t
                 nid = len(tokens)
                 tokens.append(new)
                 index[new] = nid
+                w = MERGED_BASE + created
+                created += 1
+                to_vocab[w] = nid
+                to_work[nid] = w
             merges.append((l, r, nid))
-            sym = _rewrite(sym, l, r, nid)
+            applied.append((to_work[l], to_work[r], to_work[nid]))
         rounds += 1
-        # Single-symbol words yield no pairs; they are dropped only right after a checkpoint so
-        # the filter never gets pushed below (and duplicates) the rewrite chain.
-        nxt = active.select(sym.alias("sym"), "freq")
+        nxt = active.select("sym", "freq").mapInArrow(_rewrite_batches(applied), "sym array<int>, freq bigint")
         if rounds % checkpoint_every == 0:
-            nxt = nxt.checkpoint(eager=True).where(F.col("sym").rlike(r"^ \d+ \d+ "))
+            # single-symbol words yield no pairs: drop them when the table is rewritten to disk
+            nxt = nxt.checkpoint(eager=True).where(F.size("sym") >= 2)
         else:
             nxt = nxt.persist(StorageLevel.MEMORY_AND_DISK)
         if prev is not None:
@@ -255,7 +308,6 @@ def learn_bpe(texts: DataFrame, cfg: VocabConfig = VocabConfig(), text: str = "t
     active.unpersist()
     if prev is not None:
         prev.unpersist()
-    words.unpersist()
     return BpeModel(tokens, merges, tuple(cfg.special_tokens), cfg.unk_token)
 
 
@@ -315,6 +367,9 @@ def encode(df: DataFrame, model: BpeModel, text: str, out: str = "ids") -> DataF
     """Text -> ``array<int>`` ids. Specials are cut out first; pre-tokens are built on the JVM;
     the merge loop runs per distinct word per worker (cached)."""
     spark = df.sparkSession
+    from corpusprep.session import ship_package
+
+    ship_package(spark)
     bc = spark.sparkContext.broadcast((model.tokens, model.merges, tuple(model.special_tokens), model.unk_token))
     key = f"bpe-{id(model)}-{len(model.tokens)}-{len(model.merges)}"
 

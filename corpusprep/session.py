@@ -94,3 +94,42 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
 
 def local_test_dir() -> str:
     return os.environ.get("CORPUSPREP_TMP", "/tmp")
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``corpusprep`` importable in Python workers (Arrow UDFs reference its functions).
+
+    The package is zipped on the driver, written through the Hadoop FileSystem into the shared
+    folder, and registered with ``addPyFile`` - the runtime form of ``--py-files``. Once per
+    SparkContext.
+    """
+    import io
+    import zipfile
+
+    import corpusprep
+
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(corpusprep.__file__))
+    base = os.path.dirname(pkg_dir)
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, _, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, base))
+    target = shared_path(spark, "pyfiles") + "/corpusprep.zip"
+    fs, p = fs_for(spark, target)
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(buf.getvalue()))
+    finally:
+        out.close()
+    sc.addPyFile(target)
+    _SHIPPED.add(key)

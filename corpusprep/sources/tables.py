@@ -22,8 +22,44 @@ TABLES = (
 ).split()
 
 
+# Text tables and the key their rows are spread by.
+TEXT_TABLE_KEYS = {"documents": "doc_id", "conversations": "conv_id", "pages": "page_id", "benchmark": "item_id"}
+
+
+SMALL_INPUT_BYTES_PER_CORE = 64 * 1024 * 1024
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Give CPU-heavy text stages at least one task per core.
+
+    A scan yields one task per file split, and a split only works if it holds a row group. A
+    small corpus stored as a few single-row-group files would be parsed by a few cores. Only in
+    that case (fewer files than cores and a small total size) are rows hash-spread by their key,
+    which is deterministic under retries. A large input has many files and is left untouched, so
+    at scale this adds no shuffle.
+    """
+    from corpusprep.session import fs_for
+
+    target = df.sparkSession.sparkContext.defaultParallelism
+    try:
+        files = df.inputFiles()
+    except Exception:  # noqa: BLE001 - not a file scan
+        return df
+    if not files or len(files) >= target:
+        return df
+    total = 0
+    for f in files:
+        fs, p = fs_for(df.sparkSession, f)
+        total += fs.getFileStatus(p).getLen()
+    if total > SMALL_INPUT_BYTES_PER_CORE * target:
+        return df
+    return df.repartition(target, key)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    key = TEXT_TABLE_KEYS.get(name)
+    return spread(df, key) if key else df
 
 
 def documents_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
