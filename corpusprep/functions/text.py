@@ -175,7 +175,7 @@ def py_round_ratio(num, den, places: int = 3) -> Column:
     scale = 10**places
     a = _c(num).cast("long") * F.lit(scale)
     b = _c(den).cast("long")
-    q = F.floor(a / b).cast("long")  # a, b >= 0 here
+    q = F.call_function("div", a, b)  # exact integral division (a, b >= 0 here)
     r2 = (a - q * b) * 2
     d = _c(num).cast("double") / _c(den).cast("double")
     cc = d * F.lit(134217729.0)

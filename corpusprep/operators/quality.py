@@ -32,9 +32,10 @@ def ratio_ok(src_len, tgt_len, ratio_max: float) -> Column:
     )
 
 
-def reject_reason(cfg: FilterConfig, src_len: str = "src_len", tgt_len: str = "tgt_len",
+def reject_reason(cfg: FilterConfig, src_len="src_len", tgt_len="tgt_len",
                   extra_rules: Sequence[tuple[str, Column]] = (), word_caps: bool = False) -> Column:
-    s, t = F.col(src_len), F.col(tgt_len)
+    s = F.col(src_len) if isinstance(src_len, str) else src_len
+    t = F.col(tgt_len) if isinstance(tgt_len, str) else tgt_len
     c = (
         F.when((s == 0) | (t == 0), F.lit("empty"))
         .when(~ratio_ok(s, t, cfg.ratio_max), F.lit("ratio"))
@@ -52,10 +53,20 @@ def reject_reason(cfg: FilterConfig, src_len: str = "src_len", tgt_len: str = "t
 
 def classify(df: DataFrame, cfg: FilterConfig, src: str = "src", tgt: str = "tgt",
              extra_rules: Sequence[tuple[str, Column]] = (), word_caps: bool = False) -> DataFrame:
-    """Lengths plus ``reason`` (null = valid)."""
-    return with_lengths(df, src, tgt).withColumn(
-        "reason", reject_reason(cfg, extra_rules=extra_rules, word_caps=word_caps)
-    )
+    """Lengths plus ``reason`` (null = valid).
+
+    The two word counts are bound once inside a lambda and the reason is derived from the bound
+    values. Written as plain columns, a later ``reason IS NULL`` filter is pushed below the
+    projection with every length reference inlined, and each rule would re-run the split.
+    """
+    lens = F.struct(T.word_count(src).alias("src_len"), T.word_count(tgt).alias("tgt_len"))
+
+    def measured(x):
+        reason = reject_reason(cfg, x["src_len"], x["tgt_len"], extra_rules, word_caps)
+        return F.struct(x["src_len"].alias("src_len"), x["tgt_len"].alias("tgt_len"), reason.alias("reason"))
+
+    cls = F.element_at(F.transform(F.array(lens), measured), 1)
+    return df.withColumn("_cls", cls).select(*df.columns, "_cls.src_len", "_cls.tgt_len", "_cls.reason")
 
 
 def filter_valid(classified: DataFrame) -> DataFrame:
