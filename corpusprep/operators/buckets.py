@@ -31,8 +31,10 @@ def bucket_id(length, width: int = 16) -> Column:
 
 
 def bucket_shuffle(df: DataFrame, length: str, width: int = 16, seed: int = 42, epochs: int = 1,
-                   key: str = "row_key") -> DataFrame:
-    """F1 + F2 (+ F5): ``epoch, bucket_id, rn`` (1-based position inside the shuffled bucket)."""
+                   key: str = "row_key", sizes: list | None = None) -> DataFrame:
+    """F1 + F2 (+ F5): ``epoch, bucket_id, rn`` (1-based position inside the shuffled bucket).
+
+    ``sizes``: rows ``epoch, bucket_id, count`` when already known (see ``bucket_sizes``)."""
     d = df.withColumn("bucket_id", bucket_id(length, width))
     if epochs == 1:
         d = d.withColumn("epoch", F.lit(0))
@@ -41,12 +43,18 @@ def bucket_shuffle(df: DataFrame, length: str, width: int = 16, seed: int = 42,
     d = d.withColumn(
         "_h", F.md5(F.concat((F.lit(seed) + F.col("epoch")).cast("string"), F.lit(":"), F.col(key).cast("string")))
     )
-    return rank_within(d, ["epoch", "bucket_id"], "_h", key, out="rn").drop("_h")
+    return rank_within(d, ["epoch", "bucket_id"], "_h", key, out="rn", group_sizes=sizes).drop("_h")
+
+
+def bucket_sizes(df: DataFrame, length: str, width: int = 16, epochs: int = 1) -> list:
+    """Rows per bucket (one small aggregate); every epoch has the same bucket sizes."""
+    rows = df.groupBy(bucket_id(length, width).alias("bucket_id")).count().collect()
+    return [{"epoch": e, "bucket_id": r["bucket_id"], "count": r["count"]} for e in range(epochs) for r in rows]
 
 
-def chunk_counts(shuffled: DataFrame, batch_size: int, drop_last: bool) -> dict:
-    """{(epoch, bucket): number of yielded chunks} - one row per bucket per epoch."""
-    rows = shuffled.groupBy("epoch", "bucket_id").count().collect()
+def chunk_counts(sizes: list, batch_size: int, drop_last: bool) -> dict:
+    """{(epoch, bucket): number of yielded chunks} - one entry per bucket per epoch."""
+    rows = sizes
     out = {}
     for r in rows:
         n = r["count"]
@@ -75,11 +83,12 @@ def bucket_batches(df: DataFrame, length: str, batch_size: int, width: int = 16,
     """
     if batch_size < 1:
         raise ValueError("batch_size must be >= 1")
-    sh = bucket_shuffle(df, length, width, seed, epochs, key)
-    sh = sh.withColumn("chunk", ((F.col("rn") - 1) / F.lit(batch_size)).cast("long").cast("int")).withColumn(
+    sizes = bucket_sizes(df, length, width, epochs)
+    sh = bucket_shuffle(df, length, width, seed, epochs, key, sizes=sizes)
+    sh = sh.withColumn("chunk", F.call_function("div", F.col("rn") - 1, F.lit(batch_size)).cast("int")).withColumn(
         "pos", ((F.col("rn") - 1) % F.lit(batch_size)).cast("int")
     )
-    counts = chunk_counts(sh, batch_size, drop_last)
+    counts = chunk_counts(sizes, batch_size, drop_last)
     idx = None
     for e in range(epochs):
         expr = _batch_index_expr(counts, e, F.col("chunk"), F.col("bucket_id"))

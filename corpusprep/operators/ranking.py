@@ -32,10 +32,17 @@ def _hash_fraction_slice(h: str, k_col: str):
 
 
 def rank_within(df: DataFrame, group_cols: list[str], h: str, key: str, out: str = "rn",
-                rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
-    """Add ``out`` = 1-based position of each row in its group, ordered by ``(h, key)``."""
+                rows_per_slice: int = ROWS_PER_SLICE, group_sizes: list | None = None) -> DataFrame:
+    """Add ``out`` = 1-based position of each row in its group, ordered by ``(h, key)``.
+
+    ``group_sizes`` (rows with the group columns and ``count``) may be passed when the caller
+    already counted the groups; otherwise the big groups are found by one aggregate.
+    """
     spark = df.sparkSession
-    sizes = df.groupBy(*group_cols).count().where(F.col("count") > rows_per_slice).collect()
+    if group_sizes is None:
+        sizes = df.groupBy(*group_cols).count().where(F.col("count") > rows_per_slice).collect()
+    else:
+        sizes = [r for r in group_sizes if r["count"] > rows_per_slice]
     base_w = Window.partitionBy(*group_cols).orderBy(h, key)
     if not sizes:
         return df.withColumn(out, F.row_number().over(base_w))

@@ -117,6 +117,7 @@ def filter_job(catalog: Catalog, raw_id: str, force: bool = False, **overrides)
         rows = Q.project_clean(res.selected)
         catalog.write_rows(cfg.dataset_id, rows)
         funnel = res.funnel.first().asDict()
+        res.release()
     metrics = {**{k: int(v) for k, v in funnel.items()}, **rm.as_dict(), "throughput": rm.throughput(int(funnel["seen"]))}
     ds = Dataset.create(cfg, metrics, catalog.read_rows(cfg.dataset_id), funnel["selected"], parent_id=raw_id)
     catalog.commit(ds)
