@@ -3,10 +3,9 @@
 Learning runs as Spark rounds over the *distinct-word table* ``(sym, freq)``; ``sym`` is the
 word's current symbol sequence as ``array<int>``:
 
-* pair counts - ``arrays_zip`` of the array with itself shifted by one yields every adjacent
-  pair, ``explode`` + ``groupBy(l, r).sum(freq)`` counts them (map-side combined), and a
-  ``TakeOrderedAndProject`` returns the top ``k`` pairs by (count desc, left id, right id). Only
-  those ``k`` rows reach the driver.
+* pair counts - each task counts the adjacent pairs of its words (weighted by frequency) and
+  emits partial counts; ``groupBy(l, r).sum`` merges them and a ``TakeOrderedAndProject`` returns
+  the top ``k`` pairs by (count desc, left id, right id). Only those ``k`` rows reach the driver.
 * merge selection - the driver accepts a *batch* of merges per round, a prefix of that list
   chosen so that it equals what one-merge-at-a-time learning would pick: a candidate is taken
   only if it shares no symbol with the merges already taken and no pair created by those merges
@@ -15,8 +14,10 @@ word's current symbol sequence as ``array<int>``:
   exists (a reused id) ends the batch.
 * rewriting - a vectorised merge over each Arrow record batch (``mapInArrow``): positions where
   ``l`` is followed by ``r`` inside a word are replaced left to right without overlap (runs of a
-  repeated symbol merge every other pair), then the array is compacted. The tasks get whole
-  batches of words; Spark still partitions, caches and counts. Words reduced to one symbol
+  repeated symbol merge every other pair), then the array is compacted. Rewriting and counting are
+  one pass: the round's output (words and partial pair counts, told apart by ``kind``) is cached
+  once and feeds both the next round and the aggregate. Spark partitions, caches and shuffles;
+  NumPy works on whole batches inside the tasks. Words reduced to one symbol
   leave the working table. The table is persisted every round and checkpointed (reliably, into
   ``spark.checkpoint.dir``) every few rounds, which also bounds the plan's lineage.
 
@@ -140,15 +141,6 @@ def _initial_symbols(words: DataFrame) -> DataFrame:
     return words.select(F.transform(F.split("word", ""), lambda ch: F.ascii(ch) + F.lit(CHAR_BASE)).alias("sym"), "freq")
 
 
-def _pairs_top(active: DataFrame, k: int) -> list[tuple[int, int, int]]:
-    n = F.size("sym")
-    adjacent = F.arrays_zip(F.slice("sym", 1, n - 1).alias("l"), F.slice("sym", 2, n - 1).alias("r"))
-    pairs = active.select("freq", F.explode(adjacent).alias("p"))
-    counts = pairs.groupBy(F.col("p.l").alias("l"), F.col("p.r").alias("r")).agg(F.sum("freq").alias("cnt"))
-    top = counts.orderBy(F.col("cnt").desc(), "l", "r").limit(k).collect()
-    return [(int(r["cnt"]), int(r["l"]), int(r["r"])) for r in top]
-
-
 def select_batch(top: list[tuple[int, int, int]], complete: bool, tokens: list[str], index: dict,
                  vocab_size: int, min_frequency: int) -> list[tuple[int, int, str, bool]]:
     """Merges to apply this round: ``(left, right, new_token, reused)`` - see the module notes."""
@@ -212,8 +204,17 @@ def merge_pair_arrays(vals, offsets, l: int, r: int, n: int):
     return vals[~drop], offsets - removed_before[offsets]
 
 
-def _rewrite_batches(batch: list[tuple[int, int, int]]):
-    """``mapInArrow`` function applying the batch's merges, in order, to ``sym`` of each record batch."""
+ROUND_SCHEMA = "kind tinyint, sym array<int>, freq bigint, l int, r int, cnt bigint"
+_KEY_SHIFT = 2**31  # keys of pairs: ((l + 2^31) << 32) | (r + 2^31); special ids are negative
+
+
+def _round_fn(batch: list[tuple[int, int, int]]):
+    """``mapInArrow`` function for one round over a partition of the word table.
+
+    Applies the batch's merges in order, drops words left with one symbol, and emits two kinds of
+    record batches: the rewritten words (``kind = 0``) and this partition's partial pair counts
+    (``kind = 1``), so the pair aggregate shuffles only partials.
+    """
 
     def fn(batches):
         import numpy as np
@@ -221,19 +222,80 @@ def _rewrite_batches(batch: list[tuple[int, int, int]]):
 
         for rb in batches:
             sym = rb.column(0)
+            freq = np.asarray(rb.column(1).to_numpy(zero_copy_only=False), dtype=np.int64)
             offs = np.asarray(sym.offsets, dtype=np.int64)
             offs = offs - offs[0]
             vals = np.asarray(sym.flatten().to_numpy(zero_copy_only=False), dtype=np.int32)
             for l, r, n in batch:
                 vals, offs = merge_pair_arrays(vals, offs, l, r, n)
-            new_sym = pa.ListArray.from_arrays(pa.array(offs.astype(np.int32)), pa.array(vals, type=pa.int32()))
-            yield pa.RecordBatch.from_arrays([new_sym, rb.column(1)], names=["sym", "freq"])
+            lengths = np.diff(offs)
+            keep = lengths >= 2
+            if not keep.all():
+                elem_keep = np.repeat(keep, lengths)
+                vals = vals[elem_keep]
+                lengths = lengths[keep]
+                freq = freq[keep]
+                offs = np.concatenate(([0], np.cumsum(lengths)))
+            nw = len(lengths)
+            if nw:
+                words = pa.ListArray.from_arrays(pa.array(offs.astype(np.int32)), pa.array(vals, type=pa.int32()))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.zeros(nw, dtype=np.int8)), words, pa.array(freq), pa.nulls(nw, pa.int32()),
+                     pa.nulls(nw, pa.int32()), pa.nulls(nw, pa.int64())],
+                    names=["kind", "sym", "freq", "l", "r", "cnt"],
+                )
+                within = np.ones(len(vals) - 1, dtype=bool)
+                within[offs[1:-1] - 1] = False  # a pair may not cross into the next word
+                left = vals[:-1][within].astype(np.int64)
+                right = vals[1:][within].astype(np.int64)
+                weight = np.repeat(freq, lengths)[:-1][within]
+                keys = ((left + _KEY_SHIFT) << 32) | (right + _KEY_SHIFT)
+                uniq, inv = np.unique(keys, return_inverse=True)
+                cnt = np.bincount(inv, weights=weight).astype(np.int64)
+                np_ = len(uniq)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.ones(np_, dtype=np.int8)), pa.nulls(np_, pa.list_(pa.int32())), pa.nulls(np_, pa.int64()),
+                     pa.array(((uniq >> 32) - _KEY_SHIFT).astype(np.int32)),
+                     pa.array(((uniq & 0xFFFFFFFF) - _KEY_SHIFT).astype(np.int32)), pa.array(cnt)],
+                    names=["kind", "sym", "freq", "l", "r", "cnt"],
+                )
 
     return fn
 
 
+def _top_pairs(round_out: DataFrame, k: int) -> list[tuple[int, int, int]]:
+    pairs = round_out.where(F.col("kind") == 1).groupBy("l", "r").agg(F.sum("cnt").alias("cnt"))
+    top = pairs.orderBy(F.col("cnt").desc(), "l", "r").limit(k).collect()
+    return [(int(r["cnt"]), int(r["l"]), int(r["r"])) for r in top]
+
+
+def _words(round_out: DataFrame) -> DataFrame:
+    return round_out.where(F.col("kind") == 0).select("sym", "freq")
+
+
 def learn_bpe(texts: DataFrame, cfg: VocabConfig = VocabConfig(), text: str = "text", max_merges: int | None = None,
               top_k: int = PAIR_TOP_K, checkpoint_every: int = CHECKPOINT_EVERY, log=None) -> BpeModel:
+    """Learn the vocabulary from a frame of texts (see ``_learn_bpe``).
+
+    The rounds are many small jobs of a fixed shape over an already partitioned word table, where
+    adaptive re-planning only adds latency, so AQE is switched off for their duration and the
+    session's setting restored afterwards.
+    """
+    spark = texts.sparkSession
+    key = "spark.sql.adaptive.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "false")
+    try:
+        return _learn_bpe(texts, cfg, text, max_merges, top_k, checkpoint_every, log)
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
+def _learn_bpe(texts: DataFrame, cfg: VocabConfig, text: str, max_merges: int | None, top_k: int,
+               checkpoint_every: int, log) -> BpeModel:
     """Learn the vocabulary from a frame of texts.
 
     ``max_merges`` stops early after that many merges (benchmarks); ``None`` runs to the rules'
@@ -247,8 +309,8 @@ def learn_bpe(texts: DataFrame, cfg: VocabConfig = VocabConfig(), text: str = "t
     ensure_checkpoint_dir(spark)
     ship_package(spark)
     words = word_freq(texts, text).persist(StorageLevel.MEMORY_AND_DISK)
-    active = _initial_symbols(words).persist(StorageLevel.MEMORY_AND_DISK)
-    codes = sorted(r["c"] for r in active.select(F.explode("sym").alias("c")).distinct().collect())
+    initial = _initial_symbols(words).persist(StorageLevel.MEMORY_AND_DISK)
+    codes = sorted(r["c"] for r in initial.select(F.explode("sym").alias("c")).distinct().collect())
     words.unpersist()
     alphabet = [chr(c - CHAR_BASE) for c in codes]
     tokens = list(cfg.special_tokens)
@@ -263,13 +325,17 @@ def learn_bpe(texts: DataFrame, cfg: VocabConfig = VocabConfig(), text: str = "t
     for i in range(len(cfg.special_tokens)):  # specials sort first: negative working ids
         to_vocab[i - len(cfg.special_tokens)] = i
     to_work = {v: k for k, v in to_vocab.items()}
-    active = active.where(F.size("sym") >= 2)
+
     merges: list[tuple[int, int, int]] = []
+    current = initial.mapInArrow(_round_fn([]), ROUND_SCHEMA).persist(StorageLevel.MEMORY_AND_DISK)
+    held = [initial]
     rounds = 0
-    prev = None
     created = 0
     while len(tokens) < cfg.vocab_size and (max_merges is None or len(merges) < max_merges):
-        top_w = _pairs_top(active, top_k)
+        top_w = _top_pairs(current, top_k)  # materialises ``current``
+        for old in held:
+            old.unpersist()
+        held = []
         if not top_w:
             break
         top = [(c, to_vocab[l], to_vocab[r]) for c, l, r in top_w]
@@ -294,20 +360,18 @@ def learn_bpe(texts: DataFrame, cfg: VocabConfig = VocabConfig(), text: str = "t
             merges.append((l, r, nid))
             applied.append((to_work[l], to_work[r], to_work[nid]))
         rounds += 1
-        nxt = active.select("sym", "freq").mapInArrow(_rewrite_batches(applied), "sym array<int>, freq bigint")
+        src = _words(current)
         if rounds % checkpoint_every == 0:
-            # single-symbol words yield no pairs: drop them when the table is rewritten to disk
-            nxt = nxt.checkpoint(eager=True).where(F.size("sym") >= 2)
-        else:
-            nxt = nxt.persist(StorageLevel.MEMORY_AND_DISK)
-        if prev is not None:
-            prev.unpersist()
-        prev, active = active, nxt
+            # cut the lineage: the word table goes to the shared checkpoint folder
+            src = src.checkpoint(eager=True)
+        nxt = src.mapInArrow(_round_fn(applied), ROUND_SCHEMA).persist(StorageLevel.MEMORY_AND_DISK)
+        held = [current]
+        current = nxt
         if log:
             log(rounds, len(merges), len(tokens), top[0][0])
-    active.unpersist()
-    if prev is not None:
-        prev.unpersist()
+    for old in held:
+        old.unpersist()
+    current.unpersist()
     return BpeModel(tokens, merges, tuple(cfg.special_tokens), cfg.unk_token)
 
 

@@ -87,7 +87,9 @@ def stream_ingest(spark: SparkSession, in_dir: str, out_dir: str, checkpoint_dir
         .trigger(**trig)
         .start()
     )
-    name = totals_name or "corpusprep_totals"
+    import uuid
+
+    name = totals_name or f"corpusprep_totals_{uuid.uuid4().hex[:8]}"
     totals_path = f"{out_dir.rstrip('/')}/totals"
 
     def _write_totals(batch: DataFrame, batch_id: int) -> None:
