@@ -25,7 +25,7 @@ from corpusprep.functions import text as T
 from corpusprep.operators.quality import REASONS
 
 PREFIX_STEP = 4  # hex digits per histogram level (65,536 groups)
-ORDER_LIMIT = 2_000_000  # rows a single ordered take may merge
+ORDER_LIMIT = 250_000  # rows a single ordered take may merge (about 25 MB of keys in one task)
 
 
 def add_shuffle_key(df: DataFrame, seed: int, key: str = "row_key", out: str = "skey") -> DataFrame:

@@ -35,8 +35,8 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     A scan yields one task per file split, and a split only works if it holds a row group. A
     small corpus stored as a few single-row-group files would be parsed by a few cores. Only in
     that case (fewer files than cores and a small total size) are rows hash-spread by their key,
-    which is deterministic under retries. A large input has many files and is left untouched, so
-    at scale this adds no shuffle.
+    which is deterministic under retries, and kept cached. A large input has many files and is
+    left untouched, so at scale this adds no shuffle and no cache.
     """
     from corpusprep.session import fs_for
 
@@ -53,7 +53,11 @@ def spread(df: DataFrame, key: str) -> DataFrame:
         total += fs.getFileStatus(p).getLen()
     if total > SMALL_INPUT_BYTES_PER_CORE * target:
         return df
-    return df.repartition(target, key)
+    # Cached: the spread copy is small by the test above, equal plans share one cache entry, and
+    # the cache keeps row filters from being pushed below the exchange into the single scan task.
+    from pyspark import StorageLevel
+
+    return df.repartition(target, key).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
