@@ -6,7 +6,6 @@ Each job is a lazy plan plus the few actions it needs. Metrics are collected wit
 from __future__ import annotations
 
 import time
-from dataclasses import replace
 from datetime import datetime
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -48,6 +47,15 @@ class RunMetrics:
                 "ended_at": self.ended_at.isoformat() if self.ended_at else None, "duration": self.duration}
 
 
+def with_positions(df: DataFrame, key: str = "row_key", skey: str = "skey") -> DataFrame:
+    """The 1-based position of each row in the seeded order ``(skey, key)`` as ``pos``
+    (skew-safe ranking of a single group), stored with the rows so access by index is a filter."""
+    from corpusprep.operators.ranking import rank_within
+
+    ranked = rank_within(df.withColumn("_g", F.lit(0)), ["_g"], skey, key, out="pos").drop("_g")
+    return ranked.withColumn("pos", F.col("pos").cast("long"))
+
+
 def _profile_from(obs: dict) -> dict:
     """E1 from observed sums, rounded in Python exactly as the reference rounds."""
     n = int(obs["n"])
@@ -74,10 +82,10 @@ def extract_job(source: DataFrame, cfg: RawConfig, catalog: Catalog, force: bool
         catalog.remove(cfg.dataset_id)
     with RunMetrics() as rm:
         sample = S.sample_n(source.select("row_key", "src", "tgt"), cfg.n, cfg.seed, shuffle=cfg.shuffle)
-        rows = sample.select(
+        rows = with_positions(sample.select(
             "row_key", "skey", "src", "tgt",
             T.word_count("src").alias("src_len"), T.word_count("tgt").alias("tgt_len"),
-        )
+        ))
         obs = Observation("extract")
         rows = rows.observe(
             obs, F.count(F.lit(1)).alias("n"),
@@ -114,7 +122,9 @@ def filter_job(catalog: Catalog, raw_id: str, force: bool = False, **overrides)
     with RunMetrics() as rm:
         classified = Q.classify(raw.rows.select("row_key", "src", "tgt"), cfg)
         res = S.first_n_valid(classified, cfg.n, cfg.seed)
-        rows = Q.project_clean(res.selected)
+        sel = with_positions(res.selected.select("row_key", "skey", "src", "tgt"))
+        s_, t_ = T.strip_text("src"), T.strip_text("tgt")
+        rows = sel.select(T.content_idx(s_, t_).alias("idx"), s_.alias("src"), t_.alias("tgt"), "pos")
         catalog.write_rows(cfg.dataset_id, rows)
         funnel = res.funnel.first().asDict()
         res.release()
@@ -157,10 +167,6 @@ def batch_job(rows: DataFrame, model: V.BpeModel, out_path: str | None = None, b
     return packed
 
 
-def with_parent(ds: Dataset, parent: str) -> Dataset:
-    return replace(ds, parent_id=parent)
-
-
 def run_notebook(spark: SparkSession, source: DataFrame, catalog: Catalog, splits=("train",), n: int = 50000) -> list[Dataset]:
     """The reference's data notebook as one call: extract each split, then filter every raw set."""
     out = []

@@ -670,7 +670,7 @@ def _catalog_with_jobs(spark, sf_dir) -> tuple[Catalog, str, str]:
 def q_extract_job(spark, sf_dir):
     """Seeded sample of the default n (50,000) rows, stored with its lengths."""
     cat, raw_id, _ = _catalog_with_jobs(spark, sf_dir)
-    return cat.get(raw_id).rows
+    return cat.get(raw_id).rows.select("row_key", "skey", "src", "tgt", "src_len", "tgt_len")
 
 
 @register(
@@ -681,7 +681,7 @@ def q_extract_job(spark, sf_dir):
 def q_filter_job(spark, sf_dir):
     """The raw set filtered: first FIRST_N valid pairs of the seeded walk as idx, src, tgt."""
     cat, _, filt_id = _catalog_with_jobs(spark, sf_dir)
-    return cat.get(filt_id).rows
+    return cat.get(filt_id).rows.select("idx", "src", "tgt")
 
 
 @register("catalog_show")

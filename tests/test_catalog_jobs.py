@@ -48,8 +48,17 @@ def test_extract_then_filter_n8(spark, source, catalog):
     assert raw.n == 8 and raw.rows.count() == 8 and raw.stage == "raw"
     filt = JB.filter_job(catalog, raw.id, n=8)
     assert filt.stage == "filtered" and filt.parent_id == raw.id
-    assert filt.rows.columns == ["idx", "src", "tgt"]
+    assert filt.rows.columns == ["idx", "src", "tgt", "pos"]
     assert filt.rows.count() == filt.n <= 8
+    # Length, index, iteration and pandas in the selection order
+    assert len(filt) == filt.n and filt.count() == filt.n
+    rows = list(filt)
+    assert [filt[i] for i in range(len(filt))] == rows
+    assert filt.to_pandas().to_dict("records") == rows
+    with pytest.raises(IndexError):
+        filt[len(filt)]
+    with pytest.raises(ValueError):
+        filt.to_pandas(max_rows=1)
     reg = catalog.show()
     assert reg.count() == 2 and reg.columns[:4] == ["id", "name", "stage", "split"]
     assert catalog.show(stage="filtered").count() == 1
