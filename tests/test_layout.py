@@ -127,3 +127,19 @@ def test_truncation_and_batch_max(spark):
     x, y = A.next_token_pairs("ids", 3)
     r = df.select(x.alias("x"), y.alias("y")).first()
     assert (r.x, r.y) == ([1, 2, 3], [2, 3, 4])
+
+
+def test_extension_rules_and_transform(spark):
+    """K: stages compose with DataFrame.transform; extra reject rules append to the fixed order."""
+    from corpusprep.config import FilterConfig
+    from corpusprep.operators.quality import classify, filter_valid
+
+    df = spark.createDataFrame(
+        [(1, "one two three four", "un deux trois quatre"), (2, "one 2 three four", "un deux trois quatre"),
+         (3, "a", "b c d e f")],
+        "row_key long, src string, tgt string",
+    )
+    rules = [("has_digit", F.col("src").rlike("[0-9]"))]
+    out = df.transform(lambda d: classify(d, FilterConfig(), extra_rules=rules)).orderBy("row_key").collect()
+    assert [r.reason for r in out] == [None, "has_digit", "ratio"]
+    assert df.transform(lambda d: classify(d, FilterConfig(), extra_rules=rules)).transform(filter_valid).count() == 1
