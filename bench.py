@@ -38,7 +38,7 @@ def main() -> None:
         return go
 
     def run_bpe():
-        texts = table(spark, SF_DIR, "documents").select("text")
+        texts = table(spark, SF_DIR, "documents", ["doc_id", "text"]).select("text")
         learn_bpe(texts, VocabConfig(), max_merges=MERGES)
 
     plan = {
@@ -48,7 +48,7 @@ def main() -> None:
         "bucket_batches": run_df("bucket_batches"),
         "bpe_learn": run_bpe,
     }
-    docs = table(spark, SF_DIR, "documents")
+    docs = table(spark, SF_DIR, "documents", ["doc_id", "text"])
     n_docs = docs.count()
     n_chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
 

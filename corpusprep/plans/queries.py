@@ -414,7 +414,7 @@ def q_pack_batches(spark, sf_dir):
     f"list_slice(ids, k * {T_CTX} + 2, k * {T_CTX} + {T_CTX} + 1) AS y FROM w",
 )
 def q_next_token_pairs(spark, sf_dir):
-    d = table(spark, sf_dir, "documents").select("doc_id", A.char_ids("text").alias("ids")).where(F.size("ids") >= 2)
+    d = table(spark, sf_dir, "documents", ["doc_id", "text"]).select("doc_id", A.char_ids("text").alias("ids")).where(F.size("ids") >= 2)
     n_win = F.ceil((F.size("ids") - 1) / F.lit(T_CTX)).cast("int")
     w = d.select("doc_id", "ids", F.explode(F.sequence(F.lit(0), n_win - 1)).alias("window"))
     start = F.col("window") * T_CTX
@@ -478,7 +478,7 @@ def q_corpus_texts(spark, sf_dir):
     f"SELECT doc_id, CAST(pos - 1 AS INTEGER) AS pos, tok AS token FROM documents, unnest({O.pretokens('text')}) WITH ORDINALITY AS t(tok, pos)",
 )
 def q_pretokenize(spark, sf_dir):
-    d = table(spark, sf_dir, "documents")
+    d = table(spark, sf_dir, "documents", ["doc_id", "text"])
     return d.select("doc_id", F.posexplode(T.pretokens("text")).alias("pos", "token"))
 
 
@@ -489,7 +489,7 @@ def q_pretokenize(spark, sf_dir):
 def q_word_freq(spark, sf_dir):
     from corpusprep.operators.vocab import word_freq
 
-    return word_freq(table(spark, sf_dir, "documents").select("text"), "text")
+    return word_freq(table(spark, sf_dir, "documents", ["doc_id", "text"]).select("text"), "text")
 
 
 # ---- A: files, hub, streams -------------------------------------------------------------------------------

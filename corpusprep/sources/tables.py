@@ -60,15 +60,19 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     return df.repartition(target, key).persist(StorageLevel.MEMORY_AND_DISK)
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
+    """A driver table, pruned to ``columns`` before any spreading (so a spread copy holds only
+    what the query reads)."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     key = TEXT_TABLE_KEYS.get(name)
+    if columns:
+        df = df.select(*(list(columns) if key is None or key in columns else [key, *columns]))
     return spread(df, key) if key else df
 
 
 def documents_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``doc_id, src, tgt, lang, source`` from ``documents`` (only the text column is parsed)."""
-    d = table(spark, sf_dir, "documents")
+    d = table(spark, sf_dir, "documents", ["doc_id", "text", "lang", "source"])
     return d.select(
         F.col("doc_id").alias("row_key"),
         T.first_line("text").alias("src"),
@@ -80,7 +84,7 @@ def documents_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def conversation_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """User turn ``t`` paired with the assistant turn ``t + 1`` of the same conversation."""
-    c = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    c = table(spark, sf_dir, "conversations", ["conv_id", "turn", "role", "text"])
     u = c.where(F.col("role") == "user").select(
         "conv_id", F.col("turn").alias("u_turn"), F.col("text").alias("src")
     )
