@@ -4,8 +4,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from corpusprep.llm import quality_rules
+from corpusprep.llm import decontaminate, quality_rules
 from corpusprep.session import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -74,3 +75,32 @@ SELECT *, {base} AS base_failed, NOT {base} AND {ok} AS kept FROM f
 
 
 ORACLE["op4_quality_rules"] = _op4_sql()
+
+
+@query
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.judge(decontaminate.find(documents, read(spark, sf_dir, "benchmark")))
+    return found.select(
+        F.col("c0").alias("doc_id"), "n_words", "n_hit", "n_items",
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
+ORACLE["op3_decontaminate"] = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
+bw AS (SELECT item_id, unnest(range(1, greatest(len(ws) - 13, 0) + 2)) AS i, ws FROM b WHERE len(ws) > 0),
+win AS (SELECT DISTINCT item_id, list_slice(ws, i, i + 12) AS win FROM bw),
+lens AS (SELECT DISTINCT len(win) AS m FROM win),
+dw AS (SELECT doc_id, ws, unnest(range(1, len(ws) + 1)) AS i FROM d),
+occ AS (SELECT doc_id, i, m, item_id FROM dw JOIN lens ON i + m - 1 <= len(ws) JOIN win ON win = list_slice(ws, i, i + m - 1)),
+hit AS (SELECT doc_id, count(*) AS n_hit FROM (SELECT DISTINCT doc_id, unnest(range(i, i + m)) FROM occ) GROUP BY doc_id),
+it AS (SELECT doc_id, count(*) AS n_items, sha256(string_agg(item_id, ',' ORDER BY item_id)) AS items_sha256
+       FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item_id FROM occ) GROUP BY doc_id)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       coalesce(items_sha256, sha256('')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN it USING (doc_id)
+"""
