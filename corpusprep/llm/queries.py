@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusprep.llm import decontaminate, packing, quality_rules, repeats
+from corpusprep.llm import decontaminate, lshforest, packing, quality_rules, repeats
 from corpusprep.session import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -121,3 +121,8 @@ FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN it USING (doc_id)
 @query
 def op7_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.spans(read(spark, sf_dir, "documents")).drop("row")
+
+
+@query
+def op10_jaccard_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lshforest.join(read(spark, sf_dir, "documents"))
