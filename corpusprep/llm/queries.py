@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusprep.llm import decontaminate, lshforest, packing, quality_rules, repeats
+from corpusprep.llm import decontaminate, langid, lshforest, packing, quality_rules, repeats, resample, warc, wrappers
 from corpusprep.session import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -120,9 +120,34 @@ FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN it USING (doc_id)
 
 @query
 def op7_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeats.spans(read(spark, sf_dir, "documents")).drop("row")
+    return repeats.spans(read(spark, sf_dir, "documents"))
 
 
 @query
 def op10_jaccard_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lshforest.join(read(spark, sf_dir, "documents"))
+
+
+@query
+def op5_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.select(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"), F.expr("quality = 1 AND toxic = 0"))
+
+
+@query
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(read(spark, sf_dir, "pages"), read(spark, sf_dir, "documents"))
+
+
+@query
+def op8_html_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrappers.extract(read(spark, sf_dir, "pages"))
+
+
+@query
+def op6_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = warc.archive_folder(spark)
+    pages = read(spark, sf_dir, "pages")
+    index = warc.write(pages, folder)
+    key = pages.schema["page_id"].dataType.simpleString()
+    return warc.read(index, folder, payloads=False).select(
+        F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers").cast(key).alias("refers_to"))
