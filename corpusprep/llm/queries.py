@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusprep.llm import decontaminate, langid, lshforest, packing, quality_rules, repeats, resample, warc, wrappers
+from corpusprep.llm import decontaminate, langid, licenses, lshforest, packing, quality_rules, repeats, resample, warc, wrappers
 from corpusprep.session import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -151,3 +151,8 @@ def op6_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = pages.schema["page_id"].dataType.simpleString()
     return warc.read(index, folder, payloads=False).select(
         F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers").cast(key).alias("refers_to"))
+
+
+@query
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(read(spark, sf_dir, "documents"))

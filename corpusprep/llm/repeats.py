@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusprep.llm.textbuf import BY_SPACE, U64, Words, covered, duplicated, mix, prefix_hash, runs, span_hash, text_bytes
+from corpusprep.llm.textbuf import BY_SPACE, U64, Words, covered, duplicated, mix, prefix_hash, runs, span_hash, squeezed, text_bytes, unsqueezed
 from corpusprep.session import ensure_checkpoint_dir
 
 
@@ -43,7 +43,7 @@ class Passages:
     """``min_words``: shortest passage; ``sample``: places of which one suffix is kept; ``order_words``: words that rank a place."""
 
     min_words: int = 50
-    sample: int = 16
+    sample: int = 18
     order_words: int = 6
 
     @property
@@ -103,10 +103,12 @@ def _suffixes(p: Passages):
                 for a, b in runs(texts):
                     s = Sampled(texts[a:b], p)
                     doc, key = s.words.doc[s.suffix], s.hashes(s.suffix, p.prefix)
-                    twice = duplicated(key ^ mix(doc.astype(U64) + U64(1)))
+                    salted = key ^ mix(doc.astype(U64) + U64(1))
+                    twice = duplicated(salted)
+                    once = np.sort(np.unique(salted, return_index=True)[1])
                     yield pa.RecordBatch.from_arrays(
                         [*batch.slice(a, b - a).columns[:2], pa.array(np.diff(s.words.first)),
-                         _lists(key, doc, b - a), _lists(key[twice], doc[twice], b - a)],
+                         _lists(key[once], doc[once], b - a), _lists(key[twice], doc[twice], b - a)],
                         names=["doc", "row", "words", "suffixes", "twice"])
 
     return scan
@@ -121,7 +123,7 @@ def _windows(p: Passages):
                 fresh = np.append(last is None or ids[0] != last, ids[1:] != ids[:-1]) if len(ids) else np.zeros(0, bool)
                 last = ids[-1] if len(ids) else last
                 batch = batch.filter(pa.array(fresh))  # of equal texts, which the join leaves side by side, one is enough
-                ids, texts, lists = ids[fresh], text_bytes(batch.column(1)), batch.column(2)
+                ids, texts, lists = ids[fresh], unsqueezed(batch.column(1)), batch.column(2)
                 for a, b in runs(texts):
                     s, part = Sampled(texts[a:b], p), lists.slice(a, b - a)
                     salt = mix(np.arange(b - a, dtype=U64) + U64(1))
@@ -150,7 +152,7 @@ def _text_spans(df: DataFrame, key: str, text: str, p: Passages) -> tuple[DataFr
     again = (suffixes.groupBy("suffix").agg(F.min("row").alias("r0"), F.max("row").alias("r1")).where("r0 <> r1").select("suffix")
              .union(sampled.select(F.explode("twice").alias("suffix"))).distinct())
     wanted = suffixes.join(again, "suffix", "left_semi").groupBy("row").agg(F.collect_set("suffix").alias("suffixes"))
-    windows = plain.select("row", "text").join(wanted, "row").select("row", "text", "suffixes").mapInArrow(
+    windows = squeezed(plain.select("row", "text"), "text").join(wanted, "row").select("row", "text", "suffixes").mapInArrow(
         _windows(p), "passage long, row long, place long")
     apart = F.col("place") % 2
     owners = (windows.groupBy("passage").agg(F.min("row").alias("owner"), F.max("row").alias("last"), F.max(apart).alias("apart"))
