@@ -230,7 +230,10 @@ def exact_links(left: list[np.ndarray], right: list[np.ndarray] | None, similari
 
 
 def _tiles(similarity: float):
-    """Rows ``tile, side, class, rows, grams`` sorted by tile -> ``class, links, other``: linked rows, and one linked class."""
+    """Rows ``tile, side, class, rows, grams`` sorted by tile -> ``class, links, other``: linked rows, and one linked class.
+
+    Side 2 is compared with itself, side 0 with side 1.
+    """
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in groups(batches):
@@ -248,7 +251,7 @@ def _tiles(similarity: float):
                     out[2].append(min(nodes[hits].min(), nodes[i]))
 
             for lo, hi in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
-                zero, one = lo + np.flatnonzero(side[lo:hi] == 0), lo + np.flatnonzero(side[lo:hi] == 1)
+                zero, one, own = (lo + np.flatnonzero(side[lo:hi] == k) for k in range(3))
                 if len(zero) and len(one):
                     back: dict[int, list[int]] = {}
                     for i, hits in exact_links([sets[k] for k in zero], [sets[k] for k in one], similarity):
@@ -257,10 +260,8 @@ def _tiles(similarity: float):
                             back.setdefault(j, []).append(zero[i])
                     for j, hits in back.items():
                         note(one[j], np.array(hits))
-                else:
-                    own = zero if len(zero) else one
-                    for i, hits in exact_links([sets[k] for k in own], None, similarity):
-                        note(own[i], own[hits])
+                for i, hits in exact_links([sets[k] for k in own], None, similarity) if len(own) else ():
+                    note(own[i], own[hits])
             yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int64())],
                                              names=["class", "links", "other"])
 
@@ -314,7 +315,7 @@ def _linked(df: DataFrame, key: str, text: str, forest: Forest) -> tuple[DataFra
     block = F.pmod(F.xxhash64(F.lit(7), "class"), F.col("sides")).cast("int")
     tiled = (sets.withColumn("block", block).withColumn("mate", F.explode(F.sequence(F.lit(0), F.col("sides") - 1)))
              .select(F.xxhash64("root", F.least("block", "mate"), F.greatest("block", "mate")).alias("tile"),
-                     (F.col("block") > F.col("mate")).cast("int").alias("side"), "class", "rows", "grams"))
+                     F.when(F.col("block") == F.col("mate"), 2).otherwise((F.col("block") > F.col("mate")).cast("int")).alias("side"), "class", "rows", "grams"))
     links = (tiled.repartition("tile").sortWithinPartitions("tile")
              .mapInArrow(_tiles(forest.similarity), "class long, links long, other long").checkpoint())
     return rows, classes, links
