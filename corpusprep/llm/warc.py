@@ -14,7 +14,7 @@ Equal payloads are found by a grouped aggregation over digests (narrow rows, pre
 equi-join, which adaptive execution can split, so a payload shared by a third of all pages is no bottleneck.
 
 Defined cases: a null payload is empty; null addresses write no target; null keys count as the largest;
-repeated rows (equal key and payload) are one response and revisits of it; an empty table gives no
+rows that share the smallest key of a payload are one page and all responses; an empty table gives no
 archive and no rows.
 """
 from __future__ import annotations
@@ -117,10 +117,10 @@ def write(pages: DataFrame, folder: str, key: str = "page_id", url: str = "url",
     spark = pages.sparkSession
     kind = pages.schema[key].dataType.simpleString()
     sha = F.sha1(F.coalesce(F.col(payload), F.lit("")).cast("binary"))
-    rows = pages.select(F.col(key).alias("key"), F.col(url).alias("url"), F.col(payload).alias("payload"), sha.alias("sha"), F.monotonically_increasing_id().alias("nth"))
-    order = F.struct(F.col("key").isNull().alias("null"), "key", "nth")
-    firsts = rows.groupBy("sha").agg(F.min(order).alias("head")).select("sha", F.col("head.key").alias("first"), F.col("head.nth").alias("first_nth"))
-    marked = rows.join(firsts, "sha").select("key", "url", "payload", F.when(F.col("nth") != F.col("first_nth"), F.coalesce(F.col("first").cast("string"), F.lit(""))).alias("refers"))
+    rows = pages.select(F.col(key).alias("key"), F.col(url).alias("url"), F.col(payload).alias("payload"), sha.alias("sha"))
+    firsts = rows.groupBy("sha").agg(F.min("key").alias("first"))
+    refers = F.when(~F.col("key").eqNullSafe(F.col("first")), F.col("first").cast("string"))
+    marked = rows.join(firsts, "sha").select("key", "url", "payload", refers.alias("refers"))
     fs, base = pafs.FileSystem.from_uri(folder)
     fs.create_dir(f"{base}/archives", recursive=True)
     index = marked.mapInArrow(_writer(f"{folder}/archives", archive_bytes), f"key {kind}, url string, {INDEX}")
