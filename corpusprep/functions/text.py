@@ -70,19 +70,6 @@ def max_len(src_len, tgt_len) -> Column:
     return F.greatest(_c(src_len), _c(tgt_len) + F.lit(1))
 
 
-def first_line(c) -> Column:
-    """Text up to the first LF (the whole text when there is none)."""
-    return F.substring_index(F.coalesce(_c(c), F.lit("")), "\n", 1)
-
-
-def second_line(c) -> Column:
-    """Text between the first and second LF, or '' when the text has a single line."""
-    t = F.coalesce(_c(c), F.lit(""))
-    return F.when(F.instr(t, "\n") > 0, F.substring_index(F.substring_index(t, "\n", 2), "\n", -1)).otherwise(
-        F.lit("")
-    )
-
-
 def _hex_lower(code: Column, width: int) -> Column:
     return F.lpad(F.lower(F.hex(code)), width, "0")
 

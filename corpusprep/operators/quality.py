@@ -18,11 +18,6 @@ from corpusprep.functions import text as T
 REASONS = ("empty", "ratio", "src_short", "src_long", "tgt_short", "tgt_long")
 
 
-def with_lengths(df: DataFrame, src: str = "src", tgt: str = "tgt") -> DataFrame:
-    """Add ``src_len``/``tgt_len``: Python ``len(s.split())`` of each side."""
-    return df.withColumn("src_len", T.word_count(src)).withColumn("tgt_len", T.word_count(tgt))
-
-
 def ratio_ok(src_len, tgt_len, ratio_max: float) -> Column:
     """``max(s, t) / min(s, t) <= ratio_max``, false when either side is empty (checked first)."""
     s, t = F.col(src_len) if isinstance(src_len, str) else src_len, F.col(tgt_len) if isinstance(tgt_len, str) else tgt_len

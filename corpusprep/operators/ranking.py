@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-ROWS_PER_SLICE = 1_000_000
+ROWS_PER_SLICE = 20_000
 MAX_BROADCAST_ROWS = 200_000
 
 

@@ -6,13 +6,12 @@ on (skey, row_key) that any executor can evaluate for its own rows.
 
 "Take the first n" then means "find the n-th row in that order". A global ``ORDER BY .. LIMIT n``
 merges ``partitions x n`` rows in one task, which does not survive n = 50,000 on 10,000 input
-partitions. Instead the n-th key is located with hash-prefix histograms: one aggregate counts
-rows per 4-hex-digit prefix of the md5 (at most 65,536 tiny groups, map-side combined), the
-driver walks the cumulative counts to the prefix holding the n-th row, and only that prefix is
-ordered (``TakeOrderedAndProject`` with an offset). md5 spreads keys evenly, so a prefix holds
-about N/65,536 rows; if one still holds too many (duplicate keys), the prefix is refined, and a
-prefix that cannot be split further is resolved by grouping its exact keys. Rows at or before the
-cutoff are then selected with a plain filter - no global sort, no single-task window.
+partitions. Instead the n-th row is located by counting: one aggregate counts rows per range of the order (for md5
+keys, per four hex digits), the range with the n-th row is counted again in finer ranges, and so on
+until it holds a single value. Each step brings a bounded number of range counts to the driver, never
+rows or keys. Rows before the cutoff are then selected with a plain filter - no global sort, no
+single-task window. Rows that share the cutoff's key are told apart by a hash of their content, so
+exactly n rows come out also when keys repeat.
 """
 from __future__ import annotations
 
@@ -20,81 +19,117 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T_
 
 from corpusprep.functions import text as T
 from corpusprep.operators.quality import REASONS
 
-PREFIX_STEP = 4  # hex digits per histogram level (65,536 groups)
-ORDER_LIMIT = 250_000  # rows a single ordered take may merge (about 25 MB of keys in one task)
+HEX_STEP = 4  # hex digits per counting step (65,536 ranges)
+CELLS = 4096  # ranges per counting step of a number
 
 
 def add_shuffle_key(df: DataFrame, seed: int, key: str = "row_key", out: str = "skey") -> DataFrame:
     return df.withColumn(out, T.shuffle_key(seed, key))
 
 
-def _le(skey: str, key: str, cut: tuple) -> Column:
-    """(skey, key) <= cut, lexicographically."""
-    cs, ck = cut
-    return (F.col(skey) < F.lit(cs)) | ((F.col(skey) == F.lit(cs)) & (F.col(key) <= F.lit(ck)))
+@dataclass(frozen=True)
+class Cut:
+    """The k-th row of an order: its key, how many of the rows with this key belong to the first k, and how many there are."""
 
+    skey: object
+    key: object
+    take: int
+    tied: int
 
-def kth_in_order(df: DataFrame, k: int, skey: str = "skey", key: str = "row_key") -> tuple | None:
-    """The k-th (1-based) ``(skey, key)`` of ``df`` in ascending order, or None if fewer rows.
+    def before(self, skey: str, key: str) -> Column:
+        return _below(skey, self.skey) | (F.col(skey).eqNullSafe(F.lit(self.skey)) & _below(key, self.key))
 
-    Driver traffic is bounded by the histogram width, never by the data or by k.
+    def at(self, skey: str, key: str) -> Column:
+        return F.col(skey).eqNullSafe(F.lit(self.skey)) & F.col(key).eqNullSafe(F.lit(self.key))
+
+
+def _below(column: str, value) -> Column:
+    """Before ``value`` in ascending order; nulls come first."""
+    return F.lit(False) if value is None else F.col(column).isNull() | (F.col(column) < F.lit(value))
+
+
+def kth_value(df: DataFrame, column: str, k: int, step: int = 1) -> tuple | None:
+    """(value, rank among rows with this value, number of such rows) of the k-th smallest value; nulls come first.
+
+    None if there are fewer rows. Strings are counted by prefixes that grow by ``step`` characters, numbers
+    by equal ranges.
     """
-    if k < 1:
-        raise ValueError("k must be >= 1")
-    narrow = df.select(skey, key)
-    prefix, plen, remaining = "", 0, k
+    text = isinstance(df.schema[column].dataType, T_.StringType)
+    c, scope, prefix, low, high = F.col(column), df.select(column), "", None, None
     while True:
-        scope = narrow if not prefix else narrow.where(F.col(skey).startswith(prefix))
-        if plen >= 32:
-            # Identical shuffle keys: resolve by exact row key counts.
-            counts = scope.groupBy(key).count().orderBy(key).collect()
-            for row in counts:
-                if remaining <= row["count"]:
-                    return prefix, row[key]
-                remaining -= row["count"]
-            return None
-        nl = min(plen + PREFIX_STEP, 32)
-        hist = scope.groupBy(F.substring(skey, 1, nl).alias("p")).count().collect()
-        cum = 0
-        chosen = None
-        for row in sorted(hist, key=lambda r: r["p"]):
-            if cum + row["count"] >= remaining:
-                chosen = row
+        if text:
+            cell = F.substring(c, 1, len(prefix) + step)
+        elif low is None:
+            cell = c.isNotNull().cast("long")
+        else:
+            share = (c.cast("double") - F.lit(float(low))) / F.lit(float(high - low))  # not exact, but never out of order
+            cell = F.floor(share * (CELLS - 1)) if high - low >= CELLS else c - F.lit(low)
+        counts = scope.groupBy(cell.alias("cell")).agg(F.count(F.lit(1)).alias("n"), F.min(c).alias("low"), F.max(c).alias("high")).collect()
+        for r in sorted(counts, key=lambda r: (r["cell"] is not None, r["low"] is not None, r["low"])):
+            if k <= r["n"]:
                 break
-            cum += row["count"]
-        if chosen is None:
+            k -= r["n"]
+        else:
             return None
-        remaining -= cum
-        prefix, plen = chosen["p"], nl
-        if chosen["count"] <= ORDER_LIMIT:
-            got = (
-                narrow.where(F.col(skey).startswith(prefix))
-                .orderBy(skey, key)
-                .offset(remaining - 1)
-                .limit(1)
-                .collect()
-            )
-            return (got[0][skey], got[0][key]) if got else None
+        if r["low"] == r["high"]:
+            return r["low"], k, r["n"]
+        low, high = r["low"], r["high"]
+        if text:
+            prefix = r["cell"]
+            scope = df.select(column).where(c.startswith(prefix))
+        else:
+            scope = df.select(column).where(c.between(low, high))
+
+
+def kth_in_order(df: DataFrame, k: int, skey: str = "skey", key: str = "row_key") -> Cut | None:
+    """The k-th (1-based) row of ``df`` by ``(skey, key)``, or None if there are fewer rows.
+
+    Driver traffic is bounded by the number of ranges, never by the data or by k.
+    """
+    if k < 1:
+        raise ValueError("k must be >= 1")
+    narrow = df.select(skey, key)
+    found = kth_value(narrow, skey, k, HEX_STEP)
+    if found is None:
+        return None
+    cs, rank, _ = found
+    ck, take, tied = kth_value(narrow.where(F.col(skey).eqNullSafe(F.lit(cs))), key, rank)
+    return Cut(cs, ck, take, tied)
+
+
+def _some_of(rows: DataFrame, n: int) -> DataFrame:
+    """Exactly ``n`` of the rows, chosen by a hash of their content; equal rows stand in for each other."""
+    content = F.md5(F.to_json(F.struct(*(F.col(c) for c in rows.columns)), {"ignoreNullFields": "false"}))
+    keyed = rows.withColumn("_content", content)
+    h, take, tied = kth_value(keyed, "_content", n, HEX_STEP)
+    below, same = keyed.where(F.col("_content") < h), keyed.where(F.col("_content") == h)
+    if take < tied:
+        same = same.limit(1).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.lit(take)))).drop("_copy")
+    return below.unionByName(same).drop("_content")
+
+
+def first_in_order(df: DataFrame, cut: Cut | None, skey: str = "skey", key: str = "row_key") -> DataFrame:
+    """The rows up to a cutoff, exactly as many as were asked for."""
+    if cut is None:
+        return df
+    if cut.take == cut.tied:
+        return df.where(cut.before(skey, key) | cut.at(skey, key))
+    return df.where(cut.before(skey, key)).unionByName(_some_of(df.where(cut.at(skey, key)), cut.take))
 
 
 def sample_n(df: DataFrame, n: int | None, seed: int = 42, key: str = "row_key", shuffle: bool = True) -> DataFrame:
-    """B1: the first ``n`` rows of the seeded shuffle (all rows when n is None or larger).
+    """B1: exactly the first ``n`` rows of the seeded shuffle (all rows when n is None or larger).
 
     ``shuffle=False`` keeps source order, taken as ascending ``key``. The result keeps ``skey``
-    so later stages can re-establish the order without re-hashing.
+    so later stages can re-establish the order without re-hashing. Keys may repeat.
     """
-    if shuffle:
-        keyed = add_shuffle_key(df, seed, key)
-    else:
-        keyed = df.withColumn("skey", F.lit(""))
-    if n is None:
-        return keyed
-    cut = kth_in_order(keyed, n, "skey", key)
-    return keyed if cut is None else keyed.where(_le("skey", key, cut))
+    keyed = add_shuffle_key(df, seed, key) if shuffle else df.withColumn("skey", F.lit(""))
+    return keyed if n is None else first_in_order(keyed, kth_in_order(keyed, n, "skey", key), "skey", key)
 
 
 def shuffle_positions(df: DataFrame, seed: int = 42, key: str = "row_key") -> DataFrame:
@@ -143,7 +178,7 @@ class FirstN:
 
     selected: DataFrame
     funnel: DataFrame
-    cutoff: tuple | None
+    cutoff: Cut | None
     narrow: DataFrame | None = None
 
     def release(self) -> None:
@@ -163,12 +198,13 @@ def first_n_valid(classified: DataFrame, n: int, seed: int = 42, key: str = "row
 
     keyed = add_shuffle_key(classified, seed, key)
     narrow = keyed.select(key, "skey", "reason").persist(StorageLevel.MEMORY_AND_DISK)
-    valid = narrow.where(F.col("reason").isNull())
-    cut = kth_in_order(valid, n, "skey", key)
-    window = narrow if cut is None else narrow.where(_le("skey", key, cut))
+    cut = kth_in_order(narrow.where(F.col("reason").isNull()), n, "skey", key)
     r = F.col("reason")
-    seen = F.count(F.lit(1))
-    ok = F.count_if(r.isNull())
+    valid = F.count_if(r.isNull())
+    if cut is None:
+        window, ok, seen = narrow, valid, F.count(F.lit(1))
+    else:  # of rows that share the cutoff's key, the valid ones come first
+        window, ok, seen = narrow.where(cut.before("skey", key)), valid + cut.take, F.count(F.lit(1)) + cut.take
     funnel = window.agg(
         ok.alias("n"),
         seen.alias("seen"),
@@ -177,6 +213,5 @@ def first_n_valid(classified: DataFrame, n: int, seed: int = 42, key: str = "row
         ok.alias("selected"),
         *[F.count_if(r == x).alias(f"filtered_{x}") for x in REASONS],
     )
-    rows = keyed if cut is None else keyed.where(_le("skey", key, cut))
-    selected = rows.where(F.col("reason").isNull())
+    selected = first_in_order(keyed.where(r.isNull()), cut, "skey", key)
     return FirstN(selected=selected, funnel=funnel, cutoff=cut, narrow=narrow)

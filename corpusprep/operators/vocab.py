@@ -32,9 +32,12 @@ lowest rank, leftmost first), caching repeated words per worker.
 """
 from __future__ import annotations
 
+import hashlib
+import heapq
 import json
 from dataclasses import dataclass, field
 
+import numpy as np
 import pandas as pd
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -277,41 +280,39 @@ def learn_bpe(texts: DataFrame, cfg: VocabConfig = VocabConfig(), text: str = "t
               top_k: int = PAIR_TOP_K, checkpoint_every: int = CHECKPOINT_EVERY, log=None) -> BpeModel:
     """Learn the vocabulary from a frame of texts (see ``_learn_bpe``).
 
-    The rounds are many small jobs of a fixed shape over an already partitioned word table, where
-    adaptive re-planning only adds latency, so AQE is switched off for their duration and the
-    session's setting restored afterwards.
+    The distinct words are counted and written to the shared folder first. The rounds are many small jobs of
+    a fixed shape over that table, where adaptive re-planning only adds latency; they run in a session of
+    their own with AQE off, so other queries of the caller's session keep their plans.
     """
+    from corpusprep.session import delete_path, shared_path
+
     spark = texts.sparkSession
-    key = "spark.sql.adaptive.enabled"
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, "false")
+    path = shared_path(spark, "bpe-words")
+    word_freq(texts, text).write.parquet(path)
+    quiet = spark.newSession()
+    quiet.conf.set("spark.sql.adaptive.enabled", "false")
+    quiet.conf.set("spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions"))
     try:
-        return _learn_bpe(texts, cfg, text, max_merges, top_k, checkpoint_every, log)
+        return _learn_bpe(quiet.read.parquet(path), cfg, max_merges, top_k, checkpoint_every, log)
     finally:
-        if before is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, before)
+        delete_path(spark, path)
 
 
-def _learn_bpe(texts: DataFrame, cfg: VocabConfig, text: str, max_merges: int | None, top_k: int,
-               checkpoint_every: int, log) -> BpeModel:
-    """Learn the vocabulary from a frame of texts.
+def _learn_bpe(words: DataFrame, cfg: VocabConfig, max_merges: int | None, top_k: int, checkpoint_every: int, log) -> BpeModel:
+    """Learn the vocabulary from a table of distinct words and their counts.
 
     ``max_merges`` stops early after that many merges (benchmarks); ``None`` runs to the rules'
     own end. Driver state: the vocabulary and merge list (bounded by ``vocab_size``), the alphabet,
     and ``top_k`` candidate rows per round.
     """
     cfg.validate()
-    spark = texts.sparkSession
+    spark = words.sparkSession
     from corpusprep.session import ensure_checkpoint_dir, ship_package
 
     ensure_checkpoint_dir(spark)
     ship_package(spark)
-    words = word_freq(texts, text).persist(StorageLevel.MEMORY_AND_DISK)
     initial = _initial_symbols(words).persist(StorageLevel.MEMORY_AND_DISK)
     codes = sorted(r["c"] for r in initial.select(F.explode("sym").alias("c")).distinct().collect())
-    words.unpersist()
     alphabet = [chr(c - CHAR_BASE) for c in codes]
     tokens = list(cfg.special_tokens)
     for ch in alphabet:
@@ -377,84 +378,95 @@ def _learn_bpe(texts: DataFrame, cfg: VocabConfig, text: str, max_merges: int |
 
 # ---- G6 / G7: encode and decode -------------------------------------------------------------------------
 
-_CACHE: dict = {}
+_CACHE: dict = {}  # in a Python worker: the encoder of the last model, by the hash of its content
+WORDS_KEPT = 1_000_000  # encoded words a worker keeps; beyond it they are encoded again, with the same result
+
+
+def _merge_word(ids: list[int], ranks: dict[tuple[int, int], tuple[int, int]]) -> list[int]:
+    """Merges in order of their rank, leftmost first, by a heap of the pairs of a linked list."""
+    if len(ids) < 2:
+        return ids
+    right, left, alive = list(range(1, len(ids))) + [-1], list(range(-1, len(ids) - 1)), [True] * len(ids)
+    heap = [(*ranks[p], i, p) for i, p in enumerate(zip(ids, ids[1:], strict=False)) if p in ranks]
+    heapq.heapify(heap)
+    while heap:
+        _, new, i, pair = heapq.heappop(heap)
+        j = right[i] if alive[i] else -1
+        if j < 0 or (ids[i], ids[j]) != pair:
+            continue  # one of the two has been merged since
+        ids[i], alive[j], right[i] = new, False, right[j]
+        if right[j] >= 0:
+            left[right[j]] = i
+        for k in (left[i], i):
+            if k >= 0 and right[k] >= 0 and (p := (ids[k], ids[right[k]])) in ranks:
+                heapq.heappush(heap, (*ranks[p], k, p))
+    return [x for x, a in zip(ids, alive, strict=True) if a]
 
 
 def _word_encoder(model_key: str, tokens: list[str], merges: list[tuple[int, int, int]], specials: tuple, unk: str):
-    """A per-worker word -> ids function with a bounded cache."""
-    state = _CACHE.get(model_key)
-    if state is not None:
-        return state
+    """word -> ids, with a bounded memory of words."""
+    if model_key in _CACHE:
+        return _CACHE[model_key]
     index = {t: i for i, t in enumerate(tokens)}
-    ranks = {}
-    for rank, (a, b, n) in enumerate(merges):
-        ranks[(a, b)] = (rank, n)
+    ranks = {(a, b): (rank, n) for rank, (a, b, n) in enumerate(merges)}
     special_ids = {s: index[s] for s in specials if s in index}
     unk_id = index.get(unk)
-    cache: dict[str, list[int]] = {}
+    known: dict[str, list[int]] = {}
 
     def encode_word(w: str) -> list[int]:
-        got = cache.get(w)
-        if got is not None:
-            return got
-        if w in special_ids:
-            out = [special_ids[w]]
-        else:
-            ids = []
-            for ch in w:
-                i = index.get(ch)
-                if i is None:
-                    if unk_id is not None:
-                        ids.append(unk_id)
-                else:
-                    ids.append(i)
-            while len(ids) > 1:
-                best = None
-                for p in range(len(ids) - 1):
-                    m = ranks.get((ids[p], ids[p + 1]))
-                    if m is not None and (best is None or m[0] < best[0]):
-                        best = (m[0], p, m[1])
-                if best is None:
-                    break
-                _, p, n = best
-                ids[p : p + 2] = [n]
-            out = ids
-        if len(cache) < 1_000_000:
-            cache[w] = out
+        out = known.get(w)
+        if out is None:
+            if w in special_ids:
+                out = [special_ids[w]]
+            else:
+                out = _merge_word([i for ch in w if (i := index.get(ch, unk_id)) is not None], ranks)
+            if len(known) < WORDS_KEPT:
+                known[w] = out
         return out
 
+    _CACHE.clear()
     _CACHE[model_key] = encode_word
     return encode_word
 
 
 def encode(df: DataFrame, model: BpeModel, text: str, out: str = "ids") -> DataFrame:
-    """Text -> ``array<int>`` ids. Specials are cut out first; pre-tokens are built on the JVM;
-    the merge loop runs per distinct word per worker (cached)."""
+    """Text -> ``array<int>`` ids. Specials are cut out first; pre-tokens are built on the JVM; of each
+    Arrow batch the distinct words are encoded once, and the ids of all words gathered from them."""
     spark = df.sparkSession
     from corpusprep.session import ship_package
 
     ship_package(spark)
-    bc = spark.sparkContext.broadcast((model.tokens, model.merges, tuple(model.special_tokens), model.unk_token))
-    key = f"bpe-{id(model)}-{len(model.tokens)}-{len(model.merges)}"
+    content = (model.tokens, model.merges, tuple(model.special_tokens), model.unk_token)
+    bc = spark.sparkContext.broadcast(content)  # bounded by the vocabulary size
+    key = hashlib.sha1(repr(content).encode("utf-8", "surrogatepass")).hexdigest()
 
     @F.pandas_udf(T.ArrayType(T.IntegerType()))
     def _ids(pieces: pd.Series) -> pd.Series:
-        tokens, merges, specials, unk = bc.value
-        enc = _word_encoder(key, tokens, merges, specials, unk)
-        return pd.Series([[i for w in ws for i in enc(w)] for ws in pieces])
+        enc = _word_encoder(key, *bc.value)
+        n = np.array([0 if p is None else len(p) for p in pieces], np.int64)
+        words = np.concatenate([np.asarray(p, object) for p in pieces if p is not None and len(p)]) if n.any() else np.zeros(0, object)
+        codes, distinct = pd.factorize(words)
+        table = [enc(w) for w in distinct]
+        sizes = np.array([len(x) for x in table], np.int64)
+        flat = np.array([i for x in table for i in x], np.int32)
+        begin = np.cumsum(sizes) - sizes
+        per_word = sizes[codes]
+        place = np.arange(per_word.sum()) - np.repeat(np.cumsum(per_word) - per_word, per_word)
+        ids = flat[np.repeat(begin[codes], per_word) + place]
+        ends = np.concatenate(([0], np.cumsum(per_word)))[np.concatenate(([0], np.cumsum(n)))]
+        return pd.Series([ids[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)])
 
     return df.withColumn(out, _ids(TX.pretokens_with_specials(text, model.special_tokens)))
 
 
-def decode(df: DataFrame, model: BpeModel, ids: str, key: str, out: str = "decoded") -> DataFrame:
-    """Ids -> text: look the ids up (join with the vocabulary, whose size is bounded by the
-    vocabulary setting), drop special tokens, join the tokens with a space."""
-    spark = df.sparkSession
-    specials = set(model.special_tokens)
-    vocab = model.vocab_df(spark).where(~F.col("token").isin(list(specials)))
-    exploded = df.select(key, F.posexplode(ids).alias("pos", "id"))
-    joined = exploded.join(F.broadcast(vocab), "id")
-    dec = joined.groupBy(key).agg(
-        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("pos", "token"))), lambda x: x["token"]), " ").alias(out)
-    )
-    return df.join(dec, key, "left").withColumn(out, F.coalesce(F.col(out), F.lit("")))
+def decode(df: DataFrame, model: BpeModel, ids: str, out: str = "decoded") -> DataFrame:
+    """Ids -> text: the tokens of the ids, without special tokens, joined by a space. No shuffle."""
+    special = set(model.special_tokens)
+    bc = df.sparkSession.sparkContext.broadcast([None if t in special else t for t in model.tokens])  # bounded by the vocabulary size
+
+    @F.pandas_udf(T.StringType())
+    def _text(rows: pd.Series) -> pd.Series:
+        tokens = bc.value
+        return pd.Series(["" if r is None else " ".join(t for i in r if 0 <= i < len(tokens) and (t := tokens[i]) is not None) for r in rows], dtype=object)
+
+    return df.withColumn(out, _text(F.col(ids)))

@@ -6,9 +6,10 @@ Each job is a lazy plan plus the few actions it needs. Metrics are collected wit
 from __future__ import annotations
 
 import time
+from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from corpusprep.config import FilterConfig, RawConfig, VocabConfig
@@ -19,6 +20,7 @@ from corpusprep.operators import quality as Q
 from corpusprep.operators import sampling as S
 from corpusprep.operators import vocab as V
 from corpusprep.plans.catalog import Catalog, Dataset
+from corpusprep.sources.jsonl import with_row_key
 
 
 class RunMetrics:
@@ -60,7 +62,7 @@ def _profile_from(obs: dict) -> dict:
     """E1 from observed sums, rounded in Python exactly as the reference rounds."""
     n = int(obs["n"])
     if n == 0:
-        raise ValueError("Cannot profile an empty dataset: min() of no lengths is undefined.")
+        raise ValueError("no rows, so no lengths to profile")
     ss, ts = int(obs["ssum"]), int(obs["tsum"])
     return {
         "n": n,
@@ -74,14 +76,15 @@ def _profile_from(obs: dict) -> dict:
 def extract_job(source: DataFrame, cfg: RawConfig, catalog: Catalog, force: bool = False) -> Dataset:
     """exists? -> seeded sample of n -> profile + length series -> add.
 
-    ``source`` has ``row_key, src, tgt`` (e.g. ``scan_pairs``/``read_hub`` output or a table view).
+    ``source`` has ``src, tgt`` (e.g. ``scan_pairs``/``read_hub`` output or a table view) and, if rows have a
+    key of their own, ``row_key``; otherwise the hash of the pair is the key.
     """
     if catalog.exists(cfg.dataset_id):
         if not force:
             return catalog.get(cfg.dataset_id)
         catalog.remove(cfg.dataset_id)
     with RunMetrics() as rm:
-        sample = S.sample_n(source.select("row_key", "src", "tgt"), cfg.n, cfg.seed, shuffle=cfg.shuffle)
+        sample = S.sample_n(with_row_key(source).select("row_key", "src", "tgt"), cfg.n, cfg.seed, shuffle=cfg.shuffle)
         rows = with_positions(sample.select(
             "row_key", "skey", "src", "tgt",
             T.word_count("src").alias("src_len"), T.word_count("tgt").alias("tgt_len"),
@@ -113,9 +116,7 @@ def filter_job(catalog: Catalog, raw_id: str, force: bool = False, **overrides)
     if catalog.exists(cfg.dataset_id):
         existing = catalog.get(cfg.dataset_id)
         if existing.parent_id not in (None, raw_id) and not force:
-            raise FileExistsError(
-                f"Filtered id {cfg.dataset_id!r} already holds the output of {existing.parent_id!r}, not {raw_id!r}."
-            )
+            raise FileExistsError(f"{cfg.dataset_id!r} was filtered from {existing.parent_id!r}, not from {raw_id!r}")
         if not force:
             return existing
         catalog.remove(cfg.dataset_id)
@@ -152,8 +153,13 @@ def vocab_job(catalog: Catalog, dataset_id: str, out_path: str, cfg: VocabConfig
 
 def batch_job(rows: DataFrame, model: V.BpeModel, out_path: str | None = None, batch_size: int = 32,
               bucket_width: int = 16, l_src: int = 64, l_tgt: int = 64, drop_last: bool = False, seed: int = 42,
-              epochs: int = 1, key: str = "row_key") -> DataFrame:
-    """Encode, bucket by source word count, collate, pack; optionally written partitioned by epoch."""
+              epochs: int = 1, key: str | None = None) -> DataFrame:
+    """Encode, bucket by source word count, collate, pack; optionally written partitioned by epoch.
+
+    ``rows``: ``src, tgt`` and a key; by default ``row_key``, else ``pos`` or ``idx`` of a catalog dataset.
+    """
+    key = key or next((c for c in ("row_key", "pos", "idx") if c in rows.columns), "row_key")
+    rows = rows.select(key, "src", "tgt")
     pad, bos, eos = (model.token_id(t) for t in ("<PAD>", "<BOS>", "<EOS>"))
     if None in (pad, bos, eos):
         raise ValueError("vocabulary lacks <PAD>, <BOS> or <EOS>")
@@ -167,10 +173,7 @@ def batch_job(rows: DataFrame, model: V.BpeModel, out_path: str | None = None, b
     return packed
 
 
-def run_notebook(spark: SparkSession, source: DataFrame, catalog: Catalog, splits=("train",), n: int = 50000) -> list[Dataset]:
-    """The reference's data notebook as one call: extract each split, then filter every raw set."""
-    out = []
-    for split in splits:
-        out.append(extract_job(source, RawConfig(split=split, n=n), catalog))
-    out.extend(filter_all(catalog))
-    return out
+def run_notebook(source: Callable[[str], DataFrame], catalog: Catalog, splits=("train",), n: int = 50000) -> list[Dataset]:
+    """Extract each split, then filter every raw set. ``source`` gives the pairs of a split; it raises for one that it lacks."""
+    out = [extract_job(source(split), RawConfig(split=split, n=n), catalog) for split in splits]
+    return out + filter_all(catalog)

@@ -27,14 +27,6 @@ def strip(x: str) -> str:
     return f"trim({x}, {WS_CHARS_SQL})"
 
 
-def first_line(t: str) -> str:
-    return f"split_part(coalesce({t}, ''), chr(10), 1)"
-
-
-def second_line(t: str) -> str:
-    return f"split_part(coalesce({t}, ''), chr(10), 2)"
-
-
 def shuffle_key(seed: int, key: str) -> str:
     return f"md5('{seed}:' || CAST({key} AS VARCHAR))"
 
@@ -118,11 +110,13 @@ def reason_case(s: str = "src_len", t: str = "tgt_len", tokens_min: int = 4, tok
 # ---- views -------------------------------------------------------------------------------------
 
 PAIRS = (
-    "pairs AS (SELECT doc_id AS row_key, " + first_line("text") + " AS src, " + second_line("text")
-    + " AS tgt, lang, source FROM documents)"
+    "doc_lines AS (SELECT doc_id, lang, source, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents), "
+    "doc_pairs AS (SELECT *, unnest(range((len(ls) + 1) // 2)) AS i FROM doc_lines), "
+    "pairs AS (SELECT CAST(doc_id AS VARCHAR) || ':' || CAST(i AS VARCHAR) AS row_key, ls[2 * i + 1] AS src, "
+    "coalesce(ls[2 * i + 2], '') AS tgt, lang, source FROM doc_pairs)"
 )
 TURN_PAIRS = (
-    "turn_pairs AS (SELECT u.conv_id * 1000000 + u.turn AS row_key, coalesce(u.text, '') AS src, "
+    "turn_pairs AS (SELECT CAST(u.conv_id AS VARCHAR) || ':' || CAST(u.turn AS VARCHAR) AS row_key, coalesce(u.text, '') AS src, "
     "coalesce(a.text, '') AS tgt FROM conversations u JOIN conversations a "
     "ON a.conv_id = u.conv_id AND a.turn = u.turn + 1 AND a.role = 'assistant' WHERE u.role = 'user')"
 )

@@ -59,6 +59,16 @@ def q_turn_pairs(spark, sf_dir):
     return Q.classify(conversation_pairs(spark, sf_dir), FilterConfig()).select("row_key", "src_len", "tgt_len", "reason")
 
 
+@register(
+    "pairs_coverage",
+    "SELECT doc_id, CAST(length(replace(coalesce(text, ''), chr(10), '')) AS BIGINT) AS n_chars FROM documents",
+)
+def q_pairs_coverage(spark, sf_dir):
+    """Characters of all pairs of a document: nothing but its line breaks is left out."""
+    p = documents_pairs(spark, sf_dir).withColumn("doc_id", F.substring_index("row_key", ":", 1).cast("long"))
+    return p.groupBy("doc_id").agg(F.sum(F.length("src") + F.length("tgt")).cast("long").alias("n_chars"))
+
+
 # ---- B: sampling ---------------------------------------------------------------------------------
 
 
@@ -282,9 +292,12 @@ def _bucket_sql(drop_last: bool = False, epochs: int = 1) -> str:
     )
 
 
+def _layout(rows, drop_last=False, epochs=1):
+    return BK.bucket_batches(rows, "src_len", BATCH, WIDTH, drop_last=drop_last, seed=SEED, epochs=epochs)
+
+
 def _batches(spark, sf_dir, drop_last=False, epochs=1):
-    b = BK.bucket_batches(_clean(spark, sf_dir), "src_len", BATCH, WIDTH, drop_last=drop_last, seed=SEED, epochs=epochs)
-    return b.select(
+    return _layout(_clean(spark, sf_dir), drop_last, epochs).select(
         "row_key", F.col("epoch").cast("int").alias("epoch"), "bucket_id", F.col("rn").cast("long").alias("rn"),
         "chunk", "pos", F.col("batch_index").cast("long").alias("batch_index"),
     )
@@ -335,9 +348,13 @@ def q_batch_count(spark, sf_dir):
 # ---- H: collation (character-level stand-in ids) --------------------------------------------------------
 
 
-def _ids(spark, sf_dir):
+def _with_ids(spark, sf_dir):
     c = _clean(spark, sf_dir)
-    return c.select("row_key", A.char_ids("src").alias("src_ids"), A.char_ids("tgt").alias("tgt_ids"))
+    return c.select("row_key", "src_len", A.char_ids("src").alias("src_ids"), A.char_ids("tgt").alias("tgt_ids"))
+
+
+def _ids(spark, sf_dir):
+    return _with_ids(spark, sf_dir).drop("src_len")
 
 
 _IDS_SQL = f"{_CLEAN_SQL}, ids AS (SELECT row_key, {O.char_ids('src')} AS src_ids, {O.char_ids('tgt')} AS tgt_ids FROM clean)"
@@ -380,15 +397,12 @@ def q_attention_mask(spark, sf_dir):
 @register(
     "pad_to_batch_max",
     f"{_bucket_sql()}, {_IDS_SQL[len(_CLEAN_SQL) + 2:]}, j AS (SELECT bb.epoch, bb.batch_index, bb.row_key, "
-    f"list_slice(ids.src_ids, 1, {L_SEQ}) AS t FROM bb JOIN ids USING (row_key)) "
+    f"ids.src_ids AS t FROM bb JOIN ids USING (row_key)) "
     f"SELECT epoch, batch_index, row_key, list_resize(t, max(len(t)) OVER (PARTITION BY epoch, batch_index), {CL.PAD_ID}) AS ids FROM j",
 )
 def q_pad_to_batch_max(spark, sf_dir):
-    b = _batches(spark, sf_dir).select("row_key", "epoch", "batch_index")
-    j = b.join(_ids(spark, sf_dir), "row_key").select(
-        "epoch", "batch_index", "row_key", F.slice("src_ids", 1, L_SEQ).alias("ids")
-    )
-    return CL.pad_to_batch_max(j, "ids", ["epoch", "batch_index"])
+    b = _layout(_with_ids(spark, sf_dir)).select("epoch", "batch_index", "row_key", F.col("src_ids").alias("ids"))
+    return CL.pad_to_batch_max(b, "ids", ["epoch", "batch_index"])
 
 
 @register(
@@ -398,29 +412,31 @@ def q_pad_to_batch_max(spark, sf_dir):
     f"CAST(list_concat(list_slice(pt.tgt, 1, {L_SEQ - 1}), [{CL.EOS_ID}]) AS INTEGER[]) AS labels FROM bb JOIN pt USING (row_key)) "
     "SELECT epoch, batch_index, count(*) AS batch_rows, list(encoder_input_ids ORDER BY pos) AS encoder_input_ids, "
     "list(decoder_input_ids ORDER BY pos) AS decoder_input_ids, list(labels ORDER BY pos) AS labels, "
+    f"list(list_transform(encoder_input_ids, lambda x: x <> {CL.PAD_ID}) ORDER BY pos) AS encoder_attn_mask, "
+    f"list(list_transform(decoder_input_ids, lambda x: x <> {CL.PAD_ID}) ORDER BY pos) AS decoder_attn_mask, "
     f"{CL.PAD_ID} AS pad_id FROM r GROUP BY epoch, batch_index",
 )
 def q_pack_batches(spark, sf_dir):
-    b = _batches(spark, sf_dir).select("row_key", "epoch", "batch_index", "pos")
-    rows = CL.collate_rows(b.join(_ids(spark, sf_dir), "row_key"), l_src=L_SEQ, l_tgt=L_SEQ)
-    return CL.pack_batches(rows, ["epoch", "batch_index"], fields=["encoder_input_ids", "decoder_input_ids", "labels"])
+    b = _layout(_with_ids(spark, sf_dir)).select("epoch", "batch_index", "pos", "src_ids", "tgt_ids")
+    return CL.pack_batches(CL.collate_rows(b, l_src=L_SEQ, l_tgt=L_SEQ), ["epoch", "batch_index"])
 
 
 @register(
     "next_token_pairs",
     "WITH d AS (SELECT doc_id, " + O.char_ids("coalesce(text, '')") + " AS ids FROM documents WHERE length(coalesce(text, '')) >= 2), "
     f"w AS (SELECT doc_id, ids, CAST(k.range AS INTEGER) AS k FROM d, range(0, CAST(ceil((len(ids) - 1) / {T_CTX}) AS BIGINT)) AS k) "
-    f"SELECT doc_id, k AS window, list_slice(ids, k * {T_CTX} + 1, k * {T_CTX} + {T_CTX}) AS x, "
+    f"SELECT doc_id, k AS window, list_slice(list_slice(ids, 1, len(ids) - 1), k * {T_CTX} + 1, k * {T_CTX} + {T_CTX}) AS x, "
     f"list_slice(ids, k * {T_CTX} + 2, k * {T_CTX} + {T_CTX} + 1) AS y FROM w",
 )
 def q_next_token_pairs(spark, sf_dir):
+    """H7: every window of a text's ids, and the ids that follow each; both have the same length."""
     d = table(spark, sf_dir, "documents", ["doc_id", "text"]).select("doc_id", A.char_ids("text").alias("ids")).where(F.size("ids") >= 2)
     n_win = F.ceil((F.size("ids") - 1) / F.lit(T_CTX)).cast("int")
     w = d.select("doc_id", "ids", F.explode(F.sequence(F.lit(0), n_win - 1)).alias("window"))
-    start = F.col("window") * T_CTX
+    start, most = F.col("window") * T_CTX, F.size("ids") - 1
     return w.select(
         "doc_id", "window",
-        F.slice("ids", start + 1, F.lit(T_CTX)).alias("x"),
+        F.slice("ids", start + 1, F.least(F.lit(T_CTX), most - start)).alias("x"),
         F.slice("ids", start + 2, F.lit(T_CTX)).alias("y"),
     )
 
@@ -500,8 +516,8 @@ from corpusprep.sources import jsonl as J  # noqa: E402
 _PAIRS_SQL = f"WITH {O.PAIRS} SELECT row_key, src, tgt FROM pairs"
 
 
-def _nested(df: DataFrame) -> DataFrame:
-    return df.select("row_key", F.struct(F.col("src").alias("en"), F.col("tgt").alias("fr")).alias("translation"))
+def _nested(df: DataFrame, *keep: str) -> DataFrame:
+    return df.select("row_key", *keep, F.struct(F.col("src").alias("en"), F.col("tgt").alias("fr")).alias("translation"))
 
 
 @register("scan_pairs", _PAIRS_SQL)
@@ -544,19 +560,26 @@ def q_export_jsonl(spark, sf_dir):
     return spark.read.schema("idx string, src string, tgt string").json(path)
 
 
-@register("source_by_language_split", f"WITH {O.PAIRS} SELECT row_key, src, tgt, lang, 'train' AS split FROM pairs")
+_SPLIT_SQL = "CASE WHEN CAST(substr(md5(row_key), 1, 1) AS VARCHAR) < '8' THEN 'train' ELSE 'validation' END"
+
+
+@register(
+    "source_by_language_split",
+    f"WITH {O.PAIRS}, s AS (SELECT row_key, src, tgt, lang, {_SPLIT_SQL} AS split FROM pairs) "
+    "SELECT * FROM s WHERE lang = 'en' UNION ALL SELECT * FROM s WHERE lang = 'fr' AND split = 'validation'",
+)
 def q_source_by_language_split(spark, sf_dir):
-    """A5: documents laid out as a hub dataset (lang / split folders) and read back through it."""
+    """A5: documents laid out as a hub dataset (lang / split folders); one language, and one split of another, read back."""
     root = shared_path(spark, "hub")
-    p = documents_pairs(spark, sf_dir)
-    hub_rows = _nested(p).join(p.select("row_key", "lang"), "row_key").withColumn("split", F.lit("train"))
-    J.write_hub(hub_rows, root, "documents")
-    return J.read_hub(spark, root, "documents", extra=T_ROWKEY)
+    split = F.when(F.substring(F.md5("row_key"), 1, 1) < "8", "train").otherwise("validation")
+    J.write_hub(_nested(documents_pairs(spark, sf_dir), "lang").withColumn("split", split), root, "documents")
+    return J.read_hub(spark, root, "documents", lang="en", extra=T_ROWKEY).union(
+        J.read_hub(spark, root, "documents", lang="fr", split="validation", extra=T_ROWKEY))
 
 
 from pyspark.sql import types as _T  # noqa: E402
 
-T_ROWKEY = _T.StructType([_T.StructField("row_key", _T.LongType())])
+T_ROWKEY = _T.StructType([_T.StructField("row_key", _T.StringType())])
 
 
 def _stream_input(spark, sf_dir, files: int = 4) -> str:
@@ -586,7 +609,7 @@ def q_stream_totals(spark, sf_dir):
     out, ck = shared_path(spark, "stream_out"), shared_path(spark, "stream_ck")
     ing = stream_ingest(spark, src, out, ck, FilterConfig(), max_files_per_trigger=1, totals_name=None)
     ing.await_done()
-    return spark.read.parquet(ing.totals_path).select("seen", "ok", *Q.REASONS)
+    return ing.latest_totals().select("seen", "ok", *Q.REASONS)
 
 
 @register("stream_take")
@@ -783,7 +806,7 @@ def q_decode(spark, sf_dir):
 
     m = _model(spark, sf_dir)
     c = encode(_clean(spark, sf_dir).select("row_key", "src"), m, "src", "ids")
-    return decode(c, m, "ids", "row_key").select("row_key", "decoded")
+    return decode(c, m, "ids").select("row_key", "decoded")
 
 
 @register("batch_job")

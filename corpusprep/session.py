@@ -1,12 +1,14 @@
 """Session construction and shared-folder helpers.
 
-Jobs never write to a machine-local temporary folder: scratch tables and checkpoints live under
-the folder the cluster names in ``spark.checkpoint.dir``. Only when that setting is absent (a
-laptop, a test) do we set one ourselves.
+Scratch tables and checkpoints live under the folder the cluster names in ``spark.checkpoint.dir``. Where
+that setting is absent, a session on one machine gets a temporary folder, removed at its end; on a
+cluster it is an error.
 """
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -54,7 +56,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
-        conf_dir = tempfile.mkdtemp(prefix="corpusprep-ckpt-")
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        conf_dir = tempfile.mkdtemp(prefix="corpusprep-ckpt-")  # one machine: driver and executor are one process
+        atexit.register(shutil.rmtree, conf_dir, ignore_errors=True)
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
 
@@ -93,10 +98,6 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
     return [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]
 
 
-def local_test_dir() -> str:
-    return os.environ.get("CORPUSPREP_TMP", "/tmp")
-
-
 _SHIPPED: set = set()
 
 

@@ -47,8 +47,7 @@ def flatten_translation(df: DataFrame, lang_src: str = "en", lang_tgt: str = "fr
             parts.append(F.col(lang))
         if not parts:
             raise KeyError(
-                f"Dataset/Config mismatch: missing key {lang!r}. Expected keys: {lang_src!r}, {lang_tgt!r}. "
-                f"Row keys: {sorted(cols | nested)}."
+                f"no column for language {lang!r}: a row must hold {lang_src!r} and {lang_tgt!r}, but the input has {sorted(cols | nested)}"
             )
         if lang in nested:  # nested wins when present, as row.get("translation", row) does
             return F.when(F.col("translation").isNotNull(), parts[0]).otherwise(parts[1] if len(parts) > 1 else F.lit(None))
@@ -61,7 +60,7 @@ def scan_pairs(spark: SparkSession, path: str, lang_src: str = "en", lang_tgt: s
                extra: T.StructType | None = None) -> DataFrame:
     """A1 + A4: read JSON Lines pairs (UTF-8, one object per line) as ``[extra..], src, tgt``."""
     if not path_exists(spark, path):
-        raise FileNotFoundError(f"No such file or directory: {path!r}")
+        raise FileNotFoundError(f"nothing to scan at {path!r}")
     schema = pair_schema(lang_src, lang_tgt)
     keep = []
     if extra is not None:
@@ -72,6 +71,15 @@ def scan_pairs(spark: SparkSession, path: str, lang_src: str = "en", lang_tgt: s
     return flatten_translation(raw, lang_src, lang_tgt, keep)
 
 
+def with_row_key(df: DataFrame, key: str = "row_key") -> DataFrame:
+    """Rows of files without a key get the hash of their content as ``key`` (equal pairs share it)."""
+    if key in df.columns:
+        return df
+    from corpusprep.functions import text as TX
+
+    return df.withColumn(key, TX.content_idx(F.coalesce("src", F.lit("")), F.coalesce("tgt", F.lit(""))))
+
+
 def write_jsonl_exclusive(df: DataFrame, path: str) -> None:
     """A2: create; an existing target raises (``PATH_ALREADY_EXISTS``). Non-ASCII kept as is."""
     df.write.mode("errorifexists").option("encoding", "UTF-8").json(path)
@@ -102,10 +110,13 @@ def read_hub(spark: SparkSession, root: str, dataset: str, lang: str | None = No
     base = hub_path(root, dataset)
     known = list_dirs(spark, root)
     if dataset not in known:
-        raise ValueError(f"Unknown dataset {dataset!r}; available: {sorted(known)}")
+        raise ValueError(f"the hub has no dataset {dataset!r}, only {sorted(known)}")
     langs = [d.split("=", 1)[1] for d in list_dirs(spark, base) if d.startswith("lang=")]
     if lang is not None and lang not in langs:
-        raise ValueError(f"Unknown language config {lang!r} for {dataset!r}; available: {sorted(langs)}")
+        raise ValueError(f"{dataset!r} has no language pair {lang!r}, only {sorted(langs)}")
+    splits = {d.split("=", 1)[1] for x in ([lang] if lang is not None else langs) for d in list_dirs(spark, f"{base}/lang={x}") if d.startswith("split=")}
+    if split is not None and split not in splits:
+        raise ValueError(f"{dataset!r} has no split {split!r}, only {sorted(splits)}")
     schema = pair_schema(lang_src, lang_tgt)
     keep = []
     if extra is not None:

@@ -1,98 +1,57 @@
-"""Pair views over the driver's parquet tables.
+"""Pair views over the given Parquet tables.
 
-There is no bilingual table in the test data, so two views stand in for a parallel corpus:
+There is no bilingual table, so two views stand in for a parallel corpus:
 
-* ``pairs`` from ``documents``: ``src`` = the first line of the text, ``tgt`` = the second line
-  (or '' for one-line texts); row key ``doc_id``.
-* ``turn_pairs`` from ``conversations``: a user turn followed by the assistant turn of the same
-  conversation; row key ``conv_id * 1_000_000 + turn``. Built with an equi-join on
-  ``(conv_id, turn + 1)`` rather than a window over the conversation, so a very long
-  conversation is split by the join (AQE skew handling) instead of landing in one task.
+* ``pairs`` from ``documents``: lines 1 and 2 of a text are a pair, lines 3 and 4 the next, to the end; an
+  odd last line is paired with ''. Row key ``<doc_id>:<pair number>``.
+* ``turn_pairs`` from ``conversations``: a user turn and the assistant turn that follows it in the same
+  conversation; row key ``<conv_id>:<turn>``. System turns, and user turns without such an answer, are
+  in no pair. Built with an equi-join on ``(conv_id, turn + 1)`` rather than a window over the
+  conversation, so a very long one is split by the join.
 """
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusprep.functions import text as T
-
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"
 ).split()
 
 
-# Text tables and the key their rows are spread by.
-TEXT_TABLE_KEYS = {"documents": "doc_id", "conversations": "conv_id", "pages": "page_id", "benchmark": "item_id"}
-
-
-SMALL_INPUT_BYTES_PER_CORE = 64 * 1024 * 1024
-
-
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Give CPU-heavy text stages at least one task per core.
-
-    A scan yields one task per file split, and a split only works if it holds a row group. A
-    small corpus stored as a few single-row-group files would be parsed by a few cores. Only in
-    that case (fewer files than cores and a small total size) are rows hash-spread by their key,
-    which is deterministic under retries, and kept cached. A large input has many files and is
-    left untouched, so at scale this adds no shuffle and no cache.
-    """
-    from corpusprep.session import fs_for
-
-    target = df.sparkSession.sparkContext.defaultParallelism
-    try:
-        files = df.inputFiles()
-    except Exception:  # noqa: BLE001 - not a file scan
-        return df
-    if not files or len(files) >= target:
-        return df
-    total = 0
-    for f in files:
-        fs, p = fs_for(df.sparkSession, f)
-        total += fs.getFileStatus(p).getLen()
-    if total > SMALL_INPUT_BYTES_PER_CORE * target:
-        return df
-    # Cached: the spread copy is small by the test above, equal plans share one cache entry, and
-    # the cache keeps row filters from being pushed below the exchange into the single scan task.
-    from pyspark import StorageLevel
-
-    return df.repartition(target, key).persist(StorageLevel.MEMORY_AND_DISK)
+#: Session setting: deal rows of the tables out to so many partitions after the scan. Unset by default; for
+#: tables stored as a few row groups, which a scan cannot split over all cores.
+SCAN_PARTITIONS = "corpusprep.scan.partitions"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
-    """A driver table, pruned to ``columns`` before any spreading (so a spread copy holds only
-    what the query reads)."""
+    """A given table, pruned to ``columns``."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    key = TEXT_TABLE_KEYS.get(name)
     if columns:
-        df = df.select(*(list(columns) if key is None or key in columns else [key, *columns]))
-    return spread(df, key) if key else df
+        df = df.select(*columns)
+    parts = spark.conf.get(SCAN_PARTITIONS, None)
+    return df.repartition(int(parts)) if parts else df
 
 
 def documents_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``doc_id, src, tgt, lang, source`` from ``documents`` (only the text column is parsed)."""
+    """``row_key, src, tgt, lang, source``: all lines of ``documents``, two by two."""
     d = table(spark, sf_dir, "documents", ["doc_id", "text", "lang", "source"])
-    return d.select(
-        F.col("doc_id").alias("row_key"),
-        T.first_line("text").alias("src"),
-        T.second_line("text").alias("tgt"),
-        "lang",
-        "source",
-    )
+    lines = F.split(F.coalesce("text", F.lit("")), "\n")
+    n = F.ceil(F.size("lines") / 2).cast("int")
+    pairs = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.struct(
+        i.alias("no"), F.get("lines", 2 * i).alias("src"), F.coalesce(F.get("lines", 2 * i + 1), F.lit("")).alias("tgt")))
+    rows = d.withColumn("lines", lines).select("doc_id", "lang", "source", F.explode(pairs).alias("p"))
+    return rows.select(F.concat_ws(":", "doc_id", "p.no").alias("row_key"), "p.src", "p.tgt", "lang", "source")
 
 
 def conversation_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """User turn ``t`` paired with the assistant turn ``t + 1`` of the same conversation."""
     c = table(spark, sf_dir, "conversations", ["conv_id", "turn", "role", "text"])
-    u = c.where(F.col("role") == "user").select(
-        "conv_id", F.col("turn").alias("u_turn"), F.col("text").alias("src")
-    )
-    a = c.where(F.col("role") == "assistant").select(
-        "conv_id", (F.col("turn") - 1).alias("u_turn"), F.col("text").alias("tgt")
-    )
+    u = c.where(F.col("role") == "user").select("conv_id", F.col("turn").alias("u_turn"), F.col("text").alias("src"))
+    a = c.where(F.col("role") == "assistant").select("conv_id", (F.col("turn") - 1).alias("u_turn"), F.col("text").alias("tgt"))
     return u.join(a, ["conv_id", "u_turn"], "inner").select(
-        (F.col("conv_id") * F.lit(1_000_000) + F.col("u_turn")).alias("row_key"),
+        F.concat_ws(":", "conv_id", "u_turn").alias("row_key"),
         F.coalesce("src", F.lit("")).alias("src"),
         F.coalesce("tgt", F.lit("")).alias("tgt"),
     )

@@ -17,13 +17,15 @@ from pyspark.sql.streaming import StreamingQuery
 
 from corpusprep.config import FilterConfig
 from corpusprep.operators import quality as Q
+from corpusprep.session import list_dirs, path_exists
 from corpusprep.sources.jsonl import flatten_translation, pair_schema
 
 
 def stream_pairs(spark: SparkSession, in_dir: str, lang_src: str = "en", lang_tgt: str = "fr",
-                 key_field: str = "row_key", max_files_per_trigger: int = 1) -> DataFrame:
+                 key_field: str = "row_key", max_files_per_trigger: int = 1,
+                 key_type: T.DataType = T.StringType()) -> DataFrame:
     """An unbounded frame of ``row_key, src, tgt`` over JSON Lines files arriving in ``in_dir``."""
-    schema = pair_schema(lang_src, lang_tgt).add(key_field, T.LongType())
+    schema = pair_schema(lang_src, lang_tgt).add(key_field, key_type)
     raw = (
         spark.readStream.schema(schema)
         .option("maxFilesPerTrigger", max_files_per_trigger)
@@ -61,6 +63,13 @@ class Ingest:
         self.rows.awaitTermination()
         self.totals.awaitTermination()
 
+    def latest_totals(self) -> DataFrame:
+        """The totals of the last trigger that was written in full."""
+        spark = SparkSession.getActiveSession()
+        done = [int(d[6:]) for d in list_dirs(spark, self.totals_path)
+                if d.startswith("batch=") and path_exists(spark, f"{self.totals_path}/{d}/_SUCCESS")]
+        return spark.read.parquet(f"{self.totals_path}/batch={max(done)}")
+
     def stop(self) -> None:
         for q in (self.rows, self.totals):
             if q.isActive:
@@ -93,8 +102,9 @@ def stream_ingest(spark: SparkSession, in_dir: str, out_dir: str, checkpoint_dir
     totals_path = f"{out_dir.rstrip('/')}/totals"
 
     def _write_totals(batch: DataFrame, batch_id: int) -> None:
-        # Complete mode hands over the whole (one-row) result each batch; keep the latest.
-        batch.write.mode("overwrite").parquet(totals_path)
+        # Complete mode hands over the whole (one-row) result; every trigger has a folder of its own, so a
+        # failed write never harms earlier totals. A folder counts once Spark has marked it as a success.
+        batch.write.mode("overwrite").parquet(f"{totals_path}/batch={batch_id}")
 
     totals_q = (
         running_totals(classified)

@@ -8,24 +8,22 @@ sys.path.insert(0, ROOT)
 
 
 
-def _fixture_64() -> str | None:
-    """The 64-row raw test split named in FIXTURES.md §1 (``CORPUSPREP_FIXTURE_64`` overrides)."""
-    import re
+def synthetic_pairs(n: int = 64) -> list[dict]:
+    """Our own bilingual rows: plain sentences, no-break spaces, quotes, one short row, lengths from 3 to 60 words."""
+    import random
+
+    rng = random.Random(64)
+    en = "the a house river small old runs sees Mr. we're time-table light, over under yes two 1999 green \"quoted\" it's".split()
+    fr = "le la maison rivière petite vieux court voit M. l'été emploi lumière, sur sous oui deux 1999 vert «\u00a0cité\u00a0» n'est".split()
+    rows = []
+    for i in range(n):
+        k = 3 if i == 54 else rng.randint(4, 46)
+        m = 4 if i == 54 else max(4, min(60, k + rng.randint(-1, k // 2)))
+        end = "\u00a0!" if i % 5 == 0 else "."
+        rows.append({"en": " ".join(rng.choice(en) for _ in range(k)) + ("" if i % 3 else " "), "fr": " ".join(rng.choice(fr) for _ in range(m)) + end})
+    return rows
 
-    if os.environ.get("CORPUSPREP_FIXTURE_64"):
-        return os.environ["CORPUSPREP_FIXTURE_64"]
-    try:
-        text = open(os.path.join(ROOT, "FIXTURES.md"), encoding="utf-8").read()
-    except OSError:
-        return None
-    base = re.search(r"relative to `([^`]+)`", text)
-    rel = re.search(r"`([^`]*64_examples[^`]*\.jsonl)", text)
-    if not (base and rel):
-        return None
-    return os.path.join(base.group(1), rel.group(1).split(":")[0])
 
-
-FIXTURE_64 = _fixture_64()
 SF001 = "/root/testdata/sf0.001"
 SF01 = "/root/testdata/sf0.01"
 
@@ -40,12 +38,7 @@ def spark():
 
 @pytest.fixture(scope="session")
 def rows64():
-    import json
-
-    if not FIXTURE_64 or not os.path.exists(FIXTURE_64):
-        pytest.skip("64-row fixture not present")
-    with open(FIXTURE_64, encoding="utf-8") as f:
-        return [json.loads(line) for line in f]
+    return synthetic_pairs()
 
 
 # Adversarial strings for text parity (FIXTURES §3).

@@ -19,12 +19,10 @@ def test_fingerprints():
 
 @pytest.fixture(scope="module")
 def source(spark, rows64):
+    """A file as users have it: language columns only, no key."""
     path = shared_path(spark, "fixture64")
-    df = spark.createDataFrame([(i, r["en"], r["fr"]) for i, r in enumerate(rows64)], "row_key long, en string, fr string")
-    J.write_jsonl_exclusive(df, path)
-    from pyspark.sql import types as T
-
-    return J.scan_pairs(spark, path, extra=T.StructType([T.StructField("row_key", T.LongType())]))
+    J.write_jsonl_exclusive(spark.createDataFrame([(r["en"], r["fr"]) for r in rows64], "en string, fr string"), path)
+    return J.scan_pairs(spark, path)
 
 
 @pytest.fixture()
@@ -32,13 +30,14 @@ def catalog(spark):
     return Catalog(spark, shared_path(spark, "catalog-test"))
 
 
-def test_extract_profile_golden(spark, source, catalog):
+def test_extract_profile(spark, source, catalog, rows64):
     ds = JB.extract_job(source, RawConfig(split="test", n=64), catalog)
     assert ds.id == "6ff6609f" and ds.stage == "raw" and ds.n == 64
     m = ds.metrics
-    assert (m["src_min_seq_len"], m["src_max_seq_len"], m["src_avg_seq_len"]) == (3, 47, 22.594)
-    assert (m["tgt_min_seq_len"], m["tgt_max_seq_len"], m["tgt_avg_seq_len"]) == (4, 61, 26.0)
-    assert (m["min_seq_len"], m["max_seq_len"], m["avg_seq_len"]) == (3, 61, 24.297)
+    sl, tl = [len(r["en"].split()) for r in rows64], [len(r["fr"].split()) for r in rows64]
+    assert (m["src_min_seq_len"], m["src_max_seq_len"], m["src_avg_seq_len"]) == (min(sl), max(sl), round(sum(sl) / 64, 3))
+    assert (m["tgt_min_seq_len"], m["tgt_max_seq_len"], m["tgt_avg_seq_len"]) == (min(tl), max(tl), round(sum(tl) / 64, 3))
+    assert (m["min_seq_len"], m["max_seq_len"], m["avg_seq_len"]) == (min(sl + tl), max(sl + tl), round(sum(sl + tl) / 128, 3))
     assert ds.series.count() == 64
     assert m["duration"] >= 0 and m["throughput"] >= 0
 
@@ -66,11 +65,44 @@ def test_extract_then_filter_n8(spark, source, catalog):
     assert catalog.show(split="validation").count() == 0
 
 
-def test_full_funnel_on_fixture(spark, source, catalog):
+def test_full_funnel_on_fixture(spark, source, catalog, rows64):
     raw = JB.extract_job(source, RawConfig(split="test", n=64), catalog)
     filt = JB.filter_job(catalog, raw.id, n=50000)
     m = filt.metrics
-    assert m["seen"] == 64 and m["selected"] == 63 and m["filtered_src_short"] == 1
+    reasons = {}
+    for r in rows64:
+        a, b = len(r["en"].split()), len(r["fr"].split())
+        why = "ratio" if max(a, b) / min(a, b) > 2 else "src_short" if a < 4 else "src_long" if a > 64 else "tgt_short" if b < 4 else "tgt_long" if b > 64 else ""
+        reasons[why] = reasons.get(why, 0) + 1
+    assert m["seen"] == 64 and m["selected"] == reasons[""] and m["filtered_src_short"] == reasons["src_short"] == 1
+
+
+def test_catalog_set_to_written_batches(spark, source, catalog, tmp_path):
+    from corpusprep.config import VocabConfig
+
+    raw = JB.extract_job(source, RawConfig(split="test", n=64), catalog)
+    filt = JB.filter_job(catalog, raw.id, n=20)
+    model = JB.vocab_job(catalog, filt.id, str(tmp_path / "vocab"), VocabConfig(vocab_size=90))
+    JB.batch_job(catalog.get(filt.id).rows, model, str(tmp_path / "batches"), batch_size=8)
+    back = spark.read.parquet(str(tmp_path / "batches")).collect()
+    assert sum(r["batch_rows"] for r in back) == filt.n
+    assert all(len(x) == 64 for r in back for x in r["encoder_input_ids"] + r["labels"])
+    with pytest.raises(Exception):
+        JB.batch_job(catalog.get(filt.id).rows, model, str(tmp_path / "batches"), batch_size=8)
+
+
+def test_every_split_is_extracted_from_its_own_rows(spark, catalog, rows64):
+    root = shared_path(spark, "hub-splits")
+    rows = [(r["en"], r["fr"], "fr-en", "train" if i % 2 else "test") for i, r in enumerate(rows64)]
+    J.write_hub(spark.createDataFrame(rows, "en string, fr string, lang string, split string"), root, "wmt14")
+    take = lambda split: J.read_hub(spark, root, "wmt14", lang="fr-en", split=split)
+    done = JB.run_notebook(take, catalog, ("train", "test"), n=50)
+    assert [(d.stage, d.split, d.metrics.get("n")) for d in done[:2]] == [("raw", "train", 32), ("raw", "test", 32)]
+    assert {d.split for d in done[2:]} == {"train", "test"}
+    texts = [{r["src"] for r in d.rows.collect()} for d in done[:2]]
+    assert texts[0] == {r[0] for r in rows if r[3] == "train"} and texts[1] == {r[0] for r in rows if r[3] == "test"}
+    with pytest.raises(ValueError, match="split"):
+        JB.run_notebook(take, catalog, ("validation",))
 
 
 def test_repo_scenarios(spark, source, catalog):
@@ -103,7 +135,7 @@ def test_empty_registry_has_schema(spark, catalog):
 
 def test_missing_language_key(spark):
     df = spark.createDataFrame([("a",)], "de string")
-    with pytest.raises(KeyError, match="missing key"):
+    with pytest.raises(KeyError, match="no column for language"):
         J.flatten_translation(df)
 
 
@@ -120,7 +152,11 @@ def test_hub_unknown_dataset(spark):
         J.read_hub(spark, root, "wmt15")
     with pytest.raises(ValueError):
         J.read_hub(spark, root, "wmt14", lang="de-en")
-    got = J.read_hub(spark, root, "wmt14", lang="fr-en", split="train").collect()
+    with pytest.raises(ValueError):
+        J.read_hub(spark, root, "wmt14", lang="fr-en", split="dev")
+    one = J.read_hub(spark, root, "wmt14", lang="fr-en", split="train")
+    assert "PartitionFilters: [isnotnull(lang" in one._jdf.queryExecution().executedPlan().toString()
+    got = one.collect()
     assert [(r.src, r.tgt) for r in got] == [("a b", "c d")]
 
 

@@ -70,16 +70,63 @@ def test_rank_within_sliced_equals_window(spark):
     assert a == b
 
 
-def test_kth_in_order_refines_and_handles_duplicates(spark, monkeypatch):
-    monkeypatch.setattr(S, "ORDER_LIMIT", 3)
+def test_kth_in_order_with_repeated_keys(spark):
     rows = [(k, hashlib.md5(str(k).encode()).hexdigest()) for k in range(500)] + [(7, "0" * 32)] * 5
     df = spark.createDataFrame(rows, "row_key long, skey string")
     ordered = sorted((s, k) for k, s in rows)
     for k in (1, 3, 5, 6, 40, 505):
-        assert S.kth_in_order(df, k) == ordered[k - 1]
+        cut = S.kth_in_order(df, k)
+        assert (cut.skey, cut.key) == ordered[k - 1]
+        assert ordered[k - cut.take : k - cut.take + cut.tied] == [ordered[k - 1]] * cut.tied
     assert S.kth_in_order(df, 506) is None
 
 
+def test_kth_value_of_strings_and_numbers(spark):
+    import random
+
+    rng = random.Random(6)
+    words = [None, "", "a", "ab", "ab", "é", "\U0001F600"] + ["".join(rng.choice("abc") for _ in range(rng.randint(1, 8))) for _ in range(80)]
+    numbers = [None, -(2**62), 2**62] + [rng.randint(-10, 10**6) for _ in range(60)] + [5] * 9
+    for kind, values in (("string", words), ("long", numbers)):
+        df = spark.createDataFrame([(v,) for v in values], f"v {kind}").repartition(3)
+        order = sorted(values, key=lambda v: (v is not None, v))
+        for k in (1, 2, 7, 30, len(values)):
+            v, rank, n = S.kth_value(df, "v", k)
+            assert v == order[k - 1] and n == values.count(v) and order[k - rank] == v and (k == rank or order[k - rank - 1] != v)
+        assert S.kth_value(df, "v", len(values) + 1) is None
+
+
+def test_exactly_n_rows_with_repeated_keys(spark):
+    rows = [(k % 5, f"t{k % 7}") for k in range(60)] + [(None, "x")] * 3
+    df = spark.createDataFrame(rows, "row_key long, src string").repartition(4)
+    for shuffle in (True, False):
+        for n in (1, 4, 13, 29, 62, 63, 80):
+            got = [tuple(r) for r in S.sample_n(df, n, shuffle=shuffle).select("row_key", "src").collect()]
+            assert len(got) == min(n, 63)
+            assert all(got.count(r) <= rows.count(r) for r in got)
+        again = [sorted(S.sample_n(df, 13, shuffle=shuffle).select("row_key", "src").collect(), key=str) for _ in range(2)]
+        assert again[0] == again[1]
+
+
+def test_source_order_of_many_rows_stays_off_the_driver(spark):
+    """A million rows: every step brings range counts only."""
+    df = spark.range(1_000_000).select(F.col("id").alias("row_key"), F.lit("x").alias("src"))
+    seen, collect = [], type(df).collect
+
+    def counted(self):
+        out = collect(self)
+        seen.append(len(out))
+        return out
+
+    type(df).collect = counted
+    try:
+        got = S.sample_n(df, 260_000, shuffle=False)
+    finally:
+        type(df).collect = collect
+    assert max(seen) <= 65_536 and sum(seen) < 100_000
+    assert got.count() == 260_000 and got.agg(F.max("row_key")).first()[0] == 259_999
+
+
 def test_sample_n_and_first_n(spark):
     rows = [(k, "a b c d e", "a b c d" if k % 4 else "") for k in range(200)]
     df = spark.createDataFrame(rows, "row_key long, src string, tgt string")

@@ -38,33 +38,43 @@ def model600(spark, texts):
     return V.learn_bpe(df, VocabConfig(vocab_size=600, min_frequency=2))
 
 
-@pytest.mark.parametrize("vs,mf,size,n_merges", [(200, 2, 200, 112), (30000, 5, 452, 364)])
-def test_learn_equals_library(spark, texts, vs, mf, size, n_merges):
+@pytest.mark.parametrize("vs,mf", [(120, 2), (30000, 5)])
+def test_learn_equals_library(spark, texts, vs, mf):
     df = spark.createDataFrame([(t,) for t in texts], "text string")
     m = V.learn_bpe(df, VocabConfig(vocab_size=vs, min_frequency=mf))
     tok, lib_merges = _library(texts, vs, mf)
-    assert len(m.tokens) == size and len(m.merges) == n_merges
+    assert len(m.merges) > 20
     assert {t: i for i, t in enumerate(m.tokens)} == tok.get_vocab()
     assert [[m.tokens[a], m.tokens[b]] for a, b, _ in m.merges] == lib_merges
 
 
 def test_vocab600_and_encode(spark, texts, model600):
     tok, lib_merges = _library(texts, 600, 2)
-    assert len(model600.tokens) == 600 and len(model600.merges) == 512
+    assert {t: i for i, t in enumerate(model600.tokens)} == tok.get_vocab()
     assert [[model600.tokens[a], model600.tokens[b]] for a, b, _ in model600.merges] == lib_merges
-    samples = ["hello world", "bonjour le monde", "<BOS> hello 漢字 <EOS>", "x.<BOS>y", texts[0], texts[1], ""]
+    samples = ["hello world", "bonjour la maison", "<BOS> the house 漢字 <EOS>", "x.<BOS>y", texts[0], texts[1], "", "le" * 3000]
     got = V.encode(spark.createDataFrame([(i, s) for i, s in enumerate(samples)], "k int, text string"), model600, "text")
     got = {r.k: r.ids for r in got.collect()}
     for i, s in enumerate(samples):
         assert got[i] == tok.encode(s).ids, s
-    assert [model600.tokens[i] for i in got[2]] == ["<BOS>", "he", "l", "lo", "<UNK>", "<UNK>", "<EOS>"]
 
 
-def test_decode_drops_specials(spark, model600):
-    df = spark.createDataFrame([(1, "<BOS> bonjour le monde <EOS>")], "k int, text string")
-    enc = V.encode(df, model600, "text")
-    dec = V.decode(enc, model600, "ids", "k").first()["decoded"]
-    assert "<BOS>" not in dec and dec.replace(" ", "") == "bonjourlemonde"
+def test_models_of_equal_size_do_not_mix(spark):
+    """Workers outlive models: what one has cached must not be used by another."""
+    df = spark.createDataFrame([("ab ba",)], "text string")
+    one = V.BpeModel(["<UNK>", "a", "b", "ab"], [(1, 2, 3)], ("<UNK>",), "<UNK>")
+    two = V.BpeModel(["<UNK>", "a", "b", "ba"], [(2, 1, 3)], ("<UNK>",), "<UNK>")
+    for _ in range(2):
+        assert V.encode(df, one, "text").first().ids == [3, 2, 1]
+        assert V.encode(df, two, "text").first().ids == [1, 2, 3]
+
+
+def test_decode_drops_specials_and_keeps_rows(spark, model600):
+    df = spark.createDataFrame([(1, "<BOS> la maison <EOS>"), (1, "la maison"), (2, ""), (3, None)], "k int, text string")
+    dec = V.decode(V.encode(df, model600, "text"), model600, "ids").select("k", "text", "decoded")
+    assert "Exchange" not in dec._jdf.queryExecution().executedPlan().toString()
+    got = sorted((r["k"], (r["decoded"] or "").replace(" ", "")) for r in dec.collect())
+    assert got == [(1, "lamaison"), (1, "lamaison"), (2, ""), (3, "")]
 
 
 def test_save_load_roundtrip(spark, model600, tmp_path):
