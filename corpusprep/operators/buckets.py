@@ -53,25 +53,19 @@ def bucket_sizes(df: DataFrame, length: str, width: int = 16, epochs: int = 1) -
 
 
 def chunk_counts(sizes: list, batch_size: int, drop_last: bool) -> dict:
-    """{(epoch, bucket): number of yielded chunks} - one entry per bucket per epoch."""
-    rows = sizes
-    out = {}
-    for r in rows:
-        n = r["count"]
-        out[(r["epoch"], r["bucket_id"])] = n // batch_size if drop_last else -(-n // batch_size)
-    return out
-
-
-def _batch_index_expr(counts: dict, epoch: int, chunk: Column, bucket: Column) -> Column:
-    items = sorted((b, c) for (e, b), c in counts.items() if e == epoch)
-    if not items:
+    """{bucket: number of yielded chunks}; the same in every epoch."""
+    return {r["bucket_id"]: r["count"] // batch_size if drop_last else -(-r["count"] // batch_size) for r in sizes if r["epoch"] == 0}
+
+
+def _batch_index(counts: dict, chunk: Column, bucket: Column) -> Column:
+    if not counts:
         return F.lit(None).cast("long")
-    bids = F.array(*[F.lit(b) for b, _ in items])
-    cs = F.array(*[F.lit(c) for _, c in items])
-    before_passes = F.aggregate(cs, F.lit(0).cast("long"), lambda acc, c: acc + F.least(c, chunk).cast("long"))
-    zipped = F.arrays_zip(bids.alias("b"), cs.alias("c"))
+    buckets = sorted(counts)
+    cs = F.array(*[F.lit(counts[b]) for b in buckets])
+    passes = F.aggregate(cs, F.lit(0).cast("long"), lambda acc, c: acc + F.least(c, chunk).cast("long"))
+    zipped = F.arrays_zip(F.array(*[F.lit(b) for b in buckets]).alias("b"), cs.alias("c"))
     earlier = F.size(F.filter(zipped, lambda z: (z["b"] < bucket) & (z["c"] > chunk)))
-    return before_passes + earlier.cast("long")
+    return passes + earlier.cast("long")
 
 
 def bucket_batches(df: DataFrame, length: str, batch_size: int, width: int = 16, drop_last: bool = False,
@@ -84,22 +78,15 @@ def bucket_batches(df: DataFrame, length: str, batch_size: int, width: int = 16,
     if batch_size < 1:
         raise ValueError("batch_size must be >= 1")
     sizes = bucket_sizes(df, length, width, epochs)
+    counts = chunk_counts(sizes, batch_size, drop_last)
     sh = bucket_shuffle(df, length, width, seed, epochs, key, sizes=sizes)
     sh = sh.withColumn("chunk", F.call_function("div", F.col("rn") - 1, F.lit(batch_size)).cast("int")).withColumn(
         "pos", ((F.col("rn") - 1) % F.lit(batch_size)).cast("int")
     )
-    counts = chunk_counts(sizes, batch_size, drop_last)
-    idx = None
-    for e in range(epochs):
-        expr = _batch_index_expr(counts, e, F.col("chunk"), F.col("bucket_id"))
-        idx = F.when(F.col("epoch") == e, expr) if idx is None else idx.when(F.col("epoch") == e, expr)
-    sh = sh.withColumn("batch_index", idx)
-    if drop_last:
-        cmap = F.create_map(*[x for (e, b), c in counts.items() for x in (F.lit(f"{e}:{b}"), F.lit(c))]) if counts else None
-        if cmap is not None:
-            keep = F.col("chunk") < F.element_at(cmap, F.concat_ws(":", F.col("epoch").cast("string"), F.col("bucket_id").cast("string")))
-            sh = sh.where(keep)
-    return sh
+    if drop_last and counts:
+        known = F.create_map(*[F.lit(x) for item in counts.items() for x in item])
+        sh = sh.where(F.col("chunk") < known[F.col("bucket_id")])
+    return sh.withColumn("batch_index", _batch_index(counts, F.col("chunk"), F.col("bucket_id")))
 
 
 def batch_count(df: DataFrame, length: str, batch_size: int, width: int = 16, drop_last: bool = False) -> DataFrame:
