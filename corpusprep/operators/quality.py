@@ -50,18 +50,12 @@ def classify(df: DataFrame, cfg: FilterConfig, src: str = "src", tgt: str = "tgt
              extra_rules: Sequence[tuple[str, Column]] = (), word_caps: bool = False) -> DataFrame:
     """Lengths plus ``reason`` (null = valid).
 
-    The two word counts are bound once inside a lambda and the reason is derived from the bound
-    values. Written as plain columns, a later ``reason IS NULL`` filter is pushed below the
-    projection with every length reference inlined, and each rule would re-run the split.
+    The two word counts are generated from a one-element array. Catalyst moves no filter and copies no
+    expression below a generator, so the texts are split once, however often lengths and reason are used.
     """
     lens = F.struct(T.word_count(src).alias("src_len"), T.word_count(tgt).alias("tgt_len"))
-
-    def measured(x):
-        reason = reject_reason(cfg, x["src_len"], x["tgt_len"], extra_rules, word_caps)
-        return F.struct(x["src_len"].alias("src_len"), x["tgt_len"].alias("tgt_len"), reason.alias("reason"))
-
-    cls = F.element_at(F.transform(F.array(lens), measured), 1)
-    return df.withColumn("_cls", cls).select(*df.columns, "_cls.src_len", "_cls.tgt_len", "_cls.reason")
+    measured = df.select("*", F.explode(F.array(lens)).alias("_lengths")).select(*df.columns, "_lengths.src_len", "_lengths.tgt_len")
+    return measured.withColumn("reason", reject_reason(cfg, "src_len", "tgt_len", extra_rules, word_caps))
 
 
 def filter_valid(classified: DataFrame) -> DataFrame:
