@@ -4,14 +4,14 @@ import os
 
 import pytest
 
-from conftest import SF01
+from samples import SF01
 
 duckdb = pytest.importorskip("duckdb")
 
 import __spark_entry__ as E  # noqa: E402
 from corpusprep.sources.tables import TABLES  # noqa: E402
 
-ORACLE = E.oracle_sql()
+from corpusprep.plans.queries import ORACLE  # noqa: E402
 
 
 def _norm(v):
@@ -53,14 +53,19 @@ def test_query_matches_oracle(spark, con, name):
     assert _canon(rows, cols) == _canon(orows, ocols)
 
 
-def test_every_query_runs(spark):
-    """Queries without an oracle still run and have a stable schema."""
-    for name, fn in E.queries().items():
-        if name in ORACLE:
-            continue
-        df = fn(spark, SF01)
-        assert df.count() >= 0
-        assert df.columns == fn(spark, SF01).columns if name not in ("stream_take",) else True
+def test_first_merge_of_the_vocabulary_queries(spark, con):
+    """Learned merges have no SQL; the first one is the most frequent pair of neighbouring characters."""
+    from corpusprep.plans.queries import _CLEAN_SQL, BPE_MERGES
+    from corpusprep.plans import oracle_sql as O
+
+    sql = (f"{_CLEAN_SQL}, t AS (SELECT unnest({O.pretokens('src')}) AS w FROM clean UNION ALL SELECT unnest({O.pretokens('tgt')}) FROM clean), "
+           "f AS (SELECT w, count(*) AS n FROM t GROUP BY w), p AS (SELECT w, n, unnest(range(1, length(w))) AS i FROM f) "
+           "SELECT substr(w, i, 1) AS l, substr(w, i + 1, 1) AS r, sum(n) AS n FROM p GROUP BY ALL ORDER BY n DESC, unicode(l), unicode(r) LIMIT 1")
+    left, right, _ = con.execute(sql).fetchone()
+    merges = E.queries()["bpe_learn"](spark, SF01).orderBy("rank").collect()
+    assert len(merges) == BPE_MERGES and (merges[0]["left"], merges[0]["right"]) == (left, right)
+    tokens = [r["token"] for r in E.queries()["vocab_table"](spark, SF01).orderBy("id").collect()]
+    assert tokens[-BPE_MERGES:] == [m["left"] + m["right"] for m in merges]
 
 
 def test_entry_smoke(spark):

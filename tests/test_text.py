@@ -4,7 +4,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from conftest import ADVERSARIAL
+from samples import ADVERSARIAL
 from corpusprep.functions import text as T
 
 
