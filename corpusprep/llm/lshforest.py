@@ -147,23 +147,18 @@ def _link(signature: np.ndarray, forest: Forest) -> np.ndarray:
     m = len(signature)
     root = np.arange(m)
 
-    def join(i: int, near: np.ndarray) -> None:
-        roots = np.unique(np.append(root[near], root[i]))
-        if len(roots) > 1:
-            root[np.isin(root, roots)] = roots[0]
-
     least = forest.similarity - forest.slack
     if m <= forest.all_pairs:
         for i in range(m - 1):
             near = np.flatnonzero((signature[i + 1:] == signature[i]).mean(axis=1) >= least) + i + 1
             if len(near):
-                join(i, near)
+                _join(root, np.append(near, i))
         return root
     open_ = np.ones(m, bool)
     while open_.any():
         i = int(np.argmax(open_))
         alike = (signature == signature[i]).mean(axis=1)
-        join(i, np.flatnonzero(alike >= forest.reach))
+        _join(root, np.append(np.flatnonzero(alike >= forest.reach), i))
         open_ &= alike < forest.cover
         open_[i] = False
     return root
@@ -229,8 +224,16 @@ def exact_links(left: list[np.ndarray], right: list[np.ndarray] | None, similari
         yield i, np.flatnonzero(good)
 
 
+def _join(root: np.ndarray, members: np.ndarray) -> None:
+    """All members, and what they are joined with, get one root: the first."""
+    roots = np.unique(root[members])
+    if len(roots) > 1:
+        root[np.isin(root, roots[1:])] = roots[0]
+
+
 def _tiles(similarity: float):
-    """Rows ``tile, side, class, rows, grams`` sorted by tile -> ``class, links, other``: linked rows, and one linked class.
+    """Rows ``tile, side, class, rows, grams`` sorted by tile -> ``class, links, other``: linked rows, and the first
+    class it is linked with in this tile, by way of others too.
 
     Side 2 is compared with itself, side 0 with side 1.
     """
@@ -242,27 +245,21 @@ def _tiles(similarity: float):
             nodes = batch.column(2).to_numpy(zero_copy_only=False)
             rows = batch.column(3).to_numpy(zero_copy_only=False)
             sets = [np.frombuffer(x, U64) for x in batch.column(4).to_pylist()]
-            at, out = bounds(tile), ([], [], [])
-
-            def note(i, hits, rows=rows, nodes=nodes, out=out):
-                if len(hits):
-                    out[0].append(nodes[i])
-                    out[1].append(int(rows[hits].sum()))
-                    out[2].append(min(nodes[hits].min(), nodes[i]))
-
+            at, links = bounds(tile), np.zeros(len(nodes), np.int64)
+            first = np.arange(len(nodes))
             for lo, hi in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
                 zero, one, own = (lo + np.flatnonzero(side[lo:hi] == k) for k in range(3))
+                root = first[lo:hi]
                 if len(zero) and len(one):
-                    back: dict[int, list[int]] = {}
                     for i, hits in exact_links([sets[k] for k in zero], [sets[k] for k in one], similarity):
-                        note(zero[i], one[hits])
-                        for j in hits.tolist():
-                            back.setdefault(j, []).append(zero[i])
-                    for j, hits in back.items():
-                        note(one[j], np.array(hits))
+                        links[zero[i]] += rows[one[hits]].sum()
+                        links[one[hits]] += rows[zero[i]]
+                        _join(root, np.append(one[hits], zero[i]) - lo)
                 for i, hits in exact_links([sets[k] for k in own], None, similarity) if len(own) else ():
-                    note(own[i], own[hits])
-            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int64())],
+                    links[own[i]] += rows[own[hits]].sum()
+                    _join(root, np.append(own[hits], own[i]) - lo)
+            some = np.flatnonzero(links)
+            yield pa.RecordBatch.from_arrays([pa.array(nodes[some]), pa.array(links[some]), pa.array(nodes[first[some]])],
                                              names=["class", "links", "other"])
 
     return scan

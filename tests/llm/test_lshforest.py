@@ -51,6 +51,10 @@ def corpus():
             for _ in range(rng.randint(0, 5)):
                 w[rng.randrange(len(w))] = f"new{rng.random()}"
             rows.append((len(rows), rng.choice([" ", "\n"]).join(w)))
+    order = [7, 3, 9, 1, 8, 0, 5, 2, 6, 4]  # a chain: each text is like its neighbours only, in no order of keys
+    long = WORD.findall(prose(rng, 150))
+    chain = [" ".join(long[k * 7: k * 7 + 75]) for k in range(10)]
+    rows += [(len(rows) + i, chain[k]) for i, k in enumerate(order)]
     return rows + [(len(rows) + i, prose(rng, n)) for i, n in enumerate([0, 1, 4, 5, 6, 50])]
 
 
