@@ -59,8 +59,9 @@ def test_first_merge_of_the_vocabulary_queries(spark, con):
     from corpusprep.plans import oracle_sql as O
 
     sql = (f"{_CLEAN_SQL}, t AS (SELECT unnest({O.pretokens('src')}) AS w FROM clean UNION ALL SELECT unnest({O.pretokens('tgt')}) FROM clean), "
-           "f AS (SELECT w, count(*) AS n FROM t GROUP BY w), p AS (SELECT w, n, unnest(range(1, length(w))) AS i FROM f) "
-           "SELECT substr(w, i, 1) AS l, substr(w, i + 1, 1) AS r, sum(n) AS n FROM p GROUP BY ALL ORDER BY n DESC, unicode(l), unicode(r) LIMIT 1")
+           "f AS (SELECT w, count(*) AS n FROM t GROUP BY w), p AS (SELECT w, n, unnest(range(1, length(w))) AS i FROM f), "
+           "q AS (SELECT substr(w, i, 1) AS l, substr(w, i + 1, 1) AS r, n FROM p) "
+           "SELECT l, r, sum(n) AS total FROM q GROUP BY l, r ORDER BY total DESC, unicode(l), unicode(r) LIMIT 1")
     left, right, _ = con.execute(sql).fetchone()
     merges = E.queries()["bpe_learn"](spark, SF01).orderBy("rank").collect()
     assert len(merges) == BPE_MERGES and (merges[0]["left"], merges[0]["right"]) == (left, right)

@@ -22,8 +22,6 @@ def main() -> None:
     spark = get_spark("local[8]", 8)
     print(f"# Physical plans of the headline queries\n\nGenerated by `tools/plan_report.py` on `{sf_dir}`"
           " (local[8], AQE on; the initial plan, before runtime re-optimisation).\n")
-    print("Single-row-group inputs get a spread, cached copy (`sources/tables.spread`): the `hashpartitioning`"
-          " exchange on the row key below a cached relation. Multi-file inputs have neither.\n")
     for name in HEADLINE:
         df = QUERIES[name](spark, sf_dir)
         plan = df._jdf.queryExecution().executedPlan().toString()
