@@ -135,7 +135,10 @@ def json_escape_ascii(c) -> Column:
 
 def pair_id(src, tgt) -> Column:
     """8-hex series id: sha1 of the compact ASCII JSON list of source words then target words."""
-    ws = F.concat(words(src), words(tgt))
+    return id_of_words(F.concat(words(src), words(tgt)))
+
+
+def id_of_words(ws: Column) -> Column:
     # Words hold no whitespace, so one SPACE separates them and marks the '","' boundaries.
     joined = json_escape_ascii(F.array_join(ws, " "))
     doc = F.when(F.size(ws) == 0, F.lit("[]")).otherwise(

@@ -18,15 +18,19 @@ PROFILE_COLUMNS = [
 
 
 def length_series(df: DataFrame, src: str = "src", tgt: str = "tgt", key: str | None = "row_key") -> DataFrame:
-    """``id, src_len, tgt_len, max_len`` per row (``id`` = hash of the word lists)."""
-    s, t = T.word_count(src), T.word_count(tgt)
+    """``id, src_len, tgt_len, max_len`` per row (``id`` = hash of the word lists).
+
+    The word lists are generated once (see ``quality.classify``); hash and lengths are derived from them.
+    """
+    lists = F.struct(T.words(src).alias("s"), T.words(tgt).alias("t"))
     cols = [] if key is None else [F.col(key)]
-    return df.select(
+    d = df.select(*cols, F.explode(F.array(lists)).alias("_w")).select(*cols, F.col("_w.s").alias("_s"), F.col("_w.t").alias("_t"))
+    return d.select(
         *cols,
-        T.pair_id(src, tgt).alias("id"),
-        s.alias("src_len"),
-        t.alias("tgt_len"),
-        T.max_len(s, t).alias("max_len"),
+        T.id_of_words(F.concat("_s", "_t")).alias("id"),
+        F.size("_s").alias("src_len"),
+        F.size("_t").alias("tgt_len"),
+        T.max_len(F.size("_s"), F.size("_t")).alias("max_len"),
     )
 
 
