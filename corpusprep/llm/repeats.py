@@ -31,6 +31,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -133,11 +134,19 @@ def _windows(p: Passages):
                     for anchor in s.anchors if len(start) else ():
                         start = np.intersect1d(start, s.start[known[np.searchsorted(s.suffix, anchor)]], assume_unique=True)
                     doc, key = s.words.doc[start], s.hashes(start, p.min_words)
-                    _, first, back = np.unique(key ^ salt[doc], return_index=True, return_inverse=True)
-                    apart = start - start[first][back] >= p.min_words
+                    _, first, back, n = np.unique(key ^ salt[doc], return_index=True, return_inverse=True, return_counts=True)
+                    at = start - s.words.first[doc]
+                    later = np.ones(len(at), bool)
+                    later[first] = False
+                    order = np.flatnonzero(later)[np.argsort(back[later], kind="stable")]  # by passage, then by place
+                    ends = np.cumsum(n - 1)
+                    more = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], ends)).astype(np.int32)), pa.array(at[order].astype(np.int32)))
+                    last = at[first].copy()
+                    last[n > 1] = at[order[ends[n > 1] - 1]]
                     yield pa.RecordBatch.from_arrays(
-                        [_signed(key), pa.array(ids[a:b][doc]), pa.array(((start - s.words.first[doc]) * 2 + apart).astype(np.int64))],
-                        names=["passage", "row", "place"])
+                        [_signed(key[first]), pa.array(ids[a:b][doc[first]]), pa.array(at[first].astype(np.int32)),
+                         pa.array(last - at[first] >= p.min_words), pc.if_else(pa.array(n > 1), more, pa.scalar(None, more.type))],
+                        names=["passage", "row", "start", "apart", "more"])
 
     return scan
 
@@ -153,12 +162,12 @@ def _text_spans(df: DataFrame, key: str, text: str, p: Passages) -> tuple[DataFr
              .union(sampled.select(F.explode("twice").alias("suffix"))).distinct())
     wanted = suffixes.join(again, "suffix", "left_semi").groupBy("row").agg(F.collect_set("suffix").alias("suffixes"))
     windows = squeezed(plain.select("row", "text"), "text").join(wanted, "row").select("row", "text", "suffixes").mapInArrow(
-        _windows(p), "passage long, row long, place long")
-    apart = F.col("place") % 2
-    owners = (windows.groupBy("passage").agg(F.min("row").alias("owner"), F.max("row").alias("last"), F.max(apart).alias("apart"))
-              .where("owner <> last OR apart = 1").select("passage", "owner"))
-    found = windows.join(owners, "passage").select(
-        "row", "owner", ((F.col("row") != F.col("owner")) | (apart == 1)).alias("copy"), F.shiftright("place", 1).alias("start"))
+        _windows(p), "passage long, row long, start int, apart boolean, more array<int>")  # one row for a text and passage
+    owners = (windows.groupBy("passage").agg(F.min("row").alias("owner"), F.max("row").alias("last"), F.max("apart").alias("apart"))
+              .where("owner <> last OR apart").select("passage", "owner"))
+    places = F.concat(F.array(F.col("first")), F.coalesce("more", F.array().cast("array<int>")))
+    found = (windows.withColumnRenamed("start", "first").join(owners, "passage").select("row", "owner", "first", F.explode(places).alias("start"))
+             .select("row", "owner", "start", ((F.col("row") != F.col("owner")) | (F.col("start") - F.col("first") >= p.min_words)).alias("copy")))
     by = ["row", "owner", "copy"]
     island = F.col("start") - F.dense_rank().over(Window.partitionBy(*by).orderBy("start"))
     spans_ = found.withColumn("island", island).groupBy(*by, "island").agg(
