@@ -133,15 +133,22 @@ class BpeModel:
 # ---- G4: learning ----------------------------------------------------------------------------------
 
 
-def _initial_symbols(words: DataFrame) -> DataFrame:
-    """``sym`` = the word's characters as *working ids*: the code point plus ``CHAR_BASE``.
+def _initial_symbols(words: DataFrame, special: dict[int, int] | None = None) -> DataFrame:
+    """``sym`` = the word's characters as *working ids*: the code point plus ``CHAR_BASE``, but for characters
+    that are special tokens themselves (``special``: by code point), which have the id of the token.
 
     Vocabulary ids give characters ascending code points and merged tokens ascending creation
     order, so working ids (code points, then ``MERGED_BASE + k`` for the k-th created token)
     order every pair exactly as vocabulary ids do - tie-breaks are unchanged - while the table is
     built by one projection, with no join to an alphabet table.
     """
-    return words.select(F.transform(F.split("word", ""), lambda ch: F.ascii(ch) + F.lit(CHAR_BASE)).alias("sym"), "freq")
+    def working(ch: Column) -> Column:
+        out = F.ascii(ch) + F.lit(CHAR_BASE)
+        for code, i in (special or {}).items():
+            out = F.when(F.ascii(ch) == code, F.lit(i)).otherwise(out)
+        return out
+
+    return words.select(F.transform(F.split("word", ""), working).alias("sym"), "freq")
 
 
 def select_batch(top: list[tuple[int, int, int]], complete: bool, tokens: list[str], index: dict,
@@ -311,16 +318,15 @@ def _learn_bpe(words: DataFrame, cfg: VocabConfig, max_merges: int | None, top_k
 
     ensure_checkpoint_dir(spark)
     ship_package(spark)
-    initial = _initial_symbols(words).persist(StorageLevel.MEMORY_AND_DISK)
-    codes = sorted(r["c"] for r in initial.select(F.explode("sym").alias("c")).distinct().collect())
+    singles = {ord(t): i - len(cfg.special_tokens) for i, t in enumerate(cfg.special_tokens) if len(t) == 1}
+    initial = _initial_symbols(words, singles).persist(StorageLevel.MEMORY_AND_DISK)
+    codes = sorted(r["c"] for r in initial.select(F.explode("sym").alias("c")).distinct().collect() if r["c"] >= CHAR_BASE)
     alphabet = [chr(c - CHAR_BASE) for c in codes]
     tokens = list(cfg.special_tokens)
     for ch in alphabet:
         if ch not in tokens:
             tokens.append(ch)
     index = {t: i for i, t in enumerate(tokens)}
-    if any(len(sp) == 1 and sp in alphabet for sp in cfg.special_tokens):
-        raise NotImplementedError("a one-character special token that also occurs in the corpus")
     # working id <-> vocabulary id
     to_vocab = {c: index[chr(c - CHAR_BASE)] for c in codes}
     for i in range(len(cfg.special_tokens)):  # specials sort first: negative working ids

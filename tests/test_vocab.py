@@ -10,7 +10,7 @@ tokenizers = pytest.importorskip("tokenizers")
 SPECIALS = ["<PAD>", "<UNK>", "<BOS>", "<EOS>", "<MASK>"]
 
 
-def _library(texts, vs, mf):
+def _library(texts, vs, mf, specials=SPECIALS):
     from tokenizers import Tokenizer
     from tokenizers.models import BPE
     from tokenizers.pre_tokenizers import Whitespace
@@ -18,7 +18,7 @@ def _library(texts, vs, mf):
 
     tok = Tokenizer(BPE(unk_token="<UNK>"))
     tok.pre_tokenizer = Whitespace()
-    tok.train_from_iterator(texts, trainer=BpeTrainer(vocab_size=vs, min_frequency=mf, special_tokens=SPECIALS,
+    tok.train_from_iterator(texts, trainer=BpeTrainer(vocab_size=vs, min_frequency=mf, special_tokens=list(specials),
                                                       show_progress=False))
     merges = json.loads(tok.to_str())["model"]["merges"]
     return tok, [m if isinstance(m, list) else m.split(" ") for m in merges]
@@ -48,6 +48,15 @@ def test_learn_equals_library(spark, texts, vs, mf):
     assert [[m.tokens[a], m.tokens[b]] for a, b, _ in m.merges] == lib_merges
 
 
+def test_one_character_special_tokens(spark, texts):
+    """They keep their place among the special tokens, and still take part in merges."""
+    special = ("<UNK>", "e", "<EOS>", "t")
+    m = V.learn_bpe(spark.createDataFrame([(t,) for t in texts], "text string"), VocabConfig(120, 2, special))
+    tok, lib_merges = _library(texts, 120, 2, special)
+    assert {t: i for i, t in enumerate(m.tokens)} == tok.get_vocab()
+    assert [[m.tokens[a], m.tokens[b]] for a, b, _ in m.merges] == lib_merges
+
+
 def test_vocab600_and_encode(spark, texts, model600):
     tok, lib_merges = _library(texts, 600, 2)
     assert {t: i for i, t in enumerate(model600.tokens)} == tok.get_vocab()
