@@ -24,7 +24,6 @@ table gives no rows.
 """
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
