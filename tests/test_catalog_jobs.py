@@ -1,6 +1,5 @@
 """Catalog scenarios and the extraction / filtering jobs (the reference's repo and builder tests)."""
 import pytest
-from pyspark.sql import functions as F
 
 from corpusprep.config import FilterConfig, RawConfig
 from corpusprep.plans import jobs as JB

@@ -1,5 +1,4 @@
 """Streaming ingest: drains arriving files; a restart from the checkpoint loses and repeats nothing."""
-import pytest
 from pyspark.sql import functions as F
 
 from corpusprep.config import FilterConfig
