@@ -141,11 +141,11 @@ def _windows(p: Passages):
                     order = np.flatnonzero(later)[np.argsort(back[later], kind="stable")]  # by passage, then by place
                     ends = np.cumsum(n - 1)
                     more = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], ends)).astype(np.int32)), pa.array(at[order].astype(np.int32)))
-                    last = at[first].copy()
-                    last[n > 1] = at[order[ends[n > 1] - 1]]
+                    last_place = at[first].copy()
+                    last_place[n > 1] = at[order[ends[n > 1] - 1]]
                     yield pa.RecordBatch.from_arrays(
                         [_signed(key[first]), pa.array(ids[a:b][doc[first]]), pa.array(at[first].astype(np.int32)),
-                         pa.array(last - at[first] >= p.min_words), pc.if_else(pa.array(n > 1), more, pa.scalar(None, more.type))],
+                         pa.array(last_place - at[first] >= p.min_words), pc.if_else(pa.array(n > 1), more, pa.scalar(None, more.type))],
                         names=["passage", "row", "start", "apart", "more"])
 
     return scan

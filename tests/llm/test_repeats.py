@@ -69,6 +69,18 @@ def test_spans_equal_brute_force(spark):
         assert len({d for d, _ in kept}) == 1
 
 
+def test_many_batches_in_a_task(spark):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    df = spark.createDataFrame(corpus(), "doc_id long, text string").coalesce(1)
+    want = sorted(map(str, spans(df, passages=P).collect()))
+    before = spark.conf.get(name)
+    try:
+        spark.conf.set(name, 2)
+        assert sorted(map(str, spans(df, passages=P).collect())) == want
+    finally:
+        spark.conf.set(name, before)
+
+
 def test_remove_keeps_owner_and_columns(spark):
     rows = [(d, t, None if t is None else len(t), "x", 1) for d, t in corpus()]
     df = spark.createDataFrame(rows, "doc_id long, text string, n_chars long, row string, copy int").repartition(3)
