@@ -8,6 +8,7 @@ the library that reads it.
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Callable
 from functools import lru_cache
 
@@ -15,6 +16,10 @@ import numpy as np
 
 #: Pre-token pattern of byte-level BPE (fixed value).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: The white space of ``PATTERN`` (Unicode's property) in a run of at least ``LONG`` characters; the encoder's regular expression fails on a million.
+LONG = 100_000
+SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+LONG_SPACE = re.compile(f"(?<![{SPACE}])[{SPACE}]{{{LONG},}}")
 PLAIN = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
 
 
@@ -41,6 +46,20 @@ def _ranks(model: dict) -> dict[bytes, int] | None:
     return {bytes(letters[c] for c in w): i for w, i in words.items()}
 
 
+def _by_runs(fast, text: str) -> list[int]:
+    """Ids of a text with its long white-space runs cut out at the borders that ``PATTERN`` gives them: a run is one
+    pre-token, without its last character if more text follows."""
+    if len(text) < LONG:
+        return fast.encode_ordinary(text)
+    ids, at = [], 0
+    for m in LONG_SPACE.finditer(text):
+        end = m.end() - (m.end() < len(text))
+        ids += fast.encode_ordinary(text[at: m.start()])
+        ids += fast._encode_single_piece(text[m.start(): end])
+        at = end
+    return ids + fast.encode_ordinary(text[at:])
+
+
 @lru_cache(maxsize=2)
 def encoder(path: str) -> Callable[[str], np.ndarray]:
     """text -> uint32 ids, without special tokens; the strings of special tokens are ordinary text."""
@@ -50,7 +69,7 @@ def encoder(path: str) -> Callable[[str], np.ndarray]:
         import tiktoken
 
         fast = tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-        return lambda text: np.asarray(fast.encode_ordinary(text), np.uint32)
+        return lambda text: np.asarray(_by_runs(fast, text), np.uint32)
     from tokenizers import Tokenizer
 
     slow = Tokenizer.from_file(path)

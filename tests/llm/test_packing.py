@@ -65,3 +65,24 @@ def test_pieces_equal_library(spark, odd, none):
         assert packed[k]["ids"][: len(flat)] == flat
         assert len(packed[k]["ids"]) in (1024, len(flat)) and (len(packed[k]["ids"]) == 1024 or len(flat) & (len(flat) - 1) == 0)
     assert pieces(none, tokenizer_path()).collect() == []
+
+
+def test_long_white_space_runs():
+    from tokenizers import Tokenizer
+
+    from corpusprep.llm.tokens import LONG, LONG_SPACE
+
+    lib = Tokenizer.from_file(tokenizer_path())
+    lib.encode_special_tokens = True
+    encode = encoder(tokenizer_path())
+    blank = " " * 2_000_000
+    for t in (blank, blank + "after", "before" + blank, f"in{blank}side", f"in {blank}\n'side"):
+        assert encode(t).tolist() == lib.encode(t, add_special_tokens=False).ids
+    for n in (LONG - 1, LONG, LONG + 1):
+        for run in (" " * n, "\n" * n, "\u3000" * n, "\r\n\x85\xa0 "[: n % 5 + 1] * (n // 3)):
+            for t in (run, f"a{run}b", f"{run}'s", f"1{run}\x1c", f"{run}.{run}x "):
+                assert encode(t).tolist() == lib.encode(t, add_special_tokens=False).ids
+    for c in "a1.\x1c":
+        assert encode(c * 1_200_000).tolist() == lib.encode(c * 1_200_000, add_special_tokens=False).ids
+    assert [bool(LONG_SPACE.match(chr(c) * LONG)) for c in (9, 13, 28, 31, 32, 133, 160, 0x180E, 0x200A, 0x200B, 0x3000)] == [
+        True, True, False, False, True, True, True, False, True, False, True]
