@@ -843,12 +843,15 @@ def q_vocab_table(spark, sf_dir):
 
 @register("vocab_job")
 def q_vocab_job(spark, sf_dir):
-    """Filtered set from the catalog -> vocabulary saved as tables -> loaded back."""
+    """Filtered set of all valid pairs, in a catalog of its own -> vocabulary saved as tables -> loaded back."""
     from corpusprep.operators.vocab import BpeModel
 
-    cat, _, filt_id = _catalog_with_jobs(spark, sf_dir)
+    cat = Catalog(spark, shared_path(spark, "vocab_catalog"))
+    pairs = documents_pairs(spark, sf_dir)
+    n = pairs.count()
+    raw = JB.extract_job(pairs, RawConfig(split="train", n=n), cat)
     path = shared_path(spark, "vocab")
-    JB.vocab_job(cat, filt_id, path, VocabConfig(), max_merges=BPE_MERGES)
+    JB.vocab_job(cat, JB.filter_job(cat, raw.id, n=n).id, path, VocabConfig(), max_merges=BPE_MERGES)
     return BpeModel.load(spark, path).merges_df(spark)
 
 

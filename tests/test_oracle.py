@@ -73,3 +73,8 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     r = df.first()
     assert r is not None and r["seen"] >= r["n"]
+
+
+def test_vocab_job_learns_from_all_valid_pairs(spark):
+    job, whole = (E.queries()[q](spark, SF01).orderBy("rank").collect() for q in ("vocab_job", "bpe_learn"))
+    assert job == whole
