@@ -9,7 +9,8 @@ those belong to the template.
 
 A page's main text is what its article holds (else its main or content element, else its body) without
 elements that are menus, headers, footers, sidebars, notices, adverts, forms, reader comments and the
-like by name, role or class, and without template slots of the wrapper.
+like by name, role or class. Of a page without such a holder, template slots of the wrapper go too; an article
+is kept whole, as its headings and paragraphs may be the same on many pages.
 
 Wrappers are merged in the task that reads the pages, and again over tasks, one row per host and task;
 merging is commutative up to the order of options, and a wrapper's size follows the variety of the markup,
@@ -114,7 +115,8 @@ class Page:
             _, around, holder, children = stack[-1]
             around = around or "hidden" in attrs or self._hint(name, attrs, holder[0] >= 3)
             words = self._words(attrs)
-            kind = 4 if name == "article" else 3 if name == "main" or attrs.get("role") == "main" else 2 if words & BODY_HINTS else 1 if name == "body" else 0
+            kind = (1 if name == "body" else 0 if name == "html" else 4 if name == "article" else 3 if name == "main" or attrs.get("role") == "main"
+                    else 2 if words & BODY_HINTS else 0)
             if kind > holder[0] and not around:
                 numbers += 1
                 holder = (kind, numbers)
@@ -261,7 +263,7 @@ def main_text(page: Page, template: set[int]) -> str:
         sizes[page.holder[i]] = sizes.get(page.holder[i], 0) + len(page.texts[i])
     if kind >= 2:
         holder = max((h for h in sizes if h[0] == kind), key=lambda h: (sizes[h], -h[1]))
-        inside = [i for i in inside if page.holder[i] == holder]
+        return "\n\n".join(page.texts[i] for i in inside if page.holder[i] == holder)
     return "\n\n".join(page.texts[i] for i in inside if i not in template)
 
 

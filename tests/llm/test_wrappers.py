@@ -80,3 +80,17 @@ def test_generated_pages(spark):
     df = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
     got = {r["page_id"]: r["text"] for r in extract(df).collect()}
     assert got == {r["page_id"]: truth(r["html"]) for r in df.collect()}
+
+
+def test_constant_texts_inside_the_article_stay(spark):
+    def texts(*pages):
+        rows = [(i, f"http://h.example.com/{i}", p) for i, p in enumerate(pages)]
+        return [r["text"] for r in extract(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(2)).orderBy("page_id").collect()]
+
+    for a, b in (("<article>", "</article>"), ("<main>", "</main>"), ("<div class=content>", "</div>")):
+        recipes = [f"<body class='single-post'><div>Site {k}</div><p>Fixed</p>{a}<h1>Dish {k}</h1><h2>Ingredients</h2><p>eggs {k}</p><h3>Summary</h3><p>good {k}</p>{b}" for k in range(8)]
+        assert texts(*recipes) == [f"Dish {k}\n\nIngredients\n\neggs {k}\n\nSummary\n\ngood {k}" for k in range(8)]
+        copies = [f"<body><nav>menu {k}</nav>{a}<h1>One title</h1><p>One paragraph.</p>{b}<div>advert {k}</div>" for k in range(8)]
+        assert texts(*copies) == ["One title\n\nOne paragraph."] * 8
+    bare = [f"<body class='post'><div>Fixed words</div><p>own {k}</p>" for k in range(8)]
+    assert texts(*bare) == [f"own {k}" for k in range(8)]
