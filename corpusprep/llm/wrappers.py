@@ -7,7 +7,8 @@ that one side lacks become optional groups, and neighbours that repeat become re
 result, a host's wrapper, accepts all of its pages and knows which slots hold the same text on every page:
 those belong to the template.
 
-A page's main text is what its article holds (else its main or content element, else its body) without
+A page's main text is what its articles hold (else its main or content elements, else its body), in page order
+and with the last ``h1`` before them if they have none, without
 elements that are menus, headers, footers, sidebars, notices, adverts, forms, reader comments and the
 like by name, role or class. Of a page without such a holder, template slots of the wrapper go too; an article
 is kept whole, as its headings and paragraphs may be the same on many pages.
@@ -62,12 +63,14 @@ WORDS_OF_CLASS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 class Page:
     """``texts``: blocks in page order; ``around``: whether each is outside the main text by its elements;
-    ``holder``: the article-like element of each (kind, number); ``tree``: the page's expression."""
+    ``holder``: the article-like element of each (kind, number); ``title``: whether each is an ``h1``;
+    ``tree``: the page's expression."""
 
     def __init__(self, markup: str):
         self.texts: list[str] = []
         self.around: list[bool] = []
         self.holder: list[tuple[int, int]] = []
+        self.title: list[bool] = []
         self.tree: list[dict] = []
         self._read(markup)
 
@@ -80,11 +83,12 @@ class Page:
             text = SPACE.sub(" ", entities.unescape("".join(parts))).strip()
             parts.clear()
             if text:
-                _, around, holder, children = stack[-1]
+                name, around, holder, children = stack[-1]
                 children.append({"t": "#", "v": zlib.crc32(text.encode("utf-8", "surrogatepass")), "i": [len(self.texts)]})
                 self.texts.append(text)
                 self.around.append(around)
                 self.holder.append(holder)
+                self.title.append(name == "h1")
 
         for m in TOKEN.finditer(markup):
             if m.start() > at:
@@ -258,12 +262,12 @@ def host_of(url: str | None) -> str:
 def main_text(page: Page, template: set[int]) -> str:
     inside = [i for i in range(len(page.texts)) if not page.around[i]]
     kind = max((page.holder[i][0] for i in inside), default=0)
-    sizes: dict[tuple[int, int], int] = {}
-    for i in inside:
-        sizes[page.holder[i]] = sizes.get(page.holder[i], 0) + len(page.texts[i])
     if kind >= 2:
-        holder = max((h for h in sizes if h[0] == kind), key=lambda h: (sizes[h], -h[1]))
-        return "\n\n".join(page.texts[i] for i in inside if page.holder[i] == holder)
+        body = [i for i in inside if page.holder[i][0] == kind]
+        heads = [i for i in inside if i < body[0] and page.title[i] and i not in template]
+        if not any(page.title[i] for i in body):
+            body = heads[-1:] + body
+        return "\n\n".join(page.texts[i] for i in body)
     return "\n\n".join(page.texts[i] for i in inside if i not in template)
 
 

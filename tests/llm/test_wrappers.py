@@ -94,3 +94,17 @@ def test_constant_texts_inside_the_article_stay(spark):
         assert texts(*copies) == ["One title\n\nOne paragraph."] * 8
     bare = [f"<body class='post'><div>Fixed words</div><p>own {k}</p>" for k in range(8)]
     assert texts(*bare) == [f"own {k}" for k in range(8)]
+
+
+def test_split_articles():
+    pages = {
+        "articles": ("<body><article><h1>T</h1><p>long one</p></article><nav>n</nav><article><p>two</p></article><div class=ad><article>buy</article></div>", "T\n\nlong one\n\ntwo"),
+        "contents": ("<div class=content>a</div><div class=sidebar><div class=content>s</div></div><div class='content'>b b b</div><p>out</p>", "a\n\nb b b"),
+        "title class": ("<div class=post-title>T</div><div class=post-meta>by me</div><div class=post-body><p>x y z</p></div>", "T\n\nby me\n\nx y z"),
+        "title in main": ("<body><h1>Site</h1><main><h1>T</h1><p>menu</p><article><p>x</p></article></main>", "T\n\nx"),
+        "own title": ("<body><h1>Site</h1><article><h1>T</h1>x</article>", "T\n\nx"),
+    }
+    for name, (markup, want) in pages.items():
+        assert main_text(Page(markup), set()) == want, name
+    site = Page("<body><h1>Site</h1><article>x</article>")
+    assert main_text(site, {0}) == "x"
