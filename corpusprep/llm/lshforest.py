@@ -1,12 +1,12 @@
-"""N-gram Jaccard self-join with a MinHash LSH forest.
+"""N-gram Jaccard self-join with MinHash bands.
 
 Texts are sets of word 5-grams. Equal sets form a class and are worked on once. Every class gets a
-MinHash signature, cut into the labels of ``trees`` prefix tries:
+MinHash signature, cut into the labels of ``trees`` fixed bands, which stand in for an LSH forest's prefix tries:
 
-1. *Depth.* Two sets of similarity s share a label prefix of length d in some tree with probability
-   1 - (1 - s^d)^trees. The prefix is shortened from ``deepest`` until that reaches ``recall`` at the
-   threshold.
-2. *Prefix groups.* Classes are sorted by label prefix; those with an equal neighbour form a group. In a
+1. *Depth.* Two sets of similarity s share all d values of some band with probability
+   1 - (1 - s^d)^trees. d is the largest up to ``deepest`` for which that reaches ``recall`` at the
+   threshold: it follows from the parameters, not from the data. A label is one hash of the d values.
+2. *Label groups.* Classes are sorted by label; those with an equal neighbour form a group. In a
    group signatures are compared, and classes whose estimate comes near the threshold are linked. Groups
    only yield links to a group's first member, never pairs. Large groups compare with leaders: a class
    close to a leader is covered by it, and every class is linked to all leaders within the reach that
