@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusprep.llm import decontaminate, langid, licenses, lshforest, packing, quality_rules, repeats, resample, warc, wrappers
+from corpusprep.llm import contexttree, decontaminate, langid, licenses, lshforest, packing, quality_rules, repeats, resample, warc, wrappers
 from corpusprep.session import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -157,3 +157,10 @@ def op6_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(read(spark, sf_dir, "documents"))
+
+
+@query
+def op13_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held = contexttree.held_out("doc_id")
+    scored = contexttree.score(read(spark, sf_dir, "documents"), ~held)
+    return scored.select("doc_id", (~F.col("trained")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "n_bytes")
