@@ -6,8 +6,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusprep.llm import contexttree, decontaminate, langid, licenses, lshforest, packing, quality_rules, repeats, resample, warc, wrappers
-from corpusprep.session import ship_package
+from corpusprep.llm import contexttree, decontaminate, langid, licenses, lshforest, packing, quality_rules, repeats, resample, variants, warc, wrappers
+from corpusprep.session import shared_path, ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -164,3 +164,46 @@ def op13_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     held = contexttree.held_out("doc_id")
     scored = contexttree.score(read(spark, sf_dir, "documents"), ~held)
     return scored.select("doc_id", (~F.col("trained")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "n_bytes")
+
+
+@query
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = shared_path(spark, "variant-words")
+    variants.damaged_words(read(spark, sf_dir, "documents")).write.parquet(folder)
+    return variants.variants(spark.read.parquet(folder))
+
+
+def _crc32_sql(text: str) -> str:
+    """Unsigned crc32 of the UTF-8 of a text without code points above U+FFFF."""
+    table = []
+    for entry in range(256):
+        for _ in range(8):
+            entry = entry >> 1 ^ (0xEDB88320 if entry & 1 else 0)
+        table.append(entry)
+    utf8 = ("CASE WHEN c < 128 THEN [c] WHEN c < 2048 THEN [192 | (c >> 6), 128 | (c & 63)] "
+            "ELSE [224 | (c >> 12), 128 | ((c >> 6) & 63), 128 | (c & 63)] END")
+    data = f"flatten(list_transform([CAST(unicode(x) AS BIGINT) FOR x IN string_split({text}, '') IF x <> ''], lambda c: {utf8}))"
+    return (f"xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], {data}), "
+            f"lambda a, b: xor(a >> 8, ({table})[1 + (xor(a, b) & 255)])), 4294967295)")
+
+
+ORACLE["op11_spelling_variants"] = rf"""
+WITH RECURSIVE runs AS (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[A-Za-z\x{{C0}}-\x{{FF}}]{{7,}}')) AS run FROM documents),
+times AS (SELECT doc_id, run, count(*) AS k FROM runs GROUP BY ALL),
+hashed AS (SELECT run, k, {_crc32_sql("concat(doc_id, ':', run)")} AS h FROM times),
+cut AS (SELECT k, CASE WHEN h % 31 = 0 THEN concat(substr(run, 1, h % length(run)), substr(run, 2 + h % length(run))) ELSE run END AS word FROM hashed),
+words AS MATERIALIZED (SELECT word, CAST(sum(k) AS BIGINT) AS n FROM cut WHERE length(word) >= 7 GROUP BY word HAVING sum(k) >= 2),
+shorter AS (SELECT word, i, concat(substr(word, 1, i - 1), substr(word, i + 1)) AS rest
+            FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM words)),
+near AS (SELECT a.word, b.word AS other FROM shorter a JOIN shorter b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+         UNION SELECT s.word, w.word FROM shorter s JOIN words w ON w.word = s.rest
+         UNION SELECT w.word, s.word FROM shorter s JOIN words w ON w.word = s.rest),
+ranked AS (SELECT a.word, other, o.n, count(*) OVER (PARTITION BY a.word) AS n_near, row_number() OVER (PARTITION BY a.word ORDER BY o.n DESC, other) AS nth
+           FROM near a JOIN words o ON o.word = other),
+formed AS MATERIALIZED (SELECT w.word, CASE WHEN r.n >= 10 * w.n THEN r.other END AS form, w.n, CAST(coalesce(r.n_near, 0) AS BIGINT) AS n_near,
+             CASE WHEN r.n >= 10 * w.n THEN r.n END AS form_n FROM words w LEFT JOIN ranked r ON r.word = w.word AND r.nth = 1),
+chain AS (SELECT word, word AS root FROM formed UNION ALL SELECT c.word, f.form FROM chain c JOIN formed f ON f.word = c.root WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, c.root, f.n, f.n_near, f.form_n FROM formed f JOIN chain c USING (word)
+JOIN formed e ON e.word = c.root AND e.form IS NULL
+"""
