@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusprep.llm import contexttree, decontaminate, langid, licenses, lshforest, packing, quality_rules, repeats, resample, variants, warc, wrappers
+from corpusprep.llm import contexttree, decontaminate, langid, licenses, lshforest, packing, quality_rules, repair, repeats, resample, variants, warc, wrappers
 from corpusprep.session import shared_path, ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -207,3 +207,47 @@ chain AS (SELECT word, word AS root FROM formed UNION ALL SELECT c.word, f.form
 SELECT f.word, f.form, c.root, f.n, f.n_near, f.form_n FROM formed f JOIN chain c USING (word)
 JOIN formed e ON e.word = c.root AND e.form IS NULL
 """
+
+
+@query
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair(repair.damage(read(spark, sf_dir, "conversations")), gone=F.col("gone"))
+
+
+ORACLE["op12_conversation_repair"] = rf"""
+WITH RECURSIVE hashed AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    {_crc32_sql("concat(coalesce(CAST(conv_id AS VARCHAR), ' '), ':', coalesce(CAST(turn AS VARCHAR), ' '))")} % 20 AS h FROM conversations),
+hurt AS (SELECT conv_id, turn, CASE WHEN h = 4 THEN 'user' ELSE role END AS role,
+    CASE WHEN h = 1 THEN '' WHEN h = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(CASE WHEN h = 3 THEN [1, 2] ELSE [1] END) AS copy FROM hashed WHERE h <> 0),
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS nth,
+    right(regexp_replace(text, '[\x20\x09-\x0D]+$', ''), 1) AS ending FROM hurt),
+turns AS MATERIALIZED (SELECT conv_id, turn, role, text, i, left(role, 1) AS r, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before,
+    CASE WHEN ending = '' THEN 'blank' WHEN nth > 1 THEN 'duplicate' WHEN ending NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault FROM placed),
+figures AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+    count(*) FILTER (before IS NOT NULL AND before || r NOT IN ('su', 'ua', 'au')) AS illegal, max(i) AS n FROM turns GROUP BY conv_id),
+inserts(a, b, letters, price, said) AS (VALUES (0, 0, '', 0, []), (1, 1, '', 0, []), (2, 2, '', 0, []), (3, 3, '', 0, []),
+    (0, 2, 'I', 5, ['user:']), (1, 2, 'I', 5, ['user:']), (3, 2, 'I', 5, ['user:']), (2, 3, 'I', 5, ['assistant:']),
+    (0, 3, 'II', 10, ['user:', 'assistant:']), (1, 3, 'II', 10, ['user:', 'assistant:'])),
+edits(a, b, letter, price, needs, as_role) AS (VALUES (0, 0, 'D', 2, '', ''), (1, 1, 'D', 2, '', ''), (2, 2, 'D', 2, '', ''), (3, 3, 'D', 2, '', ''),
+    (0, 1, 'K', 0, 's', ''), (0, 2, 'K', 0, 'u', ''), (1, 2, 'K', 0, 'u', ''), (3, 2, 'K', 0, 'u', ''), (2, 3, 'K', 0, 'a', ''),
+    (0, 2, 'R', 1, '', 'user'), (1, 2, 'R', 1, '', 'user'), (3, 2, 'R', 1, '', 'user'), (2, 3, 'R', 1, '', 'assistant')),
+moves AS MATERIALIZED (SELECT p.a, e.b, p.letters || e.letter AS letters, e.letter, p.price + e.price AS price, p.said, e.needs, e.as_role FROM inserts p JOIN edits e ON p.b = e.a),
+step AS (SELECT conv_id, 0 AS i, 0 AS state, 0 AS cost, '' AS audit, CAST([] AS VARCHAR[]) AS said FROM figures
+    UNION ALL
+    (SELECT s.conv_id, s.i + 1, m.b, s.cost + m.price + CASE WHEN t.fault = 'truncated' AND m.letter <> 'D' THEN 5 ELSE 0 END, s.audit || m.letters,
+        list_concat(s.said, m.said, CASE m.letter WHEN 'D' THEN [] WHEN 'K' THEN [t.role || ':' || t.text] ELSE [m.as_role || ':' || t.text] END)
+     FROM step s JOIN turns t ON t.conv_id IS NOT DISTINCT FROM s.conv_id AND t.i = s.i + 1
+     JOIN moves m ON m.a = s.state AND (m.letter = 'D' OR t.fault NOT IN ('blank', 'duplicate')) AND (m.needs = '' OR m.needs = t.r)
+     QUALIFY row_number() OVER (PARTITION BY s.conv_id, m.b ORDER BY s.cost + m.price + CASE WHEN t.fault = 'truncated' AND m.letter <> 'D' THEN 5 ELSE 0 END, s.audit || m.letters) = 1)),
+done AS (SELECT s.conv_id, s.cost + p.price AS cost, s.audit || p.letters AS audit, list_concat(s.said, p.said) AS said,
+     row_number() OVER (PARTITION BY s.conv_id ORDER BY s.cost + p.price, s.audit || p.letters) AS nth
+     FROM step s JOIN figures f ON f.conv_id IS NOT DISTINCT FROM s.conv_id AND f.n = s.i JOIN inserts p ON p.a = s.state AND p.b IN (0, 3))
+SELECT c.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank, CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate,
+    CAST(coalesce(truncated, 0) AS BIGINT) AS truncated, CAST(coalesce(illegal, 0) AS BIGINT) AS illegal, CAST(coalesce(cost, 0) AS BIGINT) AS cost,
+    coalesce(audit, '') AS audit, sha256(coalesce(array_to_string(said, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN figures f ON f.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN done d ON d.conv_id IS NOT DISTINCT FROM c.conv_id AND d.nth = 1
+"""
