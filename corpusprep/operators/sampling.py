@@ -133,14 +133,10 @@ def sample_n(df: DataFrame, n: int | None, seed: int = 42, key: str = "row_key",
 
 
 def shuffle_positions(df: DataFrame, seed: int = 42, key: str = "row_key") -> DataFrame:
-    """B2: every row with its 1-based position in the seeded full shuffle.
-
-    Ranking a single global order is the one-hot-group case of the skew-safe ranker.
-    """
+    """B2: every row with its 1-based position in the seeded full shuffle."""
     from corpusprep.operators.ranking import rank_within
 
-    keyed = add_shuffle_key(df, seed, key).withColumn("_g", F.lit(0))
-    return rank_within(keyed, ["_g"], "skey", key, out="position").drop("_g")
+    return rank_within(add_shuffle_key(df, seed, key), [], "skey", key, out="position")
 
 
 def draw_position(seed: int, draw, n: int):
@@ -152,8 +148,7 @@ def draw_position(seed: int, draw, n: int):
 def sample_with_replacement(df: DataFrame, b: int, seed: int = 42, key: str = "row_key") -> DataFrame:
     """Exactly ``b`` draws, uniform with replacement.
 
-    Rows get their 1-based position in the seeded order (skew-safe ranking, no single-task
-    window); draw ``j`` picks a hashed position. The draws come from ``range`` and are joined on
+    Rows get their 1-based position in the seeded order (see ``ranking``); draw ``j`` picks a hashed position. The draws come from ``range`` and are joined on
     position, so nothing passes through the driver except the row count ``N``.
     """
     from corpusprep.operators.ranking import rank_within
@@ -161,9 +156,7 @@ def sample_with_replacement(df: DataFrame, b: int, seed: int = 42, key: str = "r
     n = df.count()
     if n == 0:
         raise ValueError("cannot draw from an empty input")
-    keyed = add_shuffle_key(df, seed, key).withColumn("_g", F.lit(0))
-    ranked = rank_within(keyed, ["_g"], "skey", key, out="position").drop("_g")
-    ranked = ranked.withColumn("position", F.col("position").cast("long"))
+    ranked = rank_within(add_shuffle_key(df, seed, key), [], "skey", key, out="position")
     draws = df.sparkSession.range(b).select(F.col("id").alias("draw"), draw_position(seed, F.col("id"), n).alias("position"))
     return draws.join(ranked, "position", "inner")
 

@@ -1,25 +1,20 @@
 """Byte-pair-encoding vocabulary: corpus texts, word counts, learning, encoding, decoding.
 
-Learning runs as Spark rounds over the *distinct-word table* ``(sym, freq)``; ``sym`` is the
-word's current symbol sequence as ``array<int>``:
-
-* pair counts - each task counts the adjacent pairs of its words (weighted by frequency) and
-  emits partial counts; ``groupBy(l, r).sum`` merges them and a ``TakeOrderedAndProject`` returns
-  the top ``k`` pairs by (count desc, left id, right id). Only those ``k`` rows reach the driver.
-* merge selection - the driver accepts a *batch* of merges per round, a prefix of that list
-  chosen so that it equals what one-merge-at-a-time learning would pick: a candidate is taken
-  only if it shares no symbol with the merges already taken and no pair created by those merges
-  can outrank it (a new pair ``(x, N)`` counts at most ``min(count(l, r), max count of (x, l))``;
-  a new pair ``(N, y)`` loses ties because ``N`` is the largest id). A merge whose token already
-  exists (a reused id) ends the batch.
-* rewriting - a vectorised merge over each Arrow record batch (``mapInArrow``): positions where
-  ``l`` is followed by ``r`` inside a word are replaced left to right without overlap (runs of a
-  repeated symbol merge every other pair), then the array is compacted. Rewriting and counting are
-  one pass: the round's output (words and partial pair counts, told apart by ``kind``) is cached
-  once and feeds both the next round and the aggregate. Spark partitions, caches and shuffles;
-  NumPy works on whole batches inside the tasks. Words reduced to one symbol
-  leave the working table. The table is persisted every round and checkpointed (reliably, into
-  ``spark.checkpoint.dir``) every few rounds, which also bounds the plan's lineage.
+Learning runs in rounds over three tables in a shared folder: the *distinct words* ``(sym, freq)``, where ``sym`` is
+the word's current symbol sequence as ``array<int>``; the *pair counts* ``(l, r, cnt)``; and the *merge log*.
+
+1. The best pairs by (count desc, left id, right id) are read from the pair table.
+2. One scan over the words gathers the neighbourhoods of these pairs: the symbols around every place where one
+   stands, up to ``MARGIN`` on each side, counted by content. However many words a corpus has, few neighbourhoods
+   differ; a round asks for so many pairs that at most ``max_segments`` of them reach the driver.
+3. The driver learns on the neighbourhoods, pair after pair, exactly as on the whole corpus, until the next decision
+   depends on something outside them (see ``_Simulation``): hundreds of merges in most rounds.
+4. One scan applies the round's merges to the words and emits, for the words that changed, what each pair loses and
+   gains; the pair table is the old one plus these signed changes. Words of one symbol leave the table, so
+   rounds get cheaper.
+5. The log entry (merges, new tokens) is written last and commits the round; only one run can create it. A run that
+   finds a log goes on behind its last entry; tables of a round without entry are written anew. Tables of earlier
+   rounds are removed.
 
 Rules reproduced (those of the trainer the reference delegates to): ids are the special tokens in
 order, then the characters of the corpus by code point, then merged tokens; a merge is the pair
@@ -39,7 +34,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -47,11 +42,11 @@ from pyspark.sql import types as T
 from corpusprep.config import VocabConfig
 from corpusprep.functions import text as TX
 
-PAIR_TOP_K = 256
-CHECKPOINT_EVERY = 8
-MAX_BATCH = 256  # merges applied per round (the batch rule usually stops far earlier)
-CHAR_BASE = 0  # working id of a character = its code point
-MERGED_BASE = 0x110000  # working id of the k-th merged token = MERGED_BASE + k
+MAX_SEGMENTS = 100_000  # neighbourhoods that a round sends to the driver
+FIRST_PAIRS = 64  # pairs of the first round; doubled while neighbourhoods are few
+MOST_PAIRS = 1 << 14
+MARGIN = 3  # symbols around a place
+MERGED_BASE = 0x110000  # working ids: characters have their code point, the k-th merged token MERGED_BASE + k, special tokens are negative
 
 
 # ---- G1-G3 -------------------------------------------------------------------------------------
@@ -79,6 +74,16 @@ def word_freq(texts: DataFrame, text: str = "text") -> DataFrame:
     )
 
 
+def pair_counts(words: DataFrame) -> DataFrame:
+    """``l, r, cnt``: adjacent characters in a table of words and counts (``word, freq``), counted per partition first."""
+    from corpusprep.session import ship_package
+
+    ship_package(words.sparkSession)
+    counted = _initial_symbols(words).mapInArrow(_step_fn([], True), STEP_SCHEMA).where("kind = 1")
+    char = lambda c: F.decode(F.unhex(F.lpad(F.hex(c), 8, "0")), "UTF-32").alias(c)
+    return counted.groupBy("l", "r").agg(F.sum("cnt").alias("cnt")).select(char("l"), char("r"), "cnt")
+
+
 # ---- the model ------------------------------------------------------------------------------------
 
 
@@ -92,6 +97,11 @@ class BpeModel:
     unk_token: str = "<UNK>"
     _index: dict = field(default=None, repr=False)
 
+    @property
+    def made(self) -> int:
+        """How many tokens were made by merges; they come last."""
+        return len({n for _, _, n in self.merges} - set(range(len(self.special_tokens))))
+
     @property
     def token_to_id(self) -> dict:
         if self._index is None:
@@ -114,6 +124,13 @@ class BpeModel:
         meta = json.dumps({"special_tokens": list(self.special_tokens), "unk_token": self.unk_token})
         spark.createDataFrame([(meta,)], "meta string").coalesce(1).write.mode(mode).parquet(f"{path}/meta")
 
+    @staticmethod
+    def saved(spark: SparkSession, path: str) -> bool:
+        """Whether a vocabulary was saved there completely; ``meta/`` is written last."""
+        from corpusprep.session import path_exists
+
+        return path_exists(spark, f"{path}/meta/_SUCCESS")
+
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> "BpeModel":
         v = spark.read.parquet(f"{path}/vocab").orderBy("id").collect()
@@ -133,9 +150,39 @@ class BpeModel:
 # ---- G4: learning ----------------------------------------------------------------------------------
 
 
+@dataclass
+class _State:
+    """What a round starts from: the merge log, and with it the version of the word and pair tables."""
+
+    cfg: VocabConfig
+    path: str
+    version: int
+    tokens: list[str]
+    merges: list[tuple[int, int, int]]  # working ids
+    made: int  # merged tokens so far
+    pairs_wanted: int
+    done: bool
+
+    def __post_init__(self):
+        special = len(self.cfg.special_tokens)
+        plain = len(self.tokens) - self.made
+        ids = [*range(-special, 0), *(ord(t) for t in self.tokens[special:plain]), *range(MERGED_BASE, MERGED_BASE + self.made)]
+        self.text = dict(zip(ids, self.tokens, strict=True))
+        self.id_of = {t: i for i, t in self.text.items()}
+
+    def table(self, name: str) -> str:
+        return f"{self.path}/{name}-{self.version:06d}"
+
+    def model(self) -> BpeModel:
+        vocab = {w: i for i, w in enumerate(self.text)}
+        vocab.update((ord(t), i) for i, t in enumerate(self.cfg.special_tokens) if len(t) == 1)
+        merges = [(vocab[a], vocab[b], vocab[n]) for a, b, n in self.merges]
+        return BpeModel(list(self.tokens), merges, tuple(self.cfg.special_tokens), self.cfg.unk_token)
+
+
 def _initial_symbols(words: DataFrame, special: dict[int, int] | None = None) -> DataFrame:
-    """``sym`` = the word's characters as *working ids*: the code point plus ``CHAR_BASE``, but for characters
-    that are special tokens themselves (``special``: by code point), which have the id of the token.
+    """``sym`` = the word's characters as *working ids*: the code point, but for characters that are special
+    tokens themselves (``special``: by code point), which have the id of the token.
 
     Vocabulary ids give characters ascending code points and merged tokens ascending creation
     order, so working ids (code points, then ``MERGED_BASE + k`` for the k-th created token)
@@ -143,7 +190,7 @@ def _initial_symbols(words: DataFrame, special: dict[int, int] | None = None) ->
     built by one projection, with no join to an alphabet table.
     """
     def working(ch: Column) -> Column:
-        out = F.ascii(ch) + F.lit(CHAR_BASE)
+        out = F.ascii(ch)
         for code, i in (special or {}).items():
             out = F.when(F.ascii(ch) == code, F.lit(i)).otherwise(out)
         return out
@@ -151,235 +198,387 @@ def _initial_symbols(words: DataFrame, special: dict[int, int] | None = None) ->
     return words.select(F.transform(F.split("word", ""), working).alias("sym"), "freq")
 
 
-def select_batch(top: list[tuple[int, int, int]], complete: bool, tokens: list[str], index: dict,
-                 vocab_size: int, min_frequency: int) -> list[tuple[int, int, str, bool]]:
-    """Merges to apply this round: ``(left, right, new_token, reused)`` - see the module notes."""
-    outside = 0 if complete else top[-1][0]
-    max_into: dict[int, int] = {}  # symbol -> highest count of a pair (x, symbol)
-    max_from: dict[int, int] = {}  # symbol -> highest count of a pair (symbol, y)
-    for c, l, r in top:
-        max_into.setdefault(r, c)
-        max_from.setdefault(l, c)
-    floor = max(1, min_frequency)
-    size = len(tokens)
-    used: set[int] = set()
-    created: set[str] = set()
-    bound_left = 0  # best possible count of a new pair (x, N): must stay strictly below
-    bound_right = 0  # best possible count of a new pair (N, y): may tie
-    batch = []
-    for c, l, r in top:
-        if size >= vocab_size or c < floor:
-            break
-        if batch and (l in used or r in used or bound_left >= c or bound_right > c):
-            break
-        new = tokens[l] + tokens[r]
-        reused = new in index or new in created
-        batch.append((l, r, new, reused))
-        used.update((l, r))
-        bound_left = max(bound_left, min(c, max_into.get(l, outside)))
-        bound_right = max(bound_right, min(c, max_from.get(r, outside)))
-        if reused:
-            break
-        created.add(new)
-        size += 1
-    return batch
-
-
-def merge_pair_arrays(vals, offsets, l: int, r: int, n: int):
-    """Merge every left-to-right, non-overlapping ``(l, r)`` into ``n`` in a batch of words
-    given as flat values + offsets (NumPy). Returns the new values and offsets."""
-    import numpy as np
-
-    m = len(vals)
-    if m < 2:
-        return vals, offsets
-    starts = np.zeros(m + 1, dtype=bool)
-    starts[offsets[:-1]] = True
-    cand = (vals[:-1] == l) & (vals[1:] == r) & ~starts[1:m]
-    idx = np.flatnonzero(cand)
-    if idx.size == 0:
-        return vals, offsets
-    if l == r and idx.size > 1:
-        # runs of a repeated symbol: keep every other pair from the start of each run
-        pos = np.arange(idx.size)
-        brk = np.ones(idx.size, dtype=bool)
-        brk[1:] = idx[1:] != idx[:-1] + 1
-        run_first = idx[np.maximum.accumulate(np.where(brk, pos, 0))]
-        idx = idx[(idx - run_first) % 2 == 0]
-    vals = vals.copy()
-    vals[idx] = n
-    drop = np.zeros(m, dtype=bool)
-    drop[idx + 1] = True
-    removed_before = np.concatenate(([0], np.cumsum(drop)))
-    return vals[~drop], offsets - removed_before[offsets]
-
-
-ROUND_SCHEMA = "kind tinyint, sym array<int>, freq bigint, l int, r int, cnt bigint"
-_KEY_SHIFT = 2**31  # keys of pairs: ((l + 2^31) << 32) | (r + 2^31); special ids are negative
-
-
-def _round_fn(batch: list[tuple[int, int, int]]):
-    """``mapInArrow`` function for one round over a partition of the word table.
-
-    Applies the batch's merges in order, drops words left with one symbol, and emits two kinds of
-    record batches: the rewritten words (``kind = 0``) and this partition's partial pair counts
-    (``kind = 1``), so the pair aggregate shuffles only partials.
-    """
+_KEY_SHIFT = 2**31  # keys of pairs: ((l + 2^31) << 32) | (r + 2^31), unsigned; special ids are negative
+
+
+def _pair_keys(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    return ((left.astype(np.int64) + _KEY_SHIFT).astype(np.uint64) << np.uint64(32)) | (right.astype(np.int64) + _KEY_SHIFT).astype(np.uint64)
+
+
+class _Words:
+    """The words of one Arrow batch: flat symbols, where words begin, frequencies."""
+
+    def __init__(self, sym: pa.Array, freq: pa.Array):
+        offsets = np.asarray(sym.offsets, dtype=np.int64)
+        self.offsets = offsets - offsets[0]
+        self.values = np.asarray(sym.flatten().to_numpy(zero_copy_only=False), dtype=np.int32)
+        self.freq = np.asarray(freq.to_numpy(zero_copy_only=False), dtype=np.int64)
+        self.word = np.repeat(np.arange(len(self.freq)), np.diff(self.offsets))
+
+    def links(self) -> tuple[np.ndarray, np.ndarray]:
+        """(places whose next symbol is of the same word, their pair keys)."""
+        at = np.flatnonzero(self.word[1:] == self.word[:-1])
+        return at, _pair_keys(self.values[at], self.values[at + 1])
+
+
+def _isin(keys: np.ndarray, among: np.ndarray) -> np.ndarray:
+    """Which keys are in a sorted array."""
+    if not len(among):
+        return np.zeros(len(keys), bool)
+    return among[np.minimum(np.searchsorted(among, keys), len(among) - 1)] == keys
+
+
+def _counted(keys: np.ndarray, weights: np.ndarray) -> pa.RecordBatch | None:
+    distinct, back = np.unique(keys, return_inverse=True)
+    sums = np.zeros(len(distinct), np.int64)
+    np.add.at(sums, back, weights)
+    distinct, sums = distinct[sums != 0], sums[sums != 0]
+    left = (distinct >> np.uint64(32)).astype(np.int64) - _KEY_SHIFT
+    right = (distinct & np.uint64(0xFFFFFFFF)).astype(np.int64) - _KEY_SHIFT
+    n = len(distinct)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.ones(n, np.int8)), pa.nulls(n, pa.list_(pa.int32())), pa.nulls(n, pa.int64()), pa.array(left.astype(np.int32)), pa.array(right.astype(np.int32)), pa.array(sums)],
+        names=["kind", "sym", "freq", "l", "r", "cnt"])
+
+
+def apply_merges(sym: list[int], rank: dict[tuple[int, int], list[int]], new: list[int]) -> list[int]:
+    """A word after the merges ``0, 1, ...`` of a round, one after the other. ``rank``: the merges of a pair, ascending;
+    ``new``: the symbol that a merge makes. A merge only sees pairs that are there when its turn comes."""
+    done = 0
+    while True:
+        first = None
+        for pair in zip(sym, sym[1:], strict=False):
+            for k in rank.get(pair, ()):
+                if k >= done:
+                    if first is None or k < first[0]:
+                        first = k, pair
+                    break
+        if first is None:
+            return sym
+        done, pair = first[0] + 1, first[1]
+        sym = _merged(sym, pair, new[first[0]])
+
+
+def _merged(sym: list[int], pair: tuple[int, int], new: int) -> list[int]:
+    out, i = [], 0
+    while i < len(sym):
+        if i + 1 < len(sym) and (sym[i], sym[i + 1]) == pair:
+            out.append(new)
+            i += 2
+        else:
+            out.append(sym[i])
+            i += 1
+    return out
+
+
+STEP_SCHEMA = "kind tinyint, sym array<int>, freq bigint, l int, r int, cnt bigint"
+
+
+def _step_fn(merges: list[tuple[int, int, int]], first: bool):
+    """One round over a partition of the word table: words with the merges applied (``kind`` 0; without those of one
+    symbol) and signed changes of pair counts (``kind`` 1): of the words that changed, or in the first round of all."""
+    rank: dict[tuple[int, int], list[int]] = {}
+    for k, (l, r, _) in enumerate(merges):
+        rank.setdefault((l, r), []).append(k)
+    new = [n for _, _, n in merges]
+    keys = np.unique(_pair_keys(np.array([p[0] for p in rank], np.int64), np.array([p[1] for p in rank], np.int64))) if rank else np.zeros(0, np.uint64)
 
     def fn(batches):
-        import numpy as np
-        import pyarrow as pa
+        for rb in batches:
+            w = _Words(rb.column(0), rb.column(1))
+            at, pair = w.links()
+            changed = np.unique(w.word[at[_isin(pair, keys)]])
+            after = [apply_merges(w.values[w.offsets[i]: w.offsets[i + 1]].tolist(), rank, new) for i in changed]
+            touched = np.isin(w.word[at], changed)
+            old_keys, old = (pair, w.freq[w.word[at]]) if first else (pair[touched], -w.freq[w.word[at[touched]]])
+            left = np.array([x for s in after for x in s[:-1]], np.int64)
+            right = np.array([x for s in after for x in s[1:]], np.int64)
+            gained = np.repeat(w.freq[changed], [len(s) - 1 for s in after]) if len(changed) else np.zeros(0, np.int64)
+            yield _counted(np.concatenate((old_keys, _pair_keys(left, right))), np.concatenate((old, gained)))
+            size = np.diff(w.offsets)
+            keep = size > 1
+            keep[changed] = False
+            kept = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(size[keep]))).astype(np.int32)), pa.array(w.values[np.repeat(keep, size)]))
+            longer = [i for i, s in enumerate(after) if len(s) > 1]
+            words = pa.concat_arrays([kept, pa.array([after[i] for i in longer], pa.list_(pa.int32()))])
+            freq = np.concatenate((w.freq[keep], w.freq[changed[longer]] if longer else np.zeros(0, np.int64)))
+            n = len(freq)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.zeros(n, np.int8)), words, pa.array(freq), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int64())],
+                names=["kind", "sym", "freq", "l", "r", "cnt"])
 
+    return fn
+
+
+def _segments_fn(pairs: np.ndarray, watched: np.ndarray, margin: int):
+    """The neighbourhoods of all places where one of ``pairs`` stands, or a symbol of ``watched``: ``segment`` (symbols as
+    32-bit integers, then a byte: 1 if the word goes on to the left, 2 if to the right), ``freq``, counted per batch."""
+
+    def fn(batches):
         for rb in batches:
-            sym = rb.column(0)
-            freq = np.asarray(rb.column(1).to_numpy(zero_copy_only=False), dtype=np.int64)
-            offs = np.asarray(sym.offsets, dtype=np.int64)
-            offs = offs - offs[0]
-            vals = np.asarray(sym.flatten().to_numpy(zero_copy_only=False), dtype=np.int32)
-            for l, r, n in batch:
-                vals, offs = merge_pair_arrays(vals, offs, l, r, n)
-            lengths = np.diff(offs)
-            keep = lengths >= 2
-            if not keep.all():
-                elem_keep = np.repeat(keep, lengths)
-                vals = vals[elem_keep]
-                lengths = lengths[keep]
-                freq = freq[keep]
-                offs = np.concatenate(([0], np.cumsum(lengths)))
-            nw = len(lengths)
-            if nw:
-                words = pa.ListArray.from_arrays(pa.array(offs.astype(np.int32)), pa.array(vals, type=pa.int32()))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.zeros(nw, dtype=np.int8)), words, pa.array(freq), pa.nulls(nw, pa.int32()),
-                     pa.nulls(nw, pa.int32()), pa.nulls(nw, pa.int64())],
-                    names=["kind", "sym", "freq", "l", "r", "cnt"],
-                )
-                within = np.ones(len(vals) - 1, dtype=bool)
-                within[offs[1:-1] - 1] = False  # a pair may not cross into the next word
-                left = vals[:-1][within].astype(np.int64)
-                right = vals[1:][within].astype(np.int64)
-                weight = np.repeat(freq, lengths)[:-1][within]
-                keys = ((left + _KEY_SHIFT) << 32) | (right + _KEY_SHIFT)
-                uniq, inv = np.unique(keys, return_inverse=True)
-                cnt = np.bincount(inv, weights=weight).astype(np.int64)
-                np_ = len(uniq)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.ones(np_, dtype=np.int8)), pa.nulls(np_, pa.list_(pa.int32())), pa.nulls(np_, pa.int64()),
-                     pa.array(((uniq >> 32) - _KEY_SHIFT).astype(np.int32)),
-                     pa.array(((uniq & 0xFFFFFFFF) - _KEY_SHIFT).astype(np.int32)), pa.array(cnt)],
-                    names=["kind", "sym", "freq", "l", "r", "cnt"],
-                )
+            w = _Words(rb.column(0), rb.column(1))
+            at, pair = w.links()
+            live = _isin(pair, pairs) | _isin(w.values[at], watched) | _isin(w.values[at + 1], watched)
+            inside = np.zeros(len(w.values), bool)
+            inside[at[live]] = inside[at[live] + 1] = True
+            for _ in range(margin):
+                wider = inside.copy()
+                wider[at] |= inside[at + 1]
+                wider[at + 1] |= inside[at]
+                inside = wider
+            place = np.flatnonzero(inside)
+            if not len(place):
+                continue
+            breaks = np.flatnonzero((np.diff(place) != 1) | (np.diff(w.word[place]) != 0)) + 1
+            begin, end = place[np.concatenate(([0], breaks))], place[np.concatenate((breaks - 1, [len(place) - 1]))] + 1
+            of = w.word[begin]
+            more = (begin > w.offsets[of]) + 2 * (end < w.offsets[of + 1])
+            raw = w.values.astype("<i4").tobytes()
+            names = [raw[4 * a: 4 * b] + bytes((m,)) for a, b, m in zip(begin.tolist(), end.tolist(), more.tolist(), strict=True)]
+            sums: dict[bytes, int] = {}
+            for name, f in zip(names, w.freq[of].tolist(), strict=True):
+                sums[name] = sums.get(name, 0) + f
+            yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.binary()), pa.array(list(sums.values()), pa.int64())], names=["segment", "freq"])
 
     return fn
 
 
-def _top_pairs(round_out: DataFrame, k: int) -> list[tuple[int, int, int]]:
-    pairs = round_out.where(F.col("kind") == 1).groupBy("l", "r").agg(F.sum("cnt").alias("cnt"))
-    top = pairs.orderBy(F.col("cnt").desc(), "l", "r").limit(k).collect()
-    return [(int(r["cnt"]), int(r["l"]), int(r["r"])) for r in top]
+class _Simulation:
+    """Exact learning over neighbourhoods, as long as they decide it.
 
+    Counts of the watched pairs and of every pair with a symbol made here are exact, since all places where they
+    stand are in view. Any other pair ranks behind ``last``, the lowest of the pairs asked for, and can only lose. So
+    the best pair in view is the best of all until it ranks behind ``last``. Learning also stops before a merge at an
+    open end of a neighbourhood (what follows there is not in view), and behind one that makes a token which exists
+    already and is not watched (it also stands elsewhere).
+    """
 
-def _words(round_out: DataFrame) -> DataFrame:
-    return round_out.where(F.col("kind") == 0).select("sym", "freq")
+    def __init__(self, segments: list[tuple[bytes, int]], pairs: set[tuple[int, int]], watched: set[int], first_new: int):
+        self.pairs, self.known, self.first_new = pairs, watched, first_new
+        self.sym = [np.frombuffer(s[:-1], "<i4").tolist() for s, _ in segments]
+        self.open = [s[-1] for s, _ in segments]
+        self.freq = [f for _, f in segments]
+        self.count: dict[tuple[int, int], int] = {}
+        self.where: dict[tuple[int, int], set[int]] = {}
+        for i, s in enumerate(self.sym):
+            for p in zip(s, s[1:], strict=False):
+                if self.in_view(p):
+                    self.count[p] = self.count.get(p, 0) + self.freq[i]
+                    self.where.setdefault(p, set()).add(i)
+        self.heap = [(-c, *p) for p, c in self.count.items()]
+        heapq.heapify(self.heap)
+
+    def in_view(self, p: tuple[int, int]) -> bool:
+        l, r = p
+        return p in self.pairs or l >= self.first_new or r >= self.first_new or l in self.known or r in self.known
+
+    def best(self) -> tuple[int, int, int] | None:
+        """(-count, left, right) of the best pair."""
+        while self.heap:
+            c, l, r = self.heap[0]
+            now = self.count.get((l, r), 0)
+            if now == -c:
+                return self.heap[0]
+            heapq.heappop(self.heap)
+            if 0 < now < -c:
+                heapq.heappush(self.heap, (-now, l, r))
+        return None
+
+    def at_open_end(self, p: tuple[int, int]) -> bool:
+        return any((self.open[i] & 1 and (s[0], s[1]) == p) or (self.open[i] & 2 and (s[-2], s[-1]) == p)
+                   for i in self.where.get(p, ()) if len(s := self.sym[i]) > 1)
+
+    def merge(self, p: tuple[int, int], new: int) -> None:
+        change: dict[tuple[int, int], int] = {}
+        for i in self.where.pop(p, ()):
+            old, f = self.sym[i], self.freq[i]
+            s = self.sym[i] = _merged(old, p, new)
+            for q in zip(old, old[1:], strict=False):
+                if self.in_view(q):
+                    change[q] = change.get(q, 0) - f
+            for q in zip(s, s[1:], strict=False):
+                if self.in_view(q):
+                    change[q] = change.get(q, 0) + f
+                    self.where.setdefault(q, set()).add(i)
+        for q, d in change.items():
+            if d:
+                self.count[q] = self.count.get(q, 0) + d
+                if d > 0:
+                    heapq.heappush(self.heap, (-self.count[q], *q))
+
+
+def _simulate(state: _State, sim: _Simulation, last: tuple[int, int, int] | None, most: int | None) -> list[tuple[int, int, int]]:
+    """Extend the state's merges and tokens as far as ``sim`` decides. Returns the new merges."""
+    floor = max(1, state.cfg.min_frequency)
+    out: list[tuple[int, int, int]] = []
+    while True:
+        if len(state.tokens) >= state.cfg.vocab_size:
+            state.done = True
+            return out
+        if most is not None and len(state.merges) >= most:
+            return out
+        top = sim.best()
+        if top is None or (last is not None and top > last):
+            state.done = last is None
+            return out
+        c, l, r = top
+        if -c < floor:
+            state.done = True
+            return out
+        if out and sim.at_open_end((l, r)):
+            return out
+        text = state.text[l] + state.text[r]
+        new = state.id_of.get(text)
+        unseen = new is not None and new < sim.first_new and new not in sim.known
+        if new is None:
+            new = MERGED_BASE + state.made
+            state.made += 1
+            state.tokens.append(text)
+            state.text[new], state.id_of[text] = text, new
+        sim.merge((l, r), new)
+        state.merges.append((l, r, new))
+        out.append((l, r, new))
+        if unseen:
+            return out
+
+
+def _read_log(spark: SparkSession, path: str) -> list[dict]:
+    """The committed entries of a merge log, in order."""
+    from corpusprep.session import fs_for
+
+    fs, folder = fs_for(spark, path)
+    if not fs.exists(folder):
+        return []
+    names = sorted(st.getPath().getName() for st in fs.listStatus(folder))
+    names = [n for n in names if n.startswith("log-") and n.endswith(".json")]
+    return [json.loads(r["value"]) for n in names for r in spark.read.text(f"{path}/{n}", wholetext=True).collect()]
+
+
+def _resume(spark: SparkSession, path: str, cfg: VocabConfig) -> _State | None:
+    log = _read_log(spark, path)
+    if not log:
+        return None
+    settings = json.loads(json.dumps(cfg.__dict__))
+    if log[0]["settings"] != settings:
+        raise ValueError(f"{path} holds a vocabulary with other settings: {log[0]['settings']}")
+    merges = [tuple(m) for entry in log for m in entry["merges"]]
+    tokens = [t for entry in log for t in entry["tokens"]]
+    return _State(cfg, path, len(log) - 1, tokens, merges, sum(len(e["tokens"]) for e in log[1:]), log[-1]["pairs_wanted"], log[-1]["done"])
+
+
+def _commit(spark: SparkSession, state: _State, tokens: list[str], merges: list[tuple[int, int, int]]) -> None:
+    from corpusprep.session import create_once
+
+    entry = {"settings": state.cfg.__dict__, "tokens": tokens, "merges": merges, "pairs_wanted": state.pairs_wanted, "done": state.done}
+    create_once(spark, f"{state.path}/log-{state.version:06d}.json", json.dumps(entry))
+
+
+def _step(spark: SparkSession, state: _State, merges: list[tuple[int, int, int]], words: DataFrame, pairs: DataFrame | None) -> None:
+    """Write the next version of the word and pair tables: the words with ``merges`` applied, and the counts changed by
+    what the changed words lose and gain. A version that was begun but not committed is written again."""
+    from corpusprep.session import delete_path
+
+    state.version += 1
+    step, table = state.table("step"), state.table("pairs")
+    for path in (step, table):
+        delete_path(spark, path)
+    words.mapInArrow(_step_fn(merges, pairs is None), STEP_SCHEMA).write.partitionBy("kind").parquet(step)
+    change = spark.read.schema(STEP_SCHEMA).parquet(step).where("kind = 1").select("l", "r", "cnt")
+    both = change if pairs is None else pairs.unionByName(change)
+    both.groupBy("l", "r").agg(F.sum("cnt").alias("cnt")).where("cnt > 0").write.parquet(table)
 
 
 def learn_bpe(texts: DataFrame, cfg: VocabConfig = VocabConfig(), text: str = "text", max_merges: int | None = None,
-              top_k: int = PAIR_TOP_K, checkpoint_every: int = CHECKPOINT_EVERY, log=None) -> BpeModel:
-    """Learn the vocabulary from a frame of texts (see ``_learn_bpe``).
+              state_path: str | None = None, max_segments: int = MAX_SEGMENTS, log=None) -> BpeModel:
+    """Learn the vocabulary from a frame of texts, to the rules' own end (see the module notes).
 
-    The distinct words are counted and written to the shared folder first. The rounds are many small jobs of
-    a fixed shape over that table, where adaptive re-planning only adds latency; they run in a session of
-    their own with AQE off, so other queries of the caller's session keep their plans.
+    ``state_path``: a shared folder that keeps the merge log; called again with it after a lost driver, learning goes
+    on behind the last committed round. Without it a folder of its own is used and removed at the end.
+    ``max_merges`` stops early (benchmarks). ``max_segments`` bounds the rows that a round sends to the driver.
+
+    The rounds are many small jobs of a fixed shape over written tables, where adaptive re-planning only adds latency;
+    they run in a session of their own with AQE off, so other queries of the caller's session keep their plans.
     """
-    from corpusprep.session import delete_path, shared_path
+    from corpusprep.session import delete_path, ensure_checkpoint_dir, shared_path, ship_package
 
+    cfg.validate()
     spark = texts.sparkSession
-    path = shared_path(spark, "bpe-words")
-    word_freq(texts, text).write.parquet(path)
+    ensure_checkpoint_dir(spark)
+    ship_package(spark)
+    path = state_path or shared_path(spark, "bpe")
     quiet = spark.newSession()
     quiet.conf.set("spark.sql.adaptive.enabled", "false")
     quiet.conf.set("spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions"))
     try:
-        return _learn_bpe(quiet.read.parquet(path), cfg, max_merges, top_k, checkpoint_every, log)
+        state = _resume(quiet, path, cfg)
+        if state is None:
+            delete_path(spark, f"{path}/words")
+            word_freq(texts, text).write.parquet(f"{path}/words")
+            state = _begin(quiet, path, cfg)
+        _rounds(quiet, state, max_merges, max_segments, log)
+        return state.model()
     finally:
-        delete_path(spark, path)
+        if state_path is None:
+            delete_path(spark, path)
 
 
-def _learn_bpe(words: DataFrame, cfg: VocabConfig, max_merges: int | None, top_k: int, checkpoint_every: int, log) -> BpeModel:
-    """Learn the vocabulary from a table of distinct words and their counts.
+def _begin(spark: SparkSession, path: str, cfg: VocabConfig) -> _State:
+    """Version 0: the alphabet, the words as characters, all pair counts."""
+    singles = {ord(t): i - len(cfg.special_tokens) for i, t in enumerate(cfg.special_tokens) if len(t) == 1}
+    initial = _initial_symbols(spark.read.parquet(f"{path}/words"), singles)
+    codes = sorted(r["c"] for r in initial.select(F.explode("sym").alias("c")).distinct().collect() if r["c"] >= 0)
+    tokens = [*cfg.special_tokens, *(chr(c) for c in codes)]
+    state = _State(cfg, path, -1, tokens, [], 0, FIRST_PAIRS, False)
+    _step(spark, state, [], initial, None)
+    _commit(spark, state, tokens, [])
+    return state
 
-    ``max_merges`` stops early after that many merges (benchmarks); ``None`` runs to the rules'
-    own end. Driver state: the vocabulary and merge list (bounded by ``vocab_size``), the alphabet,
-    and ``top_k`` candidate rows per round.
-    """
-    cfg.validate()
-    spark = words.sparkSession
-    from corpusprep.session import ensure_checkpoint_dir, ship_package
 
-    ensure_checkpoint_dir(spark)
-    ship_package(spark)
-    singles = {ord(t): i - len(cfg.special_tokens) for i, t in enumerate(cfg.special_tokens) if len(t) == 1}
-    initial = _initial_symbols(words, singles).persist(StorageLevel.MEMORY_AND_DISK)
-    codes = sorted(r["c"] for r in initial.select(F.explode("sym").alias("c")).distinct().collect() if r["c"] >= CHAR_BASE)
-    alphabet = [chr(c - CHAR_BASE) for c in codes]
-    tokens = list(cfg.special_tokens)
-    for ch in alphabet:
-        if ch not in tokens:
-            tokens.append(ch)
-    index = {t: i for i, t in enumerate(tokens)}
-    # working id <-> vocabulary id
-    to_vocab = {c: index[chr(c - CHAR_BASE)] for c in codes}
-    for i in range(len(cfg.special_tokens)):  # specials sort first: negative working ids
-        to_vocab[i - len(cfg.special_tokens)] = i
-    to_work = {v: k for k, v in to_vocab.items()}
-
-    merges: list[tuple[int, int, int]] = []
-    current = initial.mapInArrow(_round_fn([]), ROUND_SCHEMA).persist(StorageLevel.MEMORY_AND_DISK)
-    held = [initial]
+def _rounds(spark: SparkSession, state: _State, max_merges: int | None, max_segments: int, log) -> None:
+    from corpusprep.session import delete_path
+
     rounds = 0
-    created = 0
-    while len(tokens) < cfg.vocab_size and (max_merges is None or len(merges) < max_merges):
-        top_w = _top_pairs(current, top_k)  # materialises ``current``
-        for old in held:
-            old.unpersist()
-        held = []
-        if not top_w:
-            break
-        top = [(c, to_vocab[l], to_vocab[r]) for c, l, r in top_w]
-        batch = select_batch(top, len(top) < top_k, tokens, index, cfg.vocab_size, cfg.min_frequency)
-        batch = batch[:MAX_BATCH]
-        if max_merges is not None:
-            batch = batch[: max_merges - len(merges)]
-        if not batch:
-            break
-        applied = []
-        for l, r, new, reused in batch:
-            if reused:
-                nid = index[new]
-            else:
-                nid = len(tokens)
-                tokens.append(new)
-                index[new] = nid
-                w = MERGED_BASE + created
-                created += 1
-                to_vocab[w] = nid
-                to_work[nid] = w
-            merges.append((l, r, nid))
-            applied.append((to_work[l], to_work[r], to_work[nid]))
+    while not state.done and (max_merges is None or len(state.merges) < max_merges):
+        words = spark.read.schema(STEP_SCHEMA).parquet(state.table("step")).where("kind = 0").select("sym", "freq")
+        pairs = spark.read.parquet(state.table("pairs"))
+        wanted, margin = state.pairs_wanted, MARGIN
+        while True:
+            top = [(-r["cnt"], r["l"], r["r"]) for r in pairs.orderBy(F.col("cnt").desc(), "l", "r").limit(wanted).collect()]
+            chosen = {(l, r) for _, l, r in top}
+            watched = {i for l, r in chosen if (i := state.id_of.get(state.text[l] + state.text[r])) is not None}
+            keys = np.unique(_pair_keys(np.array([l for l, _ in chosen], np.int64), np.array([r for _, r in chosen], np.int64)))
+            found = words.mapInArrow(_segments_fn(keys, np.array(sorted(watched), np.int32), margin), "segment binary, freq bigint")
+            near = found.groupBy("segment").agg(F.sum("freq").alias("freq")).limit(max_segments + 1).toArrow() if top else None
+            if near is None or near.num_rows <= max_segments:
+                break
+            if wanted > 1:
+                wanted = max(1, wanted // 4)
+            elif margin > 1:
+                margin = 1
+            else:  # one pair between two symbols: at most one segment per two symbols and run
+                near = found.groupBy("segment").agg(F.sum("freq").alias("freq")).toArrow()
+                break
+        first_new, made, old = MERGED_BASE + state.made, state.made, len(state.merges)
+        if near is None:
+            state.done = True
+        else:
+            sim = _Simulation(list(zip(near["segment"].to_pylist(), near["freq"].to_pylist(), strict=True)), chosen, watched, first_new)
+            _simulate(state, sim, top[-1] if len(top) == wanted else None, max_merges)
+            if near.num_rows < max_segments // 4:
+                wanted *= 2
+        state.pairs_wanted = min(wanted, MOST_PAIRS)
+        merges = state.merges[old:]
+        before = state.version
+        if merges and not state.done:
+            _step(spark, state, merges, words, pairs)
+        else:
+            state.version += 1
+        _commit(spark, state, [state.text[MERGED_BASE + k] for k in range(made, state.made)], merges)
+        for name in ("step", "pairs"):
+            delete_path(spark, f"{state.path}/{name}-{before:06d}")
         rounds += 1
-        src = _words(current)
-        if rounds % checkpoint_every == 0:
-            # cut the lineage: the word table goes to the shared checkpoint folder
-            src = src.checkpoint(eager=True)
-        nxt = src.mapInArrow(_round_fn(applied), ROUND_SCHEMA).persist(StorageLevel.MEMORY_AND_DISK)
-        held = [current]
-        current = nxt
         if log:
-            log(rounds, len(merges), len(tokens), top[0][0])
-    for old in held:
-        old.unpersist()
-    current.unpersist()
-    return BpeModel(tokens, merges, tuple(cfg.special_tokens), cfg.unk_token)
+            log(rounds, len(state.merges), len(state.tokens), {"top": -top[0][0] if top else 0, "pairs": len(top), "segments": near.num_rows if near is not None else 0, "merged": len(merges)})
 
 
 # ---- G6 / G7: encode and decode -------------------------------------------------------------------------

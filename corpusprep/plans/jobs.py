@@ -20,6 +20,7 @@ from corpusprep.operators import quality as Q
 from corpusprep.operators import sampling as S
 from corpusprep.operators import vocab as V
 from corpusprep.plans.catalog import Catalog, Dataset
+from corpusprep.session import delete_path
 from corpusprep.sources.jsonl import with_row_key
 
 
@@ -50,12 +51,11 @@ class RunMetrics:
 
 
 def with_positions(df: DataFrame, key: str = "row_key", skey: str = "skey") -> DataFrame:
-    """The 1-based position of each row in the seeded order ``(skey, key)`` as ``pos``
-    (skew-safe ranking of a single group), stored with the rows so access by index is a filter."""
+    """The 1-based position of each row in the order ``(skey, key)`` as ``pos``, stored with the rows so access by
+    index is a filter. Only names of rows are ordered (see ``ranking``)."""
     from corpusprep.operators.ranking import rank_within
 
-    ranked = rank_within(df.withColumn("_g", F.lit(0)), ["_g"], skey, key, out="pos").drop("_g")
-    return ranked.withColumn("pos", F.col("pos").cast("long"))
+    return rank_within(df, [], skey, key, out="pos")
 
 
 def _profile_from(obs: dict) -> dict:
@@ -142,12 +142,19 @@ def filter_all(catalog: Catalog, force: bool = False, **overrides) -> list[Datas
 
 
 def vocab_job(catalog: Catalog, dataset_id: str, out_path: str, cfg: VocabConfig = VocabConfig(),
-              max_merges: int | None = None) -> V.BpeModel:
-    """Filtered rows -> interleaved texts -> vocabulary -> saved tables."""
-    ds = catalog.get(dataset_id)
-    texts = V.corpus_texts(ds.rows)
-    model = V.learn_bpe(texts, cfg, max_merges=max_merges)
-    model.save(catalog.spark, out_path)
+              max_merges: int | None = None, log=None) -> V.BpeModel:
+    """Filtered rows -> interleaved texts -> vocabulary -> saved tables.
+
+    Restartable: the state of learning lies in ``<out_path>.learning`` until the tables are saved. Called again after a
+    lost driver, the job goes on behind the last committed round; if a vocabulary is there already, it is loaded.
+    """
+    spark = catalog.spark
+    if V.BpeModel.saved(spark, out_path):
+        return V.BpeModel.load(spark, out_path)
+    state = f"{out_path.rstrip('/')}.learning"
+    model = V.learn_bpe(V.corpus_texts(catalog.get(dataset_id).rows), cfg, max_merges=max_merges, state_path=state, log=log)
+    model.save(spark, out_path, mode="overwrite")  # of a save that was cut short
+    delete_path(spark, state)
     return model
 
 

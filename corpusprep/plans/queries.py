@@ -817,21 +817,33 @@ def q_catalog_audit(spark, sf_dir):
 
 # ---- G4-G7, J3, J4 with a learned vocabulary -----------------------------------------------------------------
 
-BPE_MERGES = 100  # merges learned by the registered vocabulary queries
-
-
 def _model(spark, sf_dir):
+    """The vocabulary of the filtered corpus, learnt to the end (30,000 tokens, or until pairs are too rare)."""
     key = ("bpe", sf_dir, spark.sparkContext.applicationId)
     if key not in _STATE:
         from corpusprep.operators.vocab import corpus_texts, learn_bpe
 
-        _STATE[key] = learn_bpe(corpus_texts(_clean(spark, sf_dir)), VocabConfig(), max_merges=BPE_MERGES)
+        _STATE[key] = learn_bpe(corpus_texts(_clean(spark, sf_dir)), VocabConfig())
     return _STATE[key]
 
 
+@register(
+    "pair_counts",
+    f"{_CLEAN_SQL}, w AS (SELECT unnest({O.pretokens('src')}) AS word FROM clean UNION ALL SELECT unnest({O.pretokens('tgt')}) FROM clean), "
+    "f AS (SELECT string_split(word, '') AS ch, count(*) AS freq FROM w GROUP BY word), "
+    "p AS (SELECT ch, freq, unnest(range(1, len(ch))) AS i FROM f) "
+    "SELECT ch[i] AS l, ch[i + 1] AS r, CAST(sum(freq) AS BIGINT) AS cnt FROM p GROUP BY ch[i], ch[i + 1]",
+)
+def q_pair_counts(spark, sf_dir):
+    """The pair counts that learning starts from."""
+    from corpusprep.operators.vocab import corpus_texts, pair_counts, word_freq
+
+    return pair_counts(word_freq(corpus_texts(_clean(spark, sf_dir))))
+
+
 @register("bpe_learn")
 def q_bpe_learn(spark, sf_dir):
-    """The first BPE_MERGES merges learned from the filtered corpus (exact rules)."""
+    """All merges learned from the filtered corpus (exact rules)."""
     return _model(spark, sf_dir).merges_df(spark)
 
 
@@ -841,6 +853,19 @@ def q_vocab_table(spark, sf_dir):
     return _model(spark, sf_dir).vocab_df(spark)
 
 
+@register(
+    "vocab_alphabet",
+    f"{_CLEAN_SQL}, w AS (SELECT unnest({O.pretokens('src')}) AS word FROM clean UNION ALL SELECT unnest({O.pretokens('tgt')}) FROM clean), "
+    "a AS (SELECT DISTINCT unnest(string_split(word, '')) AS token FROM w) "
+    f"SELECT token, CAST({len(VocabConfig().special_tokens)} + row_number() OVER (ORDER BY unicode(token)) - 1 AS INTEGER) AS id FROM a UNION ALL "
+    + " UNION ALL ".join(f"SELECT '{t}', {i}" for i, t in enumerate(VocabConfig().special_tokens)),
+)
+def q_vocab_alphabet(spark, sf_dir):
+    """The vocabulary before its merged tokens: special tokens, then characters by code point."""
+    m = _model(spark, sf_dir)
+    return m.vocab_df(spark).where(F.col("id") < len(m.tokens) - m.made).select("token", "id")
+
+
 @register("vocab_job")
 def q_vocab_job(spark, sf_dir):
     """Filtered set of all valid pairs, in a catalog of its own -> vocabulary saved as tables -> loaded back."""
@@ -851,7 +876,7 @@ def q_vocab_job(spark, sf_dir):
     n = pairs.count()
     raw = JB.extract_job(pairs, RawConfig(split="train", n=n), cat)
     path = shared_path(spark, "vocab")
-    JB.vocab_job(cat, JB.filter_job(cat, raw.id, n=n).id, path, VocabConfig(), max_merges=BPE_MERGES)
+    JB.vocab_job(cat, JB.filter_job(cat, raw.id, n=n).id, path, VocabConfig())
     return BpeModel.load(spark, path).merges_df(spark)
 
 

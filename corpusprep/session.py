@@ -12,6 +12,7 @@ import shutil
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 DEFAULT_CONF = {
@@ -91,6 +92,44 @@ def delete_path(spark: SparkSession, path: str) -> bool:
     return bool(fs.delete(p, True))
 
 
+def create_once(spark: SparkSession, path: str, text: str) -> None:
+    """Create a small file whole; of several writers of one path exactly one succeeds, the others get FileExistsError.
+
+    The content is written beside the path first. The path itself is then claimed: by a link that fails if the
+    name is taken where the file system is local, else by a rename that does not overwrite.
+    """
+    jvm = spark.sparkContext._jvm
+    fs, target = fs_for(spark, path)
+    part = jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex[:12]}.part")
+    out = fs.create(part, False)
+    try:
+        out.write(bytearray(text.encode("utf-8", "surrogatepass")))
+    finally:
+        out.close()
+    try:
+        if target.toUri().getScheme() in (None, "file") and fs.getUri().getScheme() == "file":
+            link = jvm.java.nio.file.Files.createLink
+            nio = lambda p: jvm.java.nio.file.Path.of(jvm.java.net.URI.create("file://" + p.toUri().getPath().replace(" ", "%20")))
+            try:
+                link(nio(target), nio(part))
+            except Py4JJavaError as e:
+                if "FileAlreadyExistsException" in str(e.java_exception):
+                    raise FileExistsError(path) from None
+                raise
+        else:
+            context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+            options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+            options[0] = jvm.org.apache.hadoop.fs.Options.Rename.NONE
+            try:
+                context.rename(part, target, options)
+            except Py4JJavaError as e:
+                if "FileAlreadyExistsException" in str(e.java_exception):
+                    raise FileExistsError(path) from None
+                raise
+    finally:
+        fs.delete(part, False)
+
+
 def list_dirs(spark: SparkSession, path: str) -> list[str]:
     fs, p = fs_for(spark, path)
     if not fs.exists(p):

@@ -59,17 +59,63 @@ def test_epochs_reseed(spark):
         assert seq == _loop([k % 40 for k in range(100)], list(range(100)), 4, 16, False, 1, epoch=e)
 
 
-def test_rank_within_sliced_equals_window(spark):
-    """A group far above the slice size (a hot key) is ranked by slices; equals a plain window."""
-    rows = [(0 if k % 3 else 1, k) for k in range(2000)]  # group 0 holds two thirds of the rows
+def test_rank_within_equals_window(spark):
+    rows = [(0 if k % 3 else 1, k) for k in range(2000)] + [(None, 5), (None, 6)]  # group 0 holds two thirds of the rows
     df = spark.createDataFrame(rows, "g int, key long").withColumn("h", F.md5(F.col("key").cast("string")))
-    got = R.rank_within(df, ["g"], "h", "key", out="rn", rows_per_slice=100)
+    got = R.rank_within(df, ["g"], "h", "key", out="rn", partitions=7)
     exp = df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy("h", "key")))
-    a = sorted((r.g, r.key, r.rn) for r in got.collect())
-    b = sorted((r.g, r.key, r.rn) for r in exp.collect())
+    a = sorted((str(r.g), r.key, r.rn) for r in got.collect())
+    b = sorted((str(r.g), r.key, r.rn) for r in exp.collect())
     assert a == b
 
 
+def test_ranks_of_repeated_rows_and_nulls(spark):
+    """Keys repeat with other content, and whole rows repeat: every position is given once, in order, the same each time."""
+    rows = [(k % 4 or None, None if k % 7 == 0 else f"t{k % 5}") for k in range(200)]
+    df = spark.createDataFrame(rows, "key long, src string").repartition(6)
+    told = []
+    for parts in (1, 5):
+        got = R.rank_within(df.withColumn("h", F.lit("")), [], "h", "key", out="rn", partitions=parts).collect()
+        assert sorted(r.rn for r in got) == list(range(1, 201))
+        assert sorted(map(str, ((r.key, r.src) for r in got))) == sorted(map(str, rows))
+        keys = [r.key for r in sorted(got, key=lambda r: r.rn)]
+        assert keys == sorted(keys, key=lambda k: (k is not None, k))
+        told.append(sorted((r.rn, str(r.key), str(r.src)) for r in got))
+    assert told[0] == told[1]
+    assert R.rank_within(df.where("key > 9").withColumn("h", F.lit("")), [], "h", "key").collect() == []
+
+
+@pytest.mark.parametrize("kind", ["source order", "one key with half the rows", "one row repeated"])
+def test_no_task_ranks_more_than_its_share(spark, kind):
+    """A million names in 16 partitions: the largest has less than twice the median."""
+    n = 1_000_000
+    df = spark.range(n).select(F.lit("").alias("skey"), F.col("id").alias("key"), F.col("id").cast("string").alias("src"))
+    if kind == "one key with half the rows":
+        df = df.withColumn("key", F.when(F.col("key") % 2 == 0, 7).otherwise(F.col("key")))
+    if kind == "one row repeated":
+        df = spark.range(n).select(F.lit("").alias("skey"), F.when(F.col("id") % 2 == 0, 7).otherwise(F.col("id")).alias("key"), F.lit("x").alias("src"))
+    rows = R.named(df, [], "skey", "key")
+    names = rows.groupBy(*R.NAME).agg(F.count(F.lit(1)).alias("_n"))
+    assert names.count() == (n // 2 if kind == "one row repeated" else n)
+    sizes = sorted(r["count"] for r in names.repartitionByRange(16, *R.NAME).groupBy(F.spark_partition_id()).count().collect())
+    assert len(sizes) == 16 and sizes[-1] < 2 * sizes[8]
+    if kind != "source order":
+        got = R.positions(rows, partitions=16).agg(F.count("rn").alias("n"), F.max("rn").alias("top"), F.sum("rn").alias("sum")).first()
+        assert (got["n"], got["top"], got["sum"]) == (n, n, n * (n + 1) // 2)
+
+
+def test_a_hundred_thousand_buckets(spark):
+    """No literal per bucket: the plan is small, and every batch has its own place."""
+    df = spark.range(300_000).select(F.col("id").alias("row_key"), (F.col("id") % 100_000).cast("int").alias("length"))
+    got = BK.bucket_batches(df, "length", 2, 1, seed=3)
+    assert len(got._jdf.queryExecution().optimizedPlan().toString()) < 20_000
+    told = got.groupBy("batch_index").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("bucket_id").alias("b"), F.min("chunk").alias("c"), F.min("bucket_id").alias("first"))
+    sums = told.agg(F.count(F.lit(1)).alias("batches"), F.max("batch_index").alias("last"), F.max("b").alias("b"), F.count_if(F.col("n") == F.lit(2) - F.col("c")).alias("full"),
+                    F.count_if(F.col("batch_index") == F.col("c") * 100_000 + F.col("first")).alias("placed")).first()
+    assert tuple(sums) == (200_000, 199_999, 1, 200_000, 200_000)
+    assert BK.bucket_batches(df, "length", 2, 1, drop_last=True).count() == 200_000
+
+
 def test_kth_in_order_with_repeated_keys(spark):
     rows = [(k, hashlib.md5(str(k).encode()).hexdigest()) for k in range(500)] + [(7, "0" * 32)] * 5
     df = spark.createDataFrame(rows, "row_key long, skey string")

@@ -48,6 +48,138 @@ def test_learn_equals_library(spark, texts, vs, mf):
     assert [[m.tokens[a], m.tokens[b]] for a, b, _ in m.merges] == lib_merges
 
 
+ODD_WORDS = ["aaaaaaa", "aaa", "abababab", "abcabcabc", "bbbbab", "the", "then", "there", "thethe", "zz", "zzzz", "mère", "漢字漢", "a", "=====", "!!", "x" * 60]
+
+
+@pytest.mark.parametrize("segments,first,margin", [(100_000, 64, 3), (40, 4, 3), (5, 1, 1), (300, 16, 1)])
+def test_rounds_of_any_size_learn_the_same(spark, monkeypatch, segments, first, margin):
+    """Runs of one symbol, tokens that come about twice, ties; neighbourhoods that end early, rounds of a single pair."""
+    import random
+
+    rng = random.Random(segments)
+    monkeypatch.setattr(V, "FIRST_PAIRS", first)
+    monkeypatch.setattr(V, "MARGIN", margin)
+    words = ODD_WORDS[: 17 if segments > 100 else 9] + ["".join(rng.choice("abcd") for _ in range(rng.randint(1, 12))) for _ in range(150)]
+    lines = [" ".join(rng.choice(words) for _ in range(rng.randint(1, 12))) for _ in range(120)]
+    most = {40: 120, 5: 50}.get(segments, 2000)
+    m = V.learn_bpe(spark.createDataFrame([(t,) for t in lines], "text string").repartition(5), VocabConfig(most, 2), max_segments=segments)
+    tok, lib_merges = _library(lines, most, 2)
+    assert {t: i for i, t in enumerate(m.tokens)} == tok.get_vocab()
+    assert [[m.tokens[a], m.tokens[b]] for a, b, _ in m.merges] == lib_merges
+    assert len(m.merges) > len(m.tokens) - 5 - len({c for t in lines for c in t}) or most < 200  # some token was made twice
+
+
+def test_apply_merges_in_their_order():
+    """A merge sees only what is there at its turn: pairs that come about later wait for a later merge of theirs."""
+    rank = {(1, 2): [0], (3, 4): [1, 3], (5, 4): [2]}
+    new = [9, 1, 3, 8]
+    assert V.apply_merges([3, 4, 2], rank, new) == [1, 2]  # (1, 2) was merged before 1 came about
+    assert V.apply_merges([5, 4, 4], rank, new) == [8]  # 5 4 -> 3, then the second merge of (3, 4)
+    assert V.apply_merges([1, 2, 1, 2, 1], rank, new) == [9, 9, 1]
+
+
+def test_learning_goes_on_after_a_lost_driver(spark, texts, tmp_path, monkeypatch):
+    cfg = VocabConfig(600, 2)
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    monkeypatch.setattr(V, "FIRST_PAIRS", 4)
+    monkeypatch.setattr(V, "MOST_PAIRS", 8)
+    whole = V.learn_bpe(df, cfg)
+    path = str(tmp_path / "state")
+    seen = []
+
+    def lost(rounds, merges, tokens, told):
+        seen.append(merges)
+        if rounds == 2:
+            raise KeyboardInterrupt
+
+    for _ in range(2):
+        with pytest.raises(KeyboardInterrupt):
+            V.learn_bpe(df, cfg, state_path=path, log=lost)
+    assert seen == sorted(seen) and len(set(seen)) == 4  # no round is repeated
+    # a round that was written and not committed is written anew
+    import shutil
+
+    state = V._resume(spark, path, cfg)
+    shutil.copytree(state.table("pairs"), f"{path}/pairs-{state.version + 1:06d}")
+    refused = spark.createDataFrame([("not read again",)], "text string")
+    done = V.learn_bpe(refused, cfg, state_path=path)
+    assert (done.tokens, done.merges) == (whole.tokens, whole.merges)
+    again = V.learn_bpe(refused, cfg, state_path=path)
+    assert (again.tokens, again.merges) == (whole.tokens, whole.merges)
+    with pytest.raises(ValueError, match="other settings"):
+        V.learn_bpe(df, VocabConfig(601, 2), state_path=path)
+
+
+def test_late_rounds_touch_few_words(spark, texts, tmp_path, monkeypatch):
+    """Words of one symbol leave the table, and only changed words change pair counts."""
+    sizes = []
+    path = str(tmp_path / "state")
+
+    def log(rounds, merges, tokens, told):
+        state = V._resume(spark, path, VocabConfig(2000, 2))
+        if not state.done:
+            step = spark.read.schema(V.STEP_SCHEMA).parquet(state.table("step"))
+            sizes.append(step.where("kind = 0").count())
+
+    monkeypatch.setattr(V, "FIRST_PAIRS", 8)
+    monkeypatch.setattr(V, "MOST_PAIRS", 32)
+    V.learn_bpe(spark.createDataFrame([(t,) for t in texts], "text string"), VocabConfig(2000, 2), state_path=path, log=log)
+    assert len(sizes) > 2 and sizes == sorted(sizes, reverse=True) and sizes[-1] < sizes[0] // 2
+
+
+def test_pair_counts(spark):
+    df = spark.createDataFrame([("aaa", 2), ("a漢🎉", 3), ("z", 9), ("é漢", 1)], "word string, freq long")
+    assert {tuple(r) for r in V.pair_counts(df).collect()} == {("a", "a", 4), ("a", "漢", 3), ("漢", "🎉", 3), ("é", "漢", 1)}
+
+
+def test_vocab_job_restarts(spark, rows64, tmp_path, monkeypatch):
+    """Killed after two rounds and again while saving, the job ends with the model of an undisturbed run."""
+    from corpusprep.config import RawConfig
+    from corpusprep.plans import jobs as JB
+    from corpusprep.plans.catalog import Catalog
+
+    monkeypatch.setattr(V, "FIRST_PAIRS", 4)
+    monkeypatch.setattr(V, "MOST_PAIRS", 16)
+    cat = Catalog(spark, str(tmp_path / "catalog"))
+    source = spark.createDataFrame([(i, r["en"], r["fr"]) for i, r in enumerate(rows64)], "row_key long, src string, tgt string")
+    ds = JB.filter_job(cat, JB.extract_job(source, RawConfig(split="train", n=64), cat).id, n=64).id
+    cfg = VocabConfig(150, 2)
+    whole = JB.vocab_job(cat, ds, str(tmp_path / "whole"), cfg)
+    assert not (tmp_path / "whole.learning").exists()
+
+    def lost(rounds, *_):
+        if rounds == 2:
+            raise KeyboardInterrupt
+
+    out = str(tmp_path / "vocab")
+    with pytest.raises(KeyboardInterrupt):
+        JB.vocab_job(cat, ds, out, cfg, log=lost)
+    assert not V.BpeModel.saved(spark, out) and (tmp_path / "vocab.learning").exists()
+    whole.vocab_df(spark).limit(3).write.parquet(f"{out}/vocab")  # a save that was cut short
+    done = JB.vocab_job(cat, ds, out, cfg)
+    assert (done.tokens, done.merges) == (whole.tokens, whole.merges)
+    read = JB.vocab_job(cat, ds, out, cfg)
+    assert (read.tokens, read.merges) == (whole.tokens, whole.merges) and not (tmp_path / "vocab.learning").exists()
+
+
+def test_one_writer_wins(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    from corpusprep.session import create_once
+
+    def write(i):
+        try:
+            create_once(spark, str(tmp_path / "claim"), f"writer {i}")
+            return i
+        except FileExistsError:
+            return None
+
+    with ThreadPoolExecutor(8) as pool:
+        won = [i for i in pool.map(write, range(24)) if i is not None]
+    assert len(won) == 1 and (tmp_path / "claim").read_text() == f"writer {won[0]}"
+    assert [p.name for p in tmp_path.iterdir() if not p.name.endswith(".crc")] == ["claim"]
+
+
 def test_one_character_special_tokens(spark, texts):
     """They keep their place among the special tokens, and still take part in merges."""
     special = ("<UNK>", "e", "<EOS>", "t")
