@@ -5,10 +5,11 @@ averages are Python's ``round(sum / n, 3)`` reproduced exactly from the integer
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusprep.functions import text as T
+from corpusprep.session import delete_path, path_exists
 
 PROFILE_COLUMNS = [
     "n", "min_seq_len", "max_seq_len", "avg_seq_len",
@@ -60,20 +61,51 @@ def length_profile(series: DataFrame) -> DataFrame:
 
 
 class SeriesStore:
-    """Named series kept as one long table ``key, payload`` (add / get / remove / info)."""
+    """Named series of rows, stored as a table partitioned by series (add / get / remove / info).
 
-    def __init__(self, frame: DataFrame | None = None):
-        self.frame = frame
+    A series is one partition: ``add`` overwrites only it, ``get`` and ``remove`` touch only it, and ``info`` counts
+    rows without reading a payload.
+    """
 
-    def add(self, key: str, rows: DataFrame) -> "SeriesStore":
-        payload = rows.select(F.lit(key).alias("key"), F.to_json(F.struct(*rows.columns)).alias("payload"))
-        return SeriesStore(payload if self.frame is None else self.frame.unionByName(payload))
+    SCHEMA = "payload string, key string"
 
-    def get(self, key: str) -> DataFrame | None:
-        return None if self.frame is None else self.frame.where(F.col("key") == key)
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
 
-    def remove(self, key: str) -> "SeriesStore":
-        return SeriesStore(None if self.frame is None else self.frame.where(F.col("key") != key))
+    def _folder(self, key: str) -> str:
+        names = self.spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+        return f"{self.path}/{names.getPartitionPathString('key', key)}"
 
-    def info(self) -> DataFrame | None:
-        return None if self.frame is None else self.frame.groupBy("key").agg(F.count(F.lit(1)).alias("rows"))
+    def _check(self, key: str) -> None:
+        if not isinstance(key, str) or not key:
+            raise ValueError("a series needs a name")
+
+    def add(self, key: str, rows: DataFrame) -> "SeriesStore":
+        """Store ``rows`` as the series ``key``, in place of an earlier one. Rows must not be read from that series."""
+        self._check(key)
+        payload = rows.select(F.to_json(F.struct(*rows.columns)).alias("payload"), F.lit(key).alias("key"))
+        payload.write.partitionBy("key").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(self.path)
+        return self
+
+    def frame(self) -> DataFrame:
+        """All series: ``payload, key``."""
+        if not path_exists(self.spark, self.path):
+            return self.spark.createDataFrame([], self.SCHEMA)
+        return self.spark.read.schema(self.SCHEMA).parquet(self.path)
+
+    def get(self, key: str, schema: str | None = None) -> DataFrame | None:
+        """The rows of a series, as JSON (``key, payload``) or parsed with ``schema``; None if there is none."""
+        self._check(key)
+        if not path_exists(self.spark, self._folder(key)):
+            return None
+        rows = self.frame().where(F.col("key") == key)
+        return rows.select("key", "payload") if schema is None else rows.select(F.from_json("payload", schema).alias("_r")).select("_r.*")
+
+    def remove(self, key: str) -> bool:
+        """Whether there was such a series."""
+        self._check(key)
+        return delete_path(self.spark, self._folder(key))
+
+    def info(self) -> DataFrame:
+        """``key, rows``; from the file footers alone."""
+        return self.frame().groupBy("key").agg(F.count(F.lit(1)).alias("rows"))

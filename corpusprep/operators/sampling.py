@@ -128,8 +128,17 @@ def sample_n(df: DataFrame, n: int | None, seed: int = 42, key: str = "row_key",
     ``shuffle=False`` keeps source order, taken as ascending ``key``. The result keeps ``skey``
     so later stages can re-establish the order without re-hashing. Keys may repeat.
     """
+    from pyspark import StorageLevel
+
     keyed = add_shuffle_key(df, seed, key) if shuffle else df.withColumn("skey", F.lit(""))
-    return keyed if n is None else first_in_order(keyed, kth_in_order(keyed, n, "skey", key), "skey", key)
+    if n is None:
+        return keyed
+    narrow = keyed.select("skey", key).persist(StorageLevel.MEMORY_AND_DISK)  # all counting steps read this, not the texts
+    try:
+        cut = kth_in_order(narrow, n, "skey", key)
+    finally:
+        narrow.unpersist()
+    return first_in_order(keyed, cut, "skey", key)
 
 
 def shuffle_positions(df: DataFrame, seed: int = 42, key: str = "row_key") -> DataFrame:

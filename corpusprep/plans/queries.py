@@ -588,28 +588,38 @@ def _stream_input(spark, sf_dir, files: int = 4) -> str:
     return path
 
 
-@register("stream_ingest", ORACLE["reject_reason"])
-def q_stream_ingest(spark, sf_dir):
-    """Documents arriving as files, one file per trigger; classified rows sink."""
+def _ingested(spark, sf_dir):
+    """The documents as arriving files, one file per trigger, ingested."""
     from corpusprep.streaming.ingest import stream_ingest
 
-    src = _stream_input(spark, sf_dir)
-    out, ck = shared_path(spark, "stream_out"), shared_path(spark, "stream_ck")
-    ing = stream_ingest(spark, src, out, ck, FilterConfig(), max_files_per_trigger=1, totals_name=None)
+    ing = stream_ingest(spark, _stream_input(spark, sf_dir), shared_path(spark, "stream_out"), shared_path(spark, "stream_ck"), FilterConfig(), max_files_per_trigger=1)
     ing.await_done()
-    return spark.read.parquet(ing.rows_path).select("row_key", "src_len", "tgt_len", "reason")
+    return ing
+
+
+@register("stream_ingest", ORACLE["reject_reason"])
+def q_stream_ingest(spark, sf_dir):
+    """Classified rows of the committed batches."""
+    return _ingested(spark, sf_dir).rows().select("row_key", "src_len", "tgt_len", "reason")
 
 
 @register("stream_totals", ORACLE["reason_counts"])
 def q_stream_totals(spark, sf_dir):
-    """Running funnel totals (complete mode) after the stream has drained."""
-    from corpusprep.streaming.ingest import stream_ingest
+    """Running funnel totals after the stream has drained, from the batch log."""
+    return _ingested(spark, sf_dir).latest_totals().select("seen", "ok", *Q.REASONS)
 
-    src = _stream_input(spark, sf_dir)
-    out, ck = shared_path(spark, "stream_out"), shared_path(spark, "stream_ck")
-    ing = stream_ingest(spark, src, out, ck, FilterConfig(), max_files_per_trigger=1, totals_name=None)
-    ing.await_done()
-    return ing.latest_totals().select("seen", "ok", *Q.REASONS)
+
+@register("buffered_shuffle", _PAIRS_SQL)
+def q_buffered_shuffle(spark, sf_dir):
+    """B1 on a stream: documents through a bounded-buffer shuffle; what left it and what it still held."""
+    from corpusprep.streaming.ingest import drain_shuffle, shuffle_stream, stream_pairs
+
+    out, ck = shared_path(spark, "shuffled"), shared_path(spark, "shuffled_ck")
+    stream = stream_pairs(spark, _stream_input(spark, sf_dir), max_files_per_trigger=1)
+    q = (shuffle_stream(stream, RawConfig().buffer_size, SEED).writeStream.format("parquet").option("path", out)
+         .option("checkpointLocation", ck).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.schema(stream.schema).parquet(out).unionByName(drain_shuffle(spark, ck, stream.schema))
 
 
 @register("stream_take", f"WITH {O.PAIRS} SELECT least(count(*), {SAMPLE_N}) AS n, least(count(*), {SAMPLE_N}) AS n_of_the_table FROM pairs")
@@ -657,13 +667,23 @@ def q_series_summary(spark, sf_dir):
     from corpusprep.operators.profile import SeriesStore
 
     p = documents_pairs(spark, sf_dir)
-    store = SeriesStore().add("seq_len_data", length_series(p)).add(
-        "reject_reasons", _classified(spark, sf_dir).select("row_key", "reason")
-    )
-    store = store.add("scratch", p.select("row_key")).remove("scratch")
+    store = SeriesStore(spark, shared_path(spark, "series"))
+    store.add("seq_len_data", length_series(p)).add("reject_reasons", p.select("row_key")).add("scratch", p.select("row_key"))
+    store.add("reject_reasons", _classified(spark, sf_dir).select("row_key", "reason"))  # in place of the first
+    store.remove("scratch")
     return store.info()
 
 
+@register("series_get", f"WITH {O.PAIRS}, {O.classified('pairs', 'c')} SELECT row_key, reason FROM c")
+def q_series_get(spark, sf_dir):
+    """One stored series read back."""
+    from corpusprep.operators.profile import SeriesStore
+
+    store = SeriesStore(spark, shared_path(spark, "series"))
+    store.add("reject_reasons", _classified(spark, sf_dir).select("row_key", "reason")).add("keys", documents_pairs(spark, sf_dir).select("row_key"))
+    return store.get("reject_reasons", "row_key string, reason string")
+
+
 # ---- I / J: catalog and jobs ------------------------------------------------------------------------------
 
 from corpusprep.config import RawConfig, VocabConfig  # noqa: E402
@@ -891,19 +911,22 @@ def q_encode(spark, sf_dir):
     m = _model(spark, sf_dir)
     c = _clean(spark, sf_dir).select("row_key", "src", "tgt")
     ids = encode(encode(c, m, "src", "src_ids"), m, "tgt", "tgt_ids")
-    spelled = decode(decode(ids, m, "src_ids", "src_spelled"), m, "tgt_ids", "tgt_spelled")
+    spelled = decode(ids, m, ["src_ids", "tgt_ids"], ["src_spelled", "tgt_spelled"])
     return spelled.select("row_key", *(F.replace(c, F.lit(" "), F.lit("")).alias(c) for c in ("src_spelled", "tgt_spelled")))
 
 
-@register("decode", f"{_CLEAN_SQL} SELECT row_key, array_to_string({O.pretokens('src')}, '') AS spelled, TRUE AS in_vocabulary FROM clean")
+@register("decode", f"{_CLEAN_SQL} SELECT row_key, array_to_string({O.pretokens('src')}, '') AS src_spelled, array_to_string({O.pretokens('tgt')}, '') AS tgt_spelled, TRUE AS in_vocabulary FROM clean")
 def q_decode(spark, sf_dir):
-    """Ids back to space-joined tokens: what they spell, and whether there are as many tokens as ids."""
+    """Ids of both sides back to space-joined tokens: what they spell, and whether there are as many tokens as ids."""
     from corpusprep.operators.vocab import decode, encode
 
     m = _model(spark, sf_dir)
-    c = encode(_clean(spark, sf_dir).select("row_key", "src"), m, "src", "ids")
-    n = F.size(F.filter(F.split("decoded", " "), lambda x: x != ""))
-    return decode(c, m, "ids").select("row_key", F.replace("decoded", F.lit(" "), F.lit("")).alias("spelled"), (n == F.size("ids")).alias("in_vocabulary"))
+    c = encode(encode(_clean(spark, sf_dir).select("row_key", "src", "tgt"), m, "src", "src_ids"), m, "tgt", "tgt_ids")
+    d = decode(c, m, ["src_ids", "tgt_ids"], ["src_text", "tgt_text"])
+    n = lambda c: F.size(F.filter(F.split(c, " "), lambda x: x != ""))
+    spelled = lambda c: F.replace(c, F.lit(" "), F.lit(""))
+    return d.select("row_key", spelled("src_text").alias("src_spelled"), spelled("tgt_text").alias("tgt_spelled"),
+                    ((n("src_text") == F.size("src_ids")) & (n("tgt_text") == F.size("tgt_ids"))).alias("in_vocabulary"))
 
 
 _BATCH_SQL = (

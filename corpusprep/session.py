@@ -137,6 +137,15 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
     return [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]
 
 
+def list_files(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files in a folder, without hidden ones and unfinished parts."""
+    fs, p = fs_for(spark, path)
+    if not fs.exists(p):
+        return []
+    names = [st.getPath().getName() for st in fs.listStatus(p) if not st.isDirectory()]
+    return [n for n in names if not n.startswith((".", "_")) and not n.endswith(".part")]
+
+
 _SHIPPED: set = set()
 
 

@@ -167,3 +167,66 @@ def test_export_ascii_roundtrip(spark, tmp_path):
     assert spark.read.schema("s string").json(str(tmp_path / "x")).first().s == "é 😀 \"q\" \\"
     with pytest.raises(Exception):
         J.write_jsonl_exclusive(df, str(tmp_path / "x"))
+
+
+def test_concurrent_adds_one_wins(spark, source, catalog):
+    """Six writers of one id: one dataset, five refusals, nothing left behind."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    from corpusprep.plans.catalog import Catalog
+
+    raw = JB.extract_job(source, RawConfig(split="test", n=64), catalog)
+    ds = catalog.get(raw.id)
+    other = Catalog(spark, shared_path(spark, "claimed"))
+
+    def add(_):
+        try:
+            other.add(ds)
+            return "added"
+        except FileExistsError:
+            return "refused"
+
+    with ThreadPoolExecutor(6) as pool:
+        assert sorted(pool.map(add, range(6))) == ["added"] + ["refused"] * 5
+    assert other.get(raw.id).count() == 64 and other.audit().collect() == []
+    assert other.remove(raw.id) and not other.remove(raw.id)
+    other.add(ds)
+    assert other.exists(raw.id)
+
+
+def test_claims_of_lost_writers(spark, source, catalog):
+    """A writer that died behind its claim blocks the id until it is removed, and the audit names it."""
+    from corpusprep.plans.catalog import Catalog
+    from corpusprep.session import create_once
+
+    raw = JB.extract_job(source, RawConfig(split="test", n=64), catalog)
+    other = Catalog(spark, shared_path(spark, "claims"))
+    create_once(spark, other.claim_path(raw.id), raw.id)
+    with pytest.raises(FileExistsError):
+        other.add(catalog.get(raw.id))
+    assert [tuple(r) for r in other.audit().collect()] == [(raw.id, "claim_without_rows")] and not other.exists(raw.id)
+    assert other.remove(raw.id)
+    other.add(catalog.get(raw.id))
+    assert other.audit().collect() == []
+
+
+def test_stored_series(spark, tmp_path):
+    from corpusprep.operators.profile import SeriesStore
+
+    store = SeriesStore(spark, str(tmp_path / "series"))
+    assert store.info().collect() == [] and store.get("a") is None and not store.remove("a")
+    rows = spark.createDataFrame([(1, "x"), (2, None)], "id long, t string")
+    store.add("a", rows).add("b / c=1 é", rows.where("id = 1"))
+    files = lambda key: sorted(p.name for p in (tmp_path / "series").glob(f"key={key}*/*.parquet"))
+    before = files("a")
+    store.add("b / c=1 é", rows.union(rows))
+    assert files("a") == before  # only its own partition is written
+    assert {tuple(r) for r in store.info().collect()} == {("a", 2), ("b / c=1 é", 4)}
+    got = store.get("a", "id long, t string")
+    assert sorted(map(tuple, got.collect())) == [(1, "x"), (2, None)]
+    assert "PartitionFilters: [isnotnull(key" in got._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<>" in store.info()._jdf.queryExecution().executedPlan().toString()
+    assert store.remove("b / c=1 é") and not store.remove("b / c=1 é") and store.get("b / c=1 é") is None
+    assert [tuple(r) for r in SeriesStore(spark, str(tmp_path / "series")).info().collect()] == [("a", 2)]
+    with pytest.raises(ValueError):
+        store.add("", rows)

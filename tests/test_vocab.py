@@ -200,6 +200,25 @@ def test_vocab600_and_encode(spark, texts, model600):
         assert got[i] == tok.encode(s).ids, s
 
 
+def test_ids_of_a_table_equal_the_library(spark):
+    """Every text of the given pairs, with the vocabulary learnt from them to its end: ids by value."""
+    from corpusprep.plans.queries import _clean
+    from samples import SF001
+    from tokenizers import Tokenizer
+    from tokenizers.models import BPE
+    from tokenizers.pre_tokenizers import Whitespace
+
+    pairs = _clean(spark, SF001).select("row_key", "src", "tgt")
+    texts = V.corpus_texts(pairs, key="row_key")
+    m = V.learn_bpe(texts, VocabConfig())
+    merges = [(m.tokens[a], m.tokens[b]) for a, b, _ in m.merges]
+    lib = Tokenizer(BPE(vocab=m.token_to_id, merges=merges, unk_token="<UNK>"))
+    lib.pre_tokenizer = Whitespace()
+    got = V.encode(texts, m, "text").collect()
+    assert len(got) > 300 and sum(len(r["ids"]) for r in got) > 3000
+    assert all(r["ids"] == lib.encode(r["text"]).ids for r in got)
+
+
 def test_models_of_equal_size_do_not_mix(spark):
     """Workers outlive models: what one has cached must not be used by another."""
     df = spark.createDataFrame([("ab ba",)], "text string")
@@ -218,6 +237,16 @@ def test_decode_drops_specials_and_keeps_rows(spark, model600):
     assert got == [(1, "lamaison"), (1, "lamaison"), (2, ""), (3, "")]
 
 
+def test_decode_any_ids(spark, model600):
+    """Unknown and null ids are left out; rows, empty and null arrays stay; several columns at once."""
+    special = set(model600.special_tokens)
+    rows = [(0, [5, 6, 7, 0, 1, 2], [599, 600, -1, 5]), (1, [], None), (2, None, [None, 8]), (3, [4] * 5, list(range(600)))]
+    df = spark.createDataFrame(rows, "k int, a array<int>, b array<int>").repartition(2)
+    told = lambda ids: " ".join(model600.tokens[i] for i in ids or [] if i is not None and 0 <= i < len(model600.tokens) and model600.tokens[i] not in special)
+    got = {r.k: (r.x, r.y) for r in V.decode(df, model600, ["a", "b"], ["x", "y"]).collect()}
+    assert got == {k: (told(a), told(b)) for k, a, b in rows}
+
+
 def test_save_load_roundtrip(spark, model600, tmp_path):
     path = str(tmp_path / "vocab")
     model600.save(spark, path)
