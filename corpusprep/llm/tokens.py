@@ -60,18 +60,39 @@ def _by_runs(fast, text: str) -> list[int]:
     return ids + fast.encode_ordinary(text[at:])
 
 
+def _added(model: dict) -> dict[str, int] | None:
+    """Content -> id of the added tokens, which the library cuts out of a text first; None if some have rules of their own."""
+    tokens = model.get("added_tokens", [])
+    if any(t.get(rule) for t in tokens for rule in ("lstrip", "rstrip", "single_word")):
+        return None
+    return {t["content"]: t["id"] for t in tokens if t["content"]}
+
+
 @lru_cache(maxsize=2)
 def encoder(path: str) -> Callable[[str], np.ndarray]:
-    """text -> uint32 ids, without special tokens; the strings of special tokens are ordinary text."""
+    """text -> uint32 ids, as the library gives them without adding special tokens. The string of an added token is that
+    token wherever it stands (leftmost, then longest); what lies between is encoded piece by piece."""
     with open(path, encoding="utf-8") as f:
-        ranks = _ranks(json.load(f))
-    if ranks is not None:
+        model = json.load(f)
+    ranks, added = _ranks(model), _added(model)
+    if ranks is not None and added is not None:
         import tiktoken
 
         fast = tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-        return lambda text: np.asarray(_by_runs(fast, text), np.uint32)
+        if not added:
+            return lambda text: np.asarray(_by_runs(fast, text), np.uint32)
+        cut = re.compile("|".join(re.escape(t) for t in sorted(added, key=len, reverse=True)))
+
+        def encode(text: str) -> np.ndarray:
+            ids, at = [], 0
+            for m in cut.finditer(text):
+                ids += _by_runs(fast, text[at: m.start()])
+                ids.append(added[m.group()])
+                at = m.end()
+            return np.asarray(ids + _by_runs(fast, text[at:]), np.uint32)
+
+        return encode
     from tokenizers import Tokenizer
 
     slow = Tokenizer.from_file(path)
-    slow.encode_special_tokens = True
     return lambda text: np.asarray(slow.encode(text, add_special_tokens=False).ids, np.uint32)

@@ -40,7 +40,6 @@ def test_pieces_equal_library(spark, odd, none):
 
     rows, df = odd
     lib = Tokenizer.from_file(tokenizer_path())
-    lib.encode_special_tokens = True
     for t in ["", "don't 's ''s I'LL", "<|endoftext|> x", " \n\t 　x\r\n ", *(t for _, t in rows if t)]:
         assert encoder(tokenizer_path())(t).tolist() == lib.encode(t, add_special_tokens=False).ids
     found = pieces(df, tokenizer_path(), with_ids=True).cache()
@@ -67,13 +66,41 @@ def test_pieces_equal_library(spark, odd, none):
     assert pieces(none, tokenizer_path()).collect() == []
 
 
+def test_added_tokens_equal_library(tmp_path):
+    """Strings of added tokens: at both ends, doubled, beside spaces, cut short, one inside another."""
+    import json
+
+    from tokenizers import Tokenizer
+
+    with open(tokenizer_path(), encoding="utf-8") as f:
+        model = json.load(f)
+    base = max(t["id"] for t in model["added_tokens"])
+    flags = {"single_word": False, "lstrip": False, "rstrip": False, "normalized": False, "special": True}
+    model["added_tokens"] += [{"id": base + 1 + i, "content": c, **flags} for i, c in enumerate(("<|a|>", "<|a|>b", "<|é🎉|>"))]
+    more = tmp_path / "more.json"
+    more.write_text(json.dumps(model), encoding="utf-8")
+    lstrip = tmp_path / "lstrip.json"
+    model["added_tokens"][-1]["lstrip"] = True
+    lstrip.write_text(json.dumps(model), encoding="utf-8")
+    for path in (tokenizer_path(), str(more), str(lstrip)):
+        lib, encode = Tokenizer.from_file(path), encoder(path)
+        contents = [t["content"] for t in json.load(open(path, encoding="utf-8"))["added_tokens"]]
+        assert contents
+        for t in contents:
+            for text in (t, t + t, f"hello {t} world", f"{t}x", f"x{t}", f" {t} ", f"  {t}\n\n{t}  ", t[:-1], t[1:], t[:-1] + t, f"a{t}{t[0]}", f"don{t}'t", f"{' ' * 120_000}{t}{' ' * 120_000}"):
+                assert encode(text).tolist() == lib.encode(text, add_special_tokens=False).ids, (path, text[:40])
+        rng = random.Random(len(contents))
+        for _ in range(300):
+            text = "".join(rng.choice([*contents, "<|", "|>", " ", "a", "b", "\n", "é", "'s"]) for _ in range(rng.randint(1, 12)))
+            assert encode(text).tolist() == lib.encode(text, add_special_tokens=False).ids, (path, text)
+
+
 def test_long_white_space_runs():
     from tokenizers import Tokenizer
 
     from corpusprep.llm.tokens import LONG, LONG_SPACE
 
     lib = Tokenizer.from_file(tokenizer_path())
-    lib.encode_special_tokens = True
     encode = encoder(tokenizer_path())
     blank = " " * 2_000_000
     for t in (blank, blank + "after", "before" + blank, f"in{blank}side", f"in {blank}\n'side"):
