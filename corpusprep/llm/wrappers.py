@@ -10,12 +10,17 @@ those belong to the template.
 A page's main text is what its articles hold (else its main or content elements, else its body), in page order
 and with the last ``h1`` before them if they have none, without
 elements that are menus, headers, footers, sidebars, notices, adverts, forms, reader comments and the
-like by name, role or class. Of a page without such a holder, template slots of the wrapper go too; an article
-is kept whole, as its headings and paragraphs may be the same on many pages.
+like by name, role or class. A class counts by its last word without where it stands (``sidebar-left``, but not
+``with-sidebar`` or ``share-prices``), and not at all on an element that holds the page's only articles. Of nested
+holders the outer one is taken if most of the text that is not the template's lies outside the inner ones.
+Of a page without a holder, template slots of the wrapper go too, and lists that are the same on
+every page; an article is kept whole, as its headings and paragraphs may be the same on many pages. On the
+generated tables every page has an article, and the wrapper changes no page there.
 
 Wrappers are merged in the task that reads the pages, and again over tasks, one row per host and task;
 merging is commutative up to the order of options, and a wrapper's size follows the variety of the markup,
-not the number of pages. Pages meet their host's wrapper in an equi-join that adaptive execution can split.
+not the number of pages. The wrappers are written to the shared folder, so the join knows their size: small tables
+are broadcast and pages stay where they are read, larger ones meet in an equi-join that adaptive execution can split.
 
 Defined cases: null or empty markup gives the empty text; a null address belongs to the host ``''``; a host
 with fewer than ``TEMPLATE_PAGES`` different pages has no template slots; repeated pages give a row each.
@@ -44,7 +49,8 @@ TOKEN = re.compile(
     r"|<(?P<raw>script|style|template|noscript|textarea|svg|iframe|title|select|object|math)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<close>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>[^>\"']*+(?:(?:\"[^\"]*+\"|'[^']*+')[^>\"']*+)*+)/?>"
     r"|<[!?/a-zA-Z][^>]*(?:>|\Z)", re.S | re.I)
-ATTRIBUTE = re.compile(r"(class|id|role|hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+#: One attribute after the other, so that nothing inside a name or a quoted value is taken for one.
+ATTRIBUTE = re.compile(r"([^\s=\"'>/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 #: Elements inside a line; all others break it (fixed values of HTML).
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img input ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 EMPTY = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -56,6 +62,12 @@ HINTS = frozenset(
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus gdpr menu modal nav navbar "
     "navigation newsletter notice notices pager pagination popup promo related replies reply respond share sharing sidebar sidebars social sponsor sponsored subscribe "
     "teaser teasers toolbar widget widgets footer".split())
+#: Words behind a hint that say where or how it stands (a sidebar-left is a sidebar, a share-price is no share).
+PLACES = frozenset(
+    "left right top bottom main primary secondary outer inner wrapper wrap container box area block section list bar item items link links button buttons form "
+    "post posts article articles story stories head title unit slot holder group row column col".split())
+#: Words that say what an element has, or lacks, beside its own text.
+HAVING = frozenset("with without has no hide hidden is".split())
 OUTSIDE_ARTICLE = frozenset("header masthead".split())
 BODY_HINTS = frozenset("article content post story entry".split())
 WORDS_OF_CLASS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
@@ -67,15 +79,24 @@ class Page:
     ``tree``: the page's expression."""
 
     def __init__(self, markup: str):
+        self._void: frozenset[int] = frozenset()  # elements whose class does not count
+        self._start()
+        self._read(markup)
+        if self._hinted and not any(h[0] >= 3 and not a for h, a in zip(self.holder, self.around, strict=True)):
+            self._void = frozenset(self._hinted)  # all articles stand in elements that their class calls a sidebar or the like
+            self._start()
+            self._read(markup)
+
+    def _start(self) -> None:
+        self._hinted: set[int] = set()  # elements, by where they begin, that only their class puts around the main text and that hold an article
         self.texts: list[str] = []
         self.around: list[bool] = []
         self.holder: list[tuple[int, int]] = []
         self.title: list[bool] = []
         self.tree: list[dict] = []
-        self._read(markup)
 
     def _read(self, markup: str) -> None:
-        stack: list[tuple[str, bool, tuple[int, int], list]] = [("", False, (0, 0), self.tree)]
+        stack: list[tuple[str, bool, tuple[int, int], list, int]] = [("", False, (0, 0), self.tree, -1)]
         parts: list[str] = []
         numbers = at = 0
 
@@ -83,7 +104,7 @@ class Page:
             text = SPACE.sub(" ", entities.unescape("".join(parts))).strip()
             parts.clear()
             if text:
-                name, around, holder, children = stack[-1]
+                name, around, holder, children, _ = stack[-1]
                 children.append({"t": "#", "v": zlib.crc32(text.encode("utf-8", "surrogatepass")), "i": [len(self.texts)]})
                 self.texts.append(text)
                 self.around.append(around)
@@ -99,7 +120,7 @@ class Page:
                 if m["raw"]:
                     parts.append(" ")
                 continue
-            attrs = {a[0].lower(): a[1] or a[2] or a[3] for a in ATTRIBUTE.findall(m["attrs"] or "")} if not m["close"] else {}
+            attrs = self._attributes(m["attrs"]) if not m["close"] else {}
             if name in INLINE and not (attrs.keys() & {"class", "id", "role"} and self._hint(name, attrs, False)):
                 if name == "br":
                     parts.append(" ")
@@ -116,8 +137,14 @@ class Page:
                 stack.pop()
             if name in EMPTY:
                 continue
-            _, around, holder, children = stack[-1]
-            around = around or "hidden" in attrs or self._hint(name, attrs, holder[0] >= 3)
+            _, around, holder, children, _ = stack[-1]
+            hint = self._hint(name, attrs, holder[0] >= 3)
+            by_class = hint and not self._hint(name, {k: v for k, v in attrs.items() if k == "role"}, holder[0] >= 3)
+            if hint and m.start() in self._void:
+                hint = False
+            if name in ("article", "main") and not hint and "hidden" not in attrs and not self._void:
+                self._hinted.update(s[4] for s in stack if s[4] >= 0)
+            around = around or "hidden" in attrs or hint
             words = self._words(attrs)
             kind = (1 if name == "body" else 0 if name == "html" else 4 if name == "article" else 3 if name == "main" or attrs.get("role") == "main"
                     else 2 if words & BODY_HINTS else 0)
@@ -130,10 +157,30 @@ class Page:
                 children.append({"t": label, "c": inner})
             else:
                 inner = children
-            stack.append((name, around, holder, inner))
+            stack.append((name, around, holder, inner, m.start() if by_class and name not in ("article", "main") else -1))
         parts.append(markup[at:])
         close_block()
 
+    @staticmethod
+    def _attributes(raw: str | None) -> dict[str, str]:
+        out: dict[str, str] = {}
+        for name, *values in ATTRIBUTE.findall(raw or ""):
+            out.setdefault(name.lower(), next((v for v in values if v), ""))
+        return out
+
+    @staticmethod
+    def _named(attrs: dict) -> set[str]:
+        """What the classes and the id call the element: the last word of each name, without where it stands."""
+        out = set()
+        for token in f"{attrs.get('class', '')} {attrs.get('id', '')}".split():
+            words = [w.lower() for w in WORDS_OF_CLASS.findall(token)]
+            if words and words[0] in HAVING:
+                continue
+            while len(words) > 1 and words[-1] in PLACES:
+                words.pop()
+            out.update(words[-1:])
+        return out
+
     @staticmethod
     def _words(attrs: dict) -> set[str]:
         return {w.lower() for k in ("class", "id") for w in WORDS_OF_CLASS.findall(attrs.get(k) or "")}
@@ -142,26 +189,35 @@ class Page:
     def _hint(cls, name: str, attrs: dict, inside: bool) -> bool:
         if name in AROUND or (attrs.get("role") or "").lower() in ROLES:
             return True
-        words = cls._words(attrs)
+        named = cls._named(attrs)
         if name in ("article", "main", "body", "html"):
-            return name == "article" and bool(words & {"comment", "comments", "teaser", "related", "ad", "ads", "reply"})
-        return bool(words & HINTS) or not inside and (name in OUTSIDE_ARTICLE or bool(words & OUTSIDE_ARTICLE))
+            return name == "article" and bool(named & {"comment", "comments", "teaser", "related", "ad", "ads", "reply"})
+        return bool(named & HINTS) or not inside and (name in OUTSIDE_ARTICLE or bool(named & OUTSIDE_ARTICLE))
+
+
+def _said(*parts: int | None) -> int | None:
+    """One number for a sequence of texts; None if one of them varies."""
+    return None if None in parts else zlib.crc32(repr(parts).encode())
 
 
 def generalise(nodes: list[dict]) -> list[dict]:
-    """Repeated neighbours become one repeated group; of long mixed lists, all of a label do."""
+    """Repeated neighbours become one repeated group, which knows what its texts say (``s``) on the page; of long mixed lists,
+    all of a label do."""
     out: list[dict] = []
     for n in nodes:
-        if n["t"] != "#":
-            n = n | {"c": generalise(n["c"])}
+        if n["t"] == "#":
+            n = n | {"s": n["v"]}
+        else:
+            inner = generalise(n["c"])
+            n = n | {"c": inner, "s": _said(*(c["s"] for c in inner))}
         if out and out[-1]["t"] == n["t"]:
-            out[-1] = merge_node(out[-1], n) | {"r": 1}
+            out[-1] = merge_node(out[-1], n) | {"r": 1, "s": _said(out[-1]["s"], n["s"]), "m": 1}
         else:
             out.append(n)
     if len(out) > LONGEST:
         by: dict[str, dict] = {}
         for n in out:
-            by[n["t"]] = merge_node(by[n["t"]], n) | {"r": 1} if n["t"] in by else n
+            by[n["t"]] = merge_node(by[n["t"]], n) | {"r": 1, "s": _said(by[n["t"]]["s"], n["s"]), "m": 1} if n["t"] in by else n
         out = list(by.values())
     return out
 
@@ -199,6 +255,8 @@ def merge_node(a: dict, b: dict) -> dict:
     for flag in "ro":
         if a.get(flag) or b.get(flag):
             out[flag] = 1
+    out["s"] = a.get("s") if a.get("s") == b.get("s") else None
+    out["m"] = a.get("m", 1) + b.get("m", 1)
     return out
 
 
@@ -214,13 +272,13 @@ def _folded(nodes: list[dict]) -> list[dict]:
     out: list[dict] = []
     for n in nodes:
         if out and out[-1]["t"] == n["t"]:
-            out[-1] = merge_node(out[-1], n) | {"r": 1}
+            out[-1] = merge_node(out[-1], n) | {"r": 1, "s": None}
         else:
             out.append(n)
     if len(out) > LONGEST:
         by: dict[str, dict] = {}
         for n in out:
-            by[n["t"]] = merge_node(by[n["t"]], n) | {"r": 1} if n["t"] in by else n
+            by[n["t"]] = merge_node(by[n["t"]], n) | {"r": 1, "s": None} if n["t"] in by else n
         out = list(by.values())
     return out
 
@@ -239,18 +297,35 @@ def bare(nodes: list[dict]) -> list[dict]:
     return [({k: v for k, v in n.items() if k != "i"} | ({"c": bare(n["c"])} if "c" in n else {"n": n.get("n", 1)})) for n in nodes]
 
 
+def places(nodes: list[dict]) -> set[int]:
+    """All texts of an expression."""
+    out: set[int] = set()
+    for n in nodes:
+        out.update(n.get("i", []))
+        out |= places(n.get("c", []))
+    return out
+
+
 def template_texts(wrapper: list[dict], page: list[dict]) -> set[int]:
-    """Texts of the page that stand in a slot with the same text on every page."""
+    """Texts of the page that stand in a slot, or a repeated group, with the same text on every page. If that is all of the
+    page, it tells nothing: then none."""
+    out = _template(wrapper, page)
+    return set() if out == places(page) else out
+
+
+def _template(wrapper: list[dict], page: list[dict]) -> set[int]:
     out: set[int] = set()
     for i, j in pairs(wrapper, page):
         if i is None or j is None:
             continue
         w, p = wrapper[i], page[j]
-        if w["t"] == "#":
+        if w.get("r") and not w.get("o") and w.get("s") is not None and w["s"] == p.get("s") and w.get("m", 1) >= TEMPLATE_PAGES:
+            out |= places([p])
+        elif w["t"] == "#":
             if w.get("v") is not None and w.get("v") == p.get("v") and w.get("n", 1) >= TEMPLATE_PAGES and not w.get("r"):
                 out.update(p.get("i", []))
         else:
-            out |= template_texts(w["c"], p["c"])
+            out |= _template(w["c"], p["c"])
     return out
 
 
@@ -260,10 +335,17 @@ def host_of(url: str | None) -> str:
 
 
 def main_text(page: Page, template: set[int]) -> str:
+    """The blocks of the page's holders: of articles, unless most of the text that is not the template's stands around them in a main
+    or content element; then of these too."""
     inside = [i for i in range(len(page.texts)) if not page.around[i]]
     kind = max((page.holder[i][0] for i in inside), default=0)
     if kind >= 2:
-        body = [i for i in inside if page.holder[i][0] == kind]
+        own = [0] * 5  # words in holders of a kind or a better one, without titles and what is the template's
+        for i in inside:
+            for k in range(2, page.holder[i][0] + 1):
+                own[k] += 0 if i in template or page.title[i] else page.texts[i].count(" ") + 1
+        kind = next(k for k in range(kind, 1, -1) if 2 * own[k] >= own[2])
+        body = [i for i in inside if page.holder[i][0] >= kind]
         heads = [i for i in inside if i < body[0] and page.title[i] and i not in template]
         if not any(page.title[i] for i in body):
             body = heads[-1:] + body
@@ -352,8 +434,13 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def extract(pages: DataFrame, key: str = "page_id", url: str = "url", markup: str = "html") -> DataFrame:
     """One row per page: ``key, url, text, n_chars``."""
+    from corpusprep.session import shared_path
+
     kind = pages.schema[key].dataType.simpleString()
     host = F.coalesce(F.lower(F.regexp_extract(F.col(url), r"(?i)" + HOST.pattern, 1)), F.lit(""))
     rows = pages.select(F.col(key).alias("key"), F.col(url).alias("url"), F.col(markup).alias("markup"), host.alias("host"))
-    joined = rows.join(infer(pages, url, markup), "host", "left").select("key", "url", "markup", "wrapper", "pages")
+    folder = shared_path(pages.sparkSession, "wrappers")
+    infer(pages, url, markup).write.parquet(folder)
+    wrappers = pages.sparkSession.read.parquet(folder)
+    joined = rows.join(wrappers, "host", "left").select("key", "url", "markup", "wrapper", "pages")
     return joined.mapInArrow(_extract, f"key {kind}, url string, text string, n_chars long").toDF(key, url, "text", "n_chars")

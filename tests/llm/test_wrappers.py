@@ -108,3 +108,74 @@ def test_split_articles():
         assert main_text(Page(markup), set()) == want, name
     site = Page("<body><h1>Site</h1><article>x</article>")
     assert main_text(site, {0}) == "x"
+
+
+def test_attributes_are_read_one_by_one():
+    """Names inside quoted values or longer names are none."""
+    pages = {
+        '<article title="The hidden city"><p>x</p></article>': "x",
+        '<div aria-hidden="false"><p>x</p></div>': "x",
+        '<div data-id="ad"><p>x</p></div>': "x",
+        "<div data-x='class=ad' title=hidden><p>x</p></div>": "x",
+        '<p id="share-prices">x</p>': "x",
+        '<section class="comment-count-0"><p>x</p></section>': "x",
+        '<div id = "sidebar"><p>x</p></div><p>y</p>': "y",
+        "<div hidden><p>x</p></div><div HIDDEN=''>z</div><p>y</p>": "y",
+        '<div class="a" class="ad"><p>x</p></div>': "x",
+        "<div class=ad-top>a</div><div class='sidebar-left'>b</div><div class=related-posts>c</div><div class=siteFooter>d</div><p>y</p>": "y",
+    }
+    for markup, want in pages.items():
+        assert main_text(Page(markup), set()) == want, markup
+
+
+def test_classes_around_the_only_article():
+    pages = {
+        '<div class="with-sidebar"><article><p>x</p></article></div>': "x",
+        '<div class="sidebar layout"><main><p>x</p></main><div class="ad">buy</div></div>': "x",
+        '<div id="widget"><div class="promo"><article>x</article></div></div><nav><article>n</article></nav>': "x",
+        '<article>x</article><div class="sidebar"><article>other</article></div>': "x",
+        '<div class="comments"><article class="comment">nice</article></div><p>y</p>': "y",
+    }
+    for markup, want in pages.items():
+        assert main_text(Page(markup), set()) == want, markup
+
+
+def test_nested_holders():
+    """The outer holder if it has most of the text, by what is not the template's."""
+    long = "a long text of the page, " * 20
+    long = long.strip()
+    assert main_text(Page(f"<main><h1>T</h1><p>{long}</p><article>short notice</article></main>"), set()) == f"T\n\n{long}\n\nshort notice"
+    assert main_text(Page(f"<div class=content><p>{long}</p><article>Nested</article><p>end</p></div>"), set()) == f"{long}\n\nNested\n\nend"
+    assert main_text(Page(f"<main><p>menu</p><article><p>{long}</p></article></main>"), set()) == long
+    p = Page(f"<main><p>{long}</p><article><h1>T</h1><p>its own text</p></article></main>")
+    assert main_text(p, set()) == f"{long}\n\nT\n\nits own text"
+    assert main_text(p, {0}) == "T\n\nits own text"  # the wrapper says that the long text is on every page
+
+
+def test_lists_of_the_template(spark):
+    """Without a holder, a plain list that all pages share is the wrapper's; one that varies is the page's."""
+    menu = "<ul><li>Home</li><li>News</li><li>About</li></ul>"
+    pages = [f"<body>{menu}<p>own text {k}</p><ul><li>point {k}</li><li>last</li></ul>" for k in range(6)]
+    rows = [(i, f"http://h.example.com/{i}", p) for i, p in enumerate(pages)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    assert {r["page_id"]: r["text"] for r in extract(df).collect()} == {k: f"own text {k}\n\npoint {k}\n\nlast" for k in range(6)}
+    same = [(i, f"http://s.example.com/{i}", f"<body><!-- {i} -->{menu}<p>all the same</p>") for i in range(6)]
+    got = extract(spark.createDataFrame(same, "page_id long, url string, html string")).collect()
+    assert {r["text"] for r in got} == {"Home\n\nNews\n\nAbout\n\nall the same"}
+
+
+def test_alignment_against_every_pairing():
+    """The alignment of two expressions keeps as many labels as any alignment can (all subsets tried)."""
+    import itertools
+    import random
+
+    from corpusprep.llm.wrappers import pairs
+
+    rng = random.Random(3)
+    for _ in range(60):
+        a, b = ([{"t": rng.choice("pqr")} for _ in range(rng.randint(0, 6))] for _ in range(2))
+        best = max(k for k in range(7) for x in itertools.combinations(range(len(a)), k) for y in itertools.combinations(range(len(b)), k)
+                   if all(a[i]["t"] == b[j]["t"] for i, j in zip(x, y, strict=True)))
+        found = pairs(a, b)
+        assert sum(i is not None and j is not None for i, j in found) == best
+        assert [i for i, _ in found if i is not None] == list(range(len(a))) and [j for _, j in found if j is not None] == list(range(len(b)))
