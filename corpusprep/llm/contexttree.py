@@ -395,9 +395,7 @@ def _scored(texts, batch, first, model, chance, learnt, depth) -> Iterator[pa.Re
     per = lambda of, weights: np.bincount(of, weights=weights, minlength=n)
 
     w = Words(texts, BY_SPACE, lower=True)
-    inside = w.buf[np.flatnonzero(BY_SPACE[w.buf])]
-    offsets = np.concatenate(([0], np.cumsum(w.ends - w.starts))).astype(np.int64)
-    each = pa.Array.from_buffers(pa.large_utf8(), len(w.starts), [None, pa.py_buffer(offsets), pa.py_buffer(inside)]).dictionary_encode()
+    each = w.strings().view(pa.large_utf8()).dictionary_encode()
     code, distinct = each.indices.to_numpy(), each.dictionary
     found = np.fromiter((place.get(x, -1) for x in distinct.to_pylist()), np.int64, len(distinct))
     c = np.where(found >= 0, counts[found], 0) if len(counts) else np.zeros(len(found), np.int64)

@@ -1,7 +1,7 @@
 """Quality rules by repetition coverage.
 
 For several n-gram lengths, a rolling hash over the words of a text (in NumPy, whole runs of texts at
-once) finds the n-grams that occur twice or more in it. The rule measures which share of the words'
+once; words are numbered exactly, by a dictionary of the run) finds the n-grams that occur twice or more in it. The rule measures which share of the words'
 characters lies inside such n-grams, and which inside lines equal to an earlier line. The lengths are
 nested: an n-gram can only repeat where its (n-1)-grams repeat, so each longer length looks at the
 places left by the shorter one. Texts of natural length hardly repeat five words, so texts above a
@@ -76,14 +76,18 @@ def measure_texts(texts: list[bytes], rules: RepetitionRules) -> dict[str, np.nd
     begins, stops, low, high = begins[real], breaks[real], low[real], high[real]
     of = row(begins)
     key = span_hash(prefix_hash(w.buf), begins, stops) ^ mix(of.astype(U64) + U64(1))
-    later = np.ones(len(key), bool)
-    later[np.unique(key, return_index=True)[1]] = False
+    later = np.zeros(len(key), bool)
+    seen: set[tuple[int, bytes]] = set()
+    for i in np.flatnonzero(duplicated(key)):  # equal hashes: the lines themselves decide
+        line = (int(of[i]), w.buf[begins[i]: stops[i]].tobytes())
+        later[i] = line in seen
+        seen.add(line)
     out["n_dup_lines"] = per(of[later])
     sums = np.concatenate(([0], np.cumsum(size)))
     out["dup_line_chars"] = per(of[later], (sums[high] - sums[low])[later])
 
     longest = max([3, *rules.coverage])
-    for length, at in _rolling(w, w.hashes(), longest, 3):
+    for length, at in _rolling(w, mix(w.codes().astype(U64) + U64(1)), longest, 3):
         if length == 3 or length in rules.coverage:
             inside = covered(at, length, len(size))
             if length == 3:

@@ -124,12 +124,22 @@ class Words:
         lengths = np.fromiter(map(len, texts), np.int64, len(texts))
         self.origin = np.zeros(len(texts) + 1, np.int64)
         np.cumsum(lengths + 1, out=self.origin[1:])
+        self.table = table
         inside = table[self.buf].view(np.int8)
         edge = np.flatnonzero(np.diff(inside, prepend=np.int8(0)))  # the last byte is a separator: edges come in pairs
         self.starts, self.ends = edge[0::2], edge[1::2]
         self.first = np.searchsorted(self.starts, self.origin)
         self.doc = np.repeat(np.arange(len(texts)), np.diff(self.first))
 
+    def strings(self) -> pa.Array:
+        """The words as binary strings."""
+        offsets = np.concatenate(([0], np.cumsum(self.ends - self.starts))).astype(np.int64)
+        return pa.Array.from_buffers(pa.large_binary(), len(self.starts), [None, pa.py_buffer(offsets), pa.py_buffer(self.buf[self.table[self.buf]])])
+
+    def codes(self) -> np.ndarray:
+        """A number for every word, the same for equal words only."""
+        return self.strings().dictionary_encode().indices.to_numpy(zero_copy_only=False)
+
     def hashes(self) -> np.ndarray:
         return span_hash(prefix_hash(self.buf), self.starts, self.ends)
 

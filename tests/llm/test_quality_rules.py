@@ -47,3 +47,16 @@ def test_filter_keeps_rows_and_columns(odd, none):
     want = sorted(str((d, t)) for d, t in rows if brute(t, RepetitionRules())["kept"])
     assert sorted(str((r["doc_id"], r["text"])) for r in out.collect()) == want and 0 < len(want) < len(rows)
     assert filter_documents(none).collect() == [] and measure(none).collect() == []
+
+
+def test_equality_is_decided_by_the_text(spark):
+    """The Thue-Morse pattern and its complement, for which polynomials modulo a power of two agree: as lines, and as words."""
+    a = "".join("ab"[bin(i).count("1") % 2] for i in range(1024))
+    b = a.translate({97: 98, 98: 97})
+    tail = " ".join(f"w{i}" for i in range(60))
+    texts = [f"{a}\n{b}\n{tail}", f"{a} x y {b} x y {tail}", f"{a}\n{b}\n{a}\n{tail}", f"{a} x y {a} x y {tail}"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rules = RepetitionRules()
+    got = sorted((r["doc_id"], sorted(r.asDict().items())) for r in measure(df).collect())
+    assert got == [(i, sorted({"doc_id": i, **brute(t, rules)}.items())) for i, t in enumerate(texts)]
+    assert [dict(g)["n_dup_lines"] for _, g in got] == [0, 0, 1, 0] and [dict(g)["n_repeat_words"] for _, g in got] == [0, 0, 0, 6]
