@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 from corpusprep.session import shared_path
 
 ARCHIVE_BYTES = 64 << 20
+TASK_BYTES = 16 << 20  # compressed bytes of an archive that one task reads in a stretch
 MAX_GAP = 64 << 10
 MAX_READ = 4 << 20
 DATE = "2000-01-01T00:00:00Z"
@@ -182,12 +183,16 @@ def _reader(folder: str, wanted: bool):
     return scan
 
 
-def read(index: DataFrame, folder: str, payloads: bool = True) -> DataFrame:
+def read(index: DataFrame, folder: str, payloads: bool = True, task_bytes: int = TASK_BYTES) -> DataFrame:
     """The records of the index rows: ``key, record_type, target, payload_digest, refers`` (a key's text),
     ``payload_bytes`` (of the full payload) and, if wanted, ``payload`` (null for revisits). A response whose
     payload does not have its declared digest is an error."""
     kind = index.schema["key"].dataType.simpleString()
-    dealt = index.select("key", "archive", "offset", "length").repartitionByRange("archive", "offset").sortWithinPartitions("archive", "offset")
+    # stretches of TASK_BYTES of an archive are dealt out, as many tasks as their bytes ask for: index rows are narrow and say nothing of the work
+    stretch = F.floor(F.col("offset") / task_bytes).alias("stretch")
+    total = index.agg(F.sum("length")).first()[0] or 0
+    rows = index.select("key", "archive", "offset", "length", stretch)
+    dealt = rows.repartition(max(1, -(-total // task_bytes)), "archive", "stretch").sortWithinPartitions("archive", "offset").drop("stretch")
     schema = f"key {kind}, record_type string, target string, payload_digest string, refers string, payload_bytes long"
     return dealt.mapInArrow(_reader(f"{folder}/archives", payloads), schema + ", payload binary" * payloads)
 

@@ -41,6 +41,9 @@ def test_write_index_read(spark):
                          str(group[0][0]) if n else None, None if n else raw))
     assert sorted(map(str, want)) == sorted(str((str(r["key"]), r["payload_bytes"], r["payload_digest"], r["record_type"], r["refers"],
                                                  None if r["payload"] is None else bytes(r["payload"]))) for r in rows)
+    small = read(index, folder, payloads=False, task_bytes=500)  # tasks by bytes, however few the index rows are
+    assert small.rdd.getNumPartitions() == -(-sum(r["length"] for r in index.collect()) // 500) > 4
+    assert sorted(r["payload_digest"] for r in small.collect()) == sorted(r["payload_digest"] for r in rows)
     some = read(index.where("record_type = 'revisit'"), folder, payloads=False)
     assert "payload" not in some.columns and some.count() == sum(w[3] == "revisit" for w in want)
     for r in index.collect():  # members stand where the index says, and whole archives are valid gzip
