@@ -115,13 +115,15 @@ def q_word_count(spark, sf_dir):
 
 @register(
     "word_split",
-    f"WITH {O.PAIRS} SELECT row_key, pos - 1 AS pos, w AS word FROM pairs, "
-    f"unnest({O.words('src')}) WITH ORDINALITY AS t(w, pos)",
+    f"WITH {O.PAIRS} SELECT row_key, 'src' AS side, pos - 1 AS pos, w AS word FROM pairs, unnest({O.words('src')}) WITH ORDINALITY AS t(w, pos) "
+    f"UNION ALL SELECT row_key, 'tgt', pos - 1, w FROM pairs, unnest({O.words('tgt')}) WITH ORDINALITY AS t(w, pos)",
 )
 def q_word_split(spark, sf_dir):
+    """The words of both sides."""
     p = documents_pairs(spark, sf_dir)
-    return p.select("row_key", F.posexplode(T.words("src")).alias("pos", "word")).select(
-        "row_key", F.col("pos").cast("long").alias("pos"), "word"
+    sides = F.inline(F.array(*(F.struct(F.lit(c).alias("side"), F.col(c).alias("text")) for c in ("src", "tgt"))))
+    return p.select("row_key", sides).select("row_key", "side", F.posexplode(T.words("text")).alias("pos", "word")).select(
+        "row_key", "side", F.col("pos").cast("long").alias("pos"), "word"
     )
 
 
@@ -397,12 +399,14 @@ def q_attention_mask(spark, sf_dir):
 @register(
     "pad_to_batch_max",
     f"{_bucket_sql()}, {_IDS_SQL[len(_CLEAN_SQL) + 2:]}, j AS (SELECT bb.epoch, bb.batch_index, bb.row_key, "
-    f"ids.src_ids AS t FROM bb JOIN ids USING (row_key)) "
-    f"SELECT epoch, batch_index, row_key, list_resize(t, max(len(t)) OVER (PARTITION BY epoch, batch_index), {CL.PAD_ID}) AS ids FROM j",
+    f"ids.src_ids AS s, ids.tgt_ids AS t FROM bb JOIN ids USING (row_key)) "
+    f"SELECT epoch, batch_index, row_key, list_resize(s, max(len(s)) OVER (PARTITION BY epoch, batch_index), {CL.PAD_ID}) AS src_ids, "
+    f"list_resize(t, max(len(t)) OVER (PARTITION BY epoch, batch_index), {CL.PAD_ID}) AS tgt_ids FROM j",
 )
 def q_pad_to_batch_max(spark, sf_dir):
-    b = _layout(_with_ids(spark, sf_dir)).select("epoch", "batch_index", "row_key", F.col("src_ids").alias("ids"))
-    return CL.pad_to_batch_max(b, "ids", ["epoch", "batch_index"])
+    """H5: both sides padded to the longest of their batch."""
+    b = _layout(_with_ids(spark, sf_dir)).select("epoch", "batch_index", "row_key", "src_ids", "tgt_ids")
+    return CL.pad_to_batch_max(CL.pad_to_batch_max(b, "src_ids", ["epoch", "batch_index"]), "tgt_ids", ["epoch", "batch_index"])
 
 
 @register(
