@@ -251,3 +251,28 @@ SELECT c.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank
 FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN figures f ON f.conv_id IS NOT DISTINCT FROM c.conv_id
 LEFT JOIN done d ON d.conv_id IS NOT DISTINCT FROM c.conv_id AND d.nth = 1
 """
+
+
+ORACLE["op6_warc_index"] = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+s AS (SELECT page_id, body, sha1(body) AS h, min(page_id) OVER (PARTITION BY body) AS first FROM p),
+b AS (SELECT *, [CAST('0x' || substr(h, 5 * k + 1, 5) AS BIGINT) FOR k IN range(8)] AS parts FROM s)
+SELECT page_id, CAST(strlen(body) AS BIGINT) AS payload_bytes,
+    array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((parts[1 + i // 4] >> (15 - 5 * (i % 4))) & 31), 1) FOR i IN range(32)], '') AS payload_digest,
+    CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first THEN first END AS refers_to
+FROM b
+"""
+
+ORACLE["op10_jaccard_forest"] = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+g AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) >= 5 THEN [array_to_string(list_slice(ws, i, i + 4), ' ') FOR i IN range(1, len(ws) - 3)]
+      WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS gram FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM g a JOIN g b ON a.gram = b.gram AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM shared JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 10 * k >= 8 * (x.n + y.n - k)),
+edges AS MATERIALIZED (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, e.b FROM reach r JOIN edges e ON e.a = r.b),
+classes AS (SELECT a AS doc_id, min(b) AS class_id FROM reach GROUP BY a),
+counts AS (SELECT a AS doc_id, count(*) AS n_links FROM edges GROUP BY a)
+SELECT doc_id, class_id, coalesce(n_links, 0) AS n_links FROM classes LEFT JOIN counts USING (doc_id)
+"""
