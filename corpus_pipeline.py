@@ -2,6 +2,11 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and read again
 as the next stage's docs. All but the last return the columns of ``documents``.
+
+Defined cases, for every stage: an empty table gives an empty one; extra columns pass through all stages but the last; a null
+text has no words. It fails the quality rules, so later stages see none from here; alone, they treat it thus: no near
+duplicate of anything (its row stays), nothing to cut, no contamination, one piece with the end token only. Rows that share key
+and text are one document for the removal of repeats, and one group of near duplicates: one of them stays.
 """
 from __future__ import annotations
 
@@ -17,31 +22,33 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the repetition rules keep."""
+    """Documents that the repetition rules keep: each row is judged by its own text."""
     ship_package(spark)
     return quality_rules.filter_documents(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of similar ones: that with the smallest id."""
+    """One document of each group of similar ones: that with the smallest id. Texts without
+    words are in no group."""
     ship_package(spark)
     return lshforest.deduplicate(docs)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without copies of passages that stand elsewhere; ``n_chars`` follows the text."""
+    """Documents without copies of passages that stand elsewhere; ``n_chars`` follows the text. A document that is all copies goes;
+    texts below the shortest passage stay as they are."""
     ship_package(spark)
     return repeats.remove(docs)
 
 
 def benchmark_overlap(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are not contaminated with benchmark items."""
+    """Documents that are not contaminated with benchmark items; without items, or without words, all stay."""
     ship_package(spark)
     return decontaminate.remove(docs, read(spark, sf_dir, "benchmark"))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Where every piece of every document lies in the packed sequences."""
+    """Where every piece of every document lies in the packed sequences; an empty text is its end token."""
     ship_package(spark)
     return packing.pieces(docs, tokenizer_path())
 
