@@ -45,8 +45,8 @@ from corpusprep.session import shared_path
 DEPTH = 5
 UPPER = 2  # depths 0 to UPPER are summed by Spark
 EDGE = 0xFF
-SLICE = 1 << 22  # positions at a time
-BROADCAST_GRAMS = 1 << 21  # of 16 bytes
+SLICE = 1 << 21  # positions at a time, half as many when texts are scored
+BROADCAST_GRAMS = 1 << 20  # of 16 bytes
 BROADCAST_WORDS = 1 << 18
 LN2 = float(np.log(2))
 NODE = "n0 long, n1 long, child double"
@@ -367,7 +367,7 @@ def score(df: DataFrame, train: Column, key: str = "doc_id", text: str = "text",
         first = TaskContext.get().partitionId() << 40
         for batch in batches:
             texts = text_bytes(batch.column(2))
-            for a, b in runs(texts, SLICE):
+            for a, b in runs(texts, SLICE // 2):
                 yield from _scored(texts[a:b], batch.slice(a, b - a), first, (place, counts, keys, logs), chance, learnt, depth)
                 first += b - a
 
