@@ -1,18 +1,23 @@
-"""N-gram Jaccard self-join with MinHash bands.
+"""N-gram Jaccard self-join with a MinHash LSH forest.
 
 Texts are sets of word 5-grams. Equal sets form a class and are worked on once. Every class gets a
-MinHash signature, cut into the labels of ``trees`` fixed bands, which stand in for an LSH forest's prefix tries:
-
-1. *Depth.* Two sets of similarity s share all d values of some band with probability
-   1 - (1 - s^d)^trees. d is the largest up to ``deepest`` for which that reaches ``recall`` at the
-   threshold: it follows from the parameters, not from the data. A label is one hash of the d values.
-2. *Label groups.* Classes are sorted by label; those with an equal neighbour form a group. In a
-   group signatures are compared, and classes whose estimate comes near the threshold are linked. Groups
-   only yield links to a group's first member, never pairs. Large groups compare with leaders: a class
+MinHash signature, cut into ``trees`` sequences; each sequence is the path of the class in one prefix trie:
+
+1. *Sorted tries.* A trie is the table of its paths in sorted order: (hash of the shortest prefix, the next values),
+   so the classes that share a prefix of any of the ``depths`` are neighbours. Only prefixes that several classes share go on.
+2. *Adaptive descent.* Two sets of similarity s share a prefix of length d in a tree with probability s^d, so a class that looks at
+   prefixes of length d_t in tree t misses a partner at the threshold with probability prod(1 - s^d_t). Every class begins
+   with the longest prefix in every tree and shortens them one by one, that with the fewest other classes below it first, until this
+   probability is at most 1 - ``recall``. A class alone below its short prefixes shortens all of them, at no cost; one that stands in crowded
+   branches (shared boilerplate) stays deep there and makes up for it in its other trees. So the lengths follow from the data,
+   and the recall holds for each class whatever they are.
+3. *Candidates.* In every tree a class meets all that share its chosen prefix: a range of the sorted trie, however long the prefixes
+   that those chose. Signatures are compared, and classes whose estimate comes near the threshold are linked. Ranges
+   only yield links to a first member, never pairs. Large ranges compare with leaders: a class
    close to a leader is covered by it, and every class is linked to all leaders within the reach that
    the triangle inequality of the Jaccard distance leaves for a partner of a covered class.
-3. *Exact verification.* The linked classes form candidate components. The real 5-gram sets of each
-   component are compared exactly, all with all, in tiles of bounded size, which yield for each class the
+4. *Exact verification.* The linked classes form candidate components. The real 5-gram sets of each
+   component are compared exactly in tiles of bounded size, which yield for each class the
    number of its links and one link per class to join the components - again no list of pairs.
 
 Cost follows the number of classes and, in a component, the square of its *different* texts, which is
@@ -24,6 +29,7 @@ table gives no rows.
 """
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -40,15 +46,15 @@ from corpusprep.session import ensure_checkpoint_dir
 
 @dataclass(frozen=True)
 class Forest:
-    """``slack``: how far below the threshold an estimate may lie; ``all_pairs``: largest group compared in
-    full; ``cover``/``reach``: estimates for leaders; ``group_rows``: largest part of a prefix group in a task;
-    ``tile_rows``/``tile_grams``: bounds of an exact tile's side."""
+    """``depths``: short, middle and long prefixes of a trie; ``slack``: how far below the threshold an estimate may lie;
+    ``all_pairs``: largest range compared in full; ``cover``/``reach``: estimates for leaders; ``group_rows``: largest part of a
+    short prefix's classes in a task; ``tile_rows``/``tile_grams``: bounds of an exact tile's side."""
 
     words: int = 5
     similarity: float = 0.8
     recall: float = 0.9999
     trees: int = 24
-    deepest: int = 8
+    depths: tuple[int, int, int] = (4, 5, 7)
     slack: float = 0.15
     all_pairs: int = 512
     cover: float = 0.85
@@ -58,16 +64,42 @@ class Forest:
     tile_grams: int = 1_000_000
     seed: int = 11
 
+    def __post_init__(self):
+        if not 0 < self.depths[0] < self.depths[1] < self.depths[2]:
+            raise ValueError("depths must rise")
+        if self.trees * self.evidence(self.depths[0]) < self.wanted:
+            raise ValueError("more trees or shorter prefixes are needed for this recall")
+
+    def evidence(self, depth: int) -> float:
+        """What a tree adds to -ln(probability to miss a partner at the threshold) with prefixes of this length."""
+        return -math.log1p(-self.similarity ** depth)
+
     @property
-    def depth(self) -> int:
-        for d in range(self.deepest, 0, -1):
-            if 1 - (1 - self.similarity ** d) ** self.trees >= self.recall:
-                return d
-        raise ValueError("more trees are needed for this recall")
+    def wanted(self) -> float:
+        return -math.log1p(-self.recall)
 
     def permutations(self) -> np.ndarray:
         rng = np.random.default_rng(self.seed)
-        return rng.integers(0, 1 << 32, (2, self.trees * self.depth), dtype=np.uint32) | np.array([[1], [0]], np.uint32)
+        return rng.integers(0, 1 << 32, (2, self.trees * self.depths[2]), dtype=np.uint32) | np.array([[1], [0]], np.uint32)
+
+    def chosen(self, sizes: np.ndarray) -> np.ndarray:
+        """Which of the three lengths each class takes in each tree (0: short).
+
+        ``sizes``: classes x trees x (classes below the short prefix, below the middle one). A step to a shorter prefix costs the
+        classes then met; steps are taken from the cheapest on until the recall is reached.
+        """
+        n = len(sizes)
+        short, middle, long = (self.evidence(d) for d in self.depths)
+        cost = sizes.reshape(n, -1).astype(np.int64) * 2  # of equal cost, the longer prefix first
+        cost[:, 0::2] += 1
+        gain = np.tile([short - middle, middle - long], self.trees)
+        order = np.argsort(cost, axis=1, kind="stable")
+        reached = self.trees * long + np.cumsum(gain[order], axis=1)
+        before = np.concatenate((np.full((n, 1), self.trees * long), reached[:, :-1]), axis=1)
+        free = np.take_along_axis(cost, order, axis=1) <= 3  # nobody else is there
+        taken = np.zeros(cost.shape, bool)
+        np.put_along_axis(taken, order, (before < self.wanted) | free, axis=1)
+        return 2 - taken[:, 1::2].astype(np.int8) - taken[:, 0::2].astype(np.int8)
 
 
 def grams(texts: list[bytes], n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -96,8 +128,11 @@ def grams(texts: list[bytes], n: int) -> tuple[np.ndarray, np.ndarray]:
     return key, np.searchsorted(doc, np.arange(len(texts) + 1))
 
 
-def sketch(key: np.ndarray, first: np.ndarray, forest: Forest, perms: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(set hash, signature, label prefixes) of every text that has grams; rows follow those texts."""
+def sketch(key: np.ndarray, first: np.ndarray, forest: Forest, perms: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(set hash, signature, short prefixes, next values) of every text that has grams; rows follow those texts.
+
+    A path's next values are two halves of a number: a hash up to the middle prefix, then one of the rest.
+    """
     full = np.flatnonzero(np.diff(first))
     at = first[full]
     h = (key >> U64(32)).astype(np.uint32)
@@ -109,18 +144,25 @@ def sketch(key: np.ndarray, first: np.ndarray, forest: Forest, perms: np.ndarray
         v *= np.uint32(0x2C1B3C6D)
         low[p] = np.minimum.reduceat(v, at)
     sets = mix(np.add.reduceat(mix(key), at) + (np.diff(first)[full]).astype(U64) * U64(0x9E3779B97F4A7C15))
-    labels = np.empty((len(full), forest.trees), U64)
-    for t in range(forest.trees):
-        x = np.full(len(full), t + 1, U64)
-        for row in low[t * forest.depth: (t + 1) * forest.depth]:
+    labels, tails = np.empty((len(full), forest.trees), U64), np.empty((len(full), forest.trees), U64)
+    short, middle, long = forest.depths
+
+    def hashed(x: np.ndarray, values: np.ndarray) -> np.ndarray:
+        for row in values:
             x = mix(x * U64(0xC2B2AE3D27D4EB4F) + row)
-        labels[:, t] = x
-    return sets, low.T.astype(np.uint16), labels
+        return x
+
+    for t in range(forest.trees):
+        path, start = low[t * long: (t + 1) * long], np.full(len(full), t + 1, U64)
+        labels[:, t] = hashed(start, path[:short])
+        tails[:, t] = ((hashed(start, path[short:middle]) >> U64(32)) << U64(32)) | (hashed(start, path[middle:]) >> U64(32))
+    return sets, low.T.astype(np.uint16), labels, tails
 
 
 def _sketches(forest: Forest):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         perms = forest.permutations()
+        lists = lambda x: pa.FixedSizeListArray.from_arrays(pa.array(x.view(np.int64).ravel()), forest.trees).cast(pa.list_(pa.int64()))
         with np.errstate(over="ignore"):
             for batch in batches:
                 texts = text_bytes(batch.column(2))
@@ -130,56 +172,87 @@ def _sketches(forest: Forest):
                     full = np.flatnonzero(n)
                     if not len(full):
                         continue
-                    sets, signature, labels = sketch(key, first, forest, perms)
+                    sets, signature, labels, tails = sketch(key, first, forest, perms)
                     take = pa.array(full + a)
                     yield pa.RecordBatch.from_arrays(
                         [batch.column(0).take(take), batch.column(1).take(take), pa.array(sets.view(np.int64)), pa.array(n[full]),
-                         pa.array([s.tobytes() for s in signature], pa.binary()),
-                         pa.FixedSizeListArray.from_arrays(pa.array(labels.view(np.int64).ravel()), forest.trees).cast(pa.list_(pa.int64()))],
-                        names=["doc", "row", "class", "n", "signature", "labels"])
+                         pa.array([s.tobytes() for s in signature], pa.binary()), lists(labels), lists(tails)],
+                        names=["doc", "row", "class", "n", "signature", "labels", "tails"])
 
     return scan
 
 
-def _link(signature: np.ndarray, forest: Forest) -> np.ndarray:
-    """The first member each member of a prefix group is linked with, directly or by way of others."""
-    m = len(signature)
-    root = np.arange(m)
+def _descend(forest: Forest):
+    """Rows ``class, paths`` (tree, label, tail, parts, sizes of the shared prefixes) -> the same paths with the chosen length."""
 
-    least = forest.similarity - forest.slack
-    if m <= forest.all_pairs:
-        for i in range(m - 1):
-            near = np.flatnonzero((signature[i + 1:] == signature[i]).mean(axis=1) >= least) + i + 1
-            if len(near):
-                _join(root, np.append(near, i))
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            paths = batch.column(1)
+            n = np.asarray(paths.value_lengths())
+            row = np.repeat(np.arange(len(n)), n)
+            flat = paths.flatten()
+            tree, short, middle = (flat.field(k).to_numpy(zero_copy_only=False) for k in ("tree", "short", "middle"))
+            for lo in range(0, len(n), 4096):
+                own = np.flatnonzero((row >= lo) & (row < lo + 4096))
+                sizes = np.ones((min(4096, len(n) - lo), forest.trees, 2), np.int64)
+                sizes[row[own] - lo, tree[own], 0] = short[own]
+                sizes[row[own] - lo, tree[own], 1] = middle[own]
+                level = forest.chosen(sizes)[row[own] - lo, tree[own]]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(pa.array(row[own])), *(flat.field(k).take(pa.array(own)) for k in ("label", "tail", "parts")),
+                     pa.array(level.astype(np.int32))], names=["class", "label", "tail", "parts", "level"])
+
+    return scan
+
+
+def _link(signature: np.ndarray, asks: np.ndarray, forest: Forest) -> np.ndarray:
+    """The first member each member of a range is linked with, directly or by way of others; ``asks``: whose partners are sought."""
+    root = np.arange(len(signature))
+    if len(signature) <= forest.all_pairs:
+        for i in np.flatnonzero(asks).tolist():
+            near = np.flatnonzero((signature == signature[i]).mean(axis=1) >= forest.similarity - forest.slack)
+            if len(near) > 1:
+                _join(root, near)
         return root
-    open_ = np.ones(m, bool)
+    open_ = asks.copy()
     while open_.any():
         i = int(np.argmax(open_))
         alike = (signature == signature[i]).mean(axis=1)
-        _join(root, np.append(np.flatnonzero(alike >= forest.reach), i))
+        _join(root, np.flatnonzero(alike >= forest.reach))
         open_ &= alike < forest.cover
         open_[i] = False
     return root
 
 
-def _prefix_groups(forest: Forest):
+def _ranges(label: np.ndarray, tail: np.ndarray, level: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """For each length of prefix: its number, begins and ends of the ranges of a sorted trie where some class asks with that length."""
+    fresh = np.append(True, label[1:] != label[:-1])
+    for number in range(3):
+        if number:
+            shift = U64(64 - 32 * number)
+            fresh[1:] |= (tail[1:] >> shift) != (tail[:-1] >> shift)
+        at = np.append(np.flatnonzero(fresh), len(label))
+        some = np.logical_or.reduceat(level == number, at[:-1]) & (np.diff(at) > 1)
+        yield number, at[:-1][some], at[1:][some]
+
+
+def _candidates(forest: Forest):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in groups(batches):
-            label = batch.column(0).to_numpy(zero_copy_only=False)
-            nodes = batch.column(1).to_numpy(zero_copy_only=False)
-            signature = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint16).reshape(len(nodes), -1)
-            at = bounds(label)
-            size = np.diff(at)
-            two = at[:-1][size == 2]
-            good = (signature[two] == signature[two + 1]).mean(axis=1) >= forest.similarity - forest.slack
-            a, b = [nodes[two[good] + 1]], [nodes[two[good]]]
-            for i in np.flatnonzero(size > 2).tolist():
-                lo, hi = at[i], at[i + 1]
-                root = _link(signature[lo:hi], forest)
-                moved = np.flatnonzero(root != np.arange(hi - lo))
-                a.append(nodes[lo + moved])
-                b.append(nodes[lo + root[moved]])
+            label, tail, nodes, level = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(4))
+            signature = np.frombuffer(b"".join(batch.column(4).to_pylist()), np.uint16).reshape(len(nodes), -1)
+            a, b = [], []
+            for number, begin, end in _ranges(label, tail.view(U64), level):
+                two = begin[end - begin == 2]
+                good = (signature[two] == signature[two + 1]).mean(axis=1) >= forest.similarity - forest.slack
+                a.append(nodes[two[good] + 1])
+                b.append(nodes[two[good]])
+                more = end - begin > 2
+                for lo, hi in zip(begin[more].tolist(), end[more].tolist(), strict=True):
+                    root = _link(signature[lo:hi], level[lo:hi] == number, forest)
+                    moved = np.flatnonzero(root != np.arange(hi - lo))
+                    a.append(nodes[lo + moved])
+                    b.append(nodes[lo + root[moved]])
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
 
     return scan
@@ -284,22 +357,31 @@ def _linked(df: DataFrame, key: str, text: str, forest: Forest) -> tuple[DataFra
     ensure_checkpoint_dir(spark)
     kind = df.schema[key].dataType.simpleString()
     plain = df.select(F.col(key).alias("doc"), F.xxhash64(df[key], df[text]).alias("row"), F.col(text).alias("text"))
-    sketched = plain.mapInArrow(_sketches(forest), f"doc {kind}, row long, class long, n long, signature binary, labels array<long>").checkpoint()
+    sketched = plain.mapInArrow(_sketches(forest), f"doc {kind}, row long, class long, n long, signature binary, labels array<long>, tails array<long>").checkpoint()
     rows = sketched.select("doc", "row", "class")
     own = F.min(F.struct("doc", "row"))
     classes = sketched.groupBy("class").agg(own.alias("own"), F.count(F.lit(1)).alias("rows"), F.max("n").alias("n")).select(
         "class", "own.doc", "own.row", "rows", "n")
-    first = sketched.groupBy("class").agg(F.any_value("labels").alias("labels"))
-    members = first.select("class", F.explode("labels").alias("label"))
-    crowded = members.groupBy("label").agg(F.count(F.lit(1)).alias("size")).where("size > 1").select(
-        "label", F.ceil(F.col("size") / forest.group_rows).cast("int").alias("parts"))
+    first = sketched.groupBy("class").agg(F.any_value(F.struct("labels", "tails")).alias("trie")).select("class", F.arrays_zip("trie.labels", "trie.tails").alias("paths"))
+    paths = first.select("class", F.posexplode("paths").alias("tree", "path")).select("class", "tree", F.col("path.labels").alias("label"), F.col("path.tails").alias("tail"))
+    middle = F.shiftrightunsigned("tail", 32)
+    shared = paths.groupBy("label").agg(F.count(F.lit(1)).alias("short"), F.min(middle).alias("lo"), F.max(middle).alias("hi")).where("short > 1")
+    paths = paths.join(shared, "label").withColumn("parts", F.ceil(F.col("short") / forest.group_rows).cast("int"))
+    even = (F.col("short") == 2) | (F.col("lo") == F.col("hi"))  # two classes, or one middle prefix: nothing to count
+    same = paths.where(even).withColumn("middle", F.when(F.col("lo") == F.col("hi"), F.col("short")).otherwise(1))
+    mixed = paths.where(~even).withColumn("mid", middle)
+    mixed = mixed.join(mixed.groupBy("label", "mid").agg(F.count(F.lit(1)).alias("middle")), ["label", "mid"]).select(same.columns)
+    paths = same.union(mixed)
+    sized = paths.groupBy("class").agg(F.collect_list(F.struct(
+        "tree", "label", "tail", "parts", "short", "middle")).alias("paths"))
+    members = sized.mapInArrow(_descend(forest), "class long, label long, tail long, parts int, level int")
     part = F.pmod(F.xxhash64(F.lit(5), "class"), F.col("parts")).cast("int")  # a large group is dealt out as pairs of its parts
-    members = (members.join(crowded, "label").withColumn("part", part).withColumn("mate", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-               .select("class", F.when(F.col("parts") == 1, F.col("label")).otherwise(
+    members = (members.withColumn("part", part).withColumn("mate", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+               .select("class", "tail", "level", F.when(F.col("parts") == 1, F.col("label")).otherwise(
                    F.xxhash64("label", F.least("part", "mate"), F.greatest("part", "mate"))).alias("label")))
     signed = members.join(sketched.select("class", "signature").groupBy("class").agg(F.any_value("signature").alias("signature")), "class")
-    near = (signed.select("label", "class", "signature").repartition("label").sortWithinPartitions("label", "class")
-            .mapInArrow(_prefix_groups(forest), "a long, b long").distinct())
+    near = (signed.select("label", "tail", "class", "level", "signature").repartition("label").sortWithinPartitions("label", "tail", "class")
+            .mapInArrow(_candidates(forest), "a long, b long").distinct())
     linked = components(near)
     # exact verification inside the candidate components
     classes = classes.checkpoint()

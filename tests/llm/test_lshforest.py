@@ -6,7 +6,7 @@ from dataclasses import replace
 import numpy as np
 import pytest
 
-from corpusprep.llm.lshforest import Forest, _link, deduplicate, exact_links, grams, join
+from corpusprep.llm.lshforest import Forest, _link, _ranges, deduplicate, exact_links, grams, join
 from tests.llm.conftest import prose
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -63,7 +63,7 @@ def test_join_equals_all_pairs(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     want, _ = brute(rows)
     assert sum(r[2] for r in want) > 60
-    for forest in (Forest(), replace(Forest(), tile_rows=3, group_rows=4, all_pairs=2)):  # and with every group split
+    for forest in (Forest(), replace(Forest(), tile_rows=3, group_rows=4, all_pairs=2), replace(Forest(), depths=(1, 2, 3), recall=0.999999)):  # and with every group split, and with crowded branches
         got = join(df, forest=forest).collect()
         assert sorted((str(r["doc_id"]), str(r["class_id"]), r["n_links"]) for r in got) == sorted(want)
 
@@ -81,12 +81,35 @@ def test_odd_rows(odd, none):
     assert join(none).collect() == [] and deduplicate(none).collect() == []
 
 
-def test_depth_follows_recall():
+def test_every_class_reaches_the_recall():
     f = Forest()
-    miss = lambda d: (1 - 0.8 ** d) ** f.trees
-    assert miss(f.depth) <= 1 - f.recall < miss(f.depth + 1)
-    with pytest.raises(ValueError):
-        replace(f, trees=1).depth
+    rng = np.random.default_rng(2)
+    short = np.where(rng.random((300, f.trees)) < 0.4, rng.integers(2, 10 ** rng.integers(1, 7, (300, 1)), (300, f.trees)), 1)
+    sizes = np.stack((short, np.minimum(short, rng.integers(1, 50, short.shape))), axis=2)
+    level = f.chosen(sizes)
+    depth = np.array(f.depths)[level]
+    assert ((1 - 0.8 ** depth).prod(axis=1) <= 1 - f.recall + 1e-12).all()
+    assert (level[short == 1] == 0).all() and set(level.ravel().tolist()) == {0, 1, 2}
+    met = np.where(level == 0, short, np.where(level == 1, sizes[:, :, 1], 1)).sum(axis=1)
+    assert met.sum() < short.sum() / 2  # crowded branches are left out where others make up for them
+    alone = f.chosen(np.ones((1, f.trees, 2), np.int64))
+    assert (alone == 0).all()
+    for bad in (dict(trees=1), dict(depths=(5, 4, 7))):
+        with pytest.raises(ValueError):
+            replace(f, **bad)
+
+
+def test_ranges_of_a_sorted_trie():
+    rng = np.random.default_rng(3)
+    path = np.array(sorted(map(tuple, rng.integers(0, 3, (60, 3)).tolist())))
+    label, tail = path[:, 0], ((path[:, 1] << 32) | path[:, 2]).astype(np.uint64)
+    level = rng.integers(0, 3, len(path))
+    met = set()
+    for number, begin, end in _ranges(label, tail, level):
+        for lo, hi in zip(begin, end):
+            met |= {(i, j) for i in range(lo, hi) if level[i] == number for j in range(lo, hi) if i != j}
+    same = lambda i, j: (path[i, : level[i] + 1] == path[j, : level[i] + 1]).all()
+    assert met == {(i, j) for i in range(60) for j in range(60) if i != j and same(i, j)}
 
 
 def test_leaders_link_what_all_pairs_link():
@@ -95,8 +118,10 @@ def test_leaders_link_what_all_pairs_link():
     signature = np.repeat(base, 60, axis=0)
     swap = rng.random(signature.shape) < 0.08
     signature[swap] = rng.integers(0, 60000, int(swap.sum()))
-    full, few = (_link(signature, replace(Forest(), all_pairs=n)) for n in (10_000, 1))
-    assert len(set(full.tolist())) == 5 and [full[i] == full[j] for i in range(300) for j in (0, 70, 140)] == [few[i] == few[j] for i in range(300) for j in (0, 70, 140)]
+    every, half = np.ones(300, bool), np.arange(300) % 2 == 0
+    full, few, some = (_link(signature, asks, replace(Forest(), all_pairs=n)) for asks, n in ((every, 10_000), (every, 1), (half, 1)))
+    for got in (few, some):
+        assert len(set(full.tolist())) == 5 and [full[i] == full[j] for i in range(300) for j in (0, 70, 140)] == [got[i] == got[j] for i in range(300) for j in (0, 70, 140)]
 
 
 def test_exact_links_both_ways():
