@@ -245,14 +245,15 @@ def _candidates(forest: Forest):
             for number, begin, end in _ranges(label, tail.view(U64), level):
                 two = begin[end - begin == 2]
                 good = (signature[two] == signature[two + 1]).mean(axis=1) >= forest.similarity - forest.slack
-                a.append(nodes[two[good] + 1])
-                b.append(nodes[two[good]])
+                a.append(np.maximum(nodes[two[good]], nodes[two[good] + 1]))
+                b.append(np.minimum(nodes[two[good]], nodes[two[good] + 1]))
                 more = end - begin > 2
                 for lo, hi in zip(begin[more].tolist(), end[more].tolist(), strict=True):
-                    root = _link(signature[lo:hi], level[lo:hi] == number, forest)
+                    own = lo + np.argsort(nodes[lo:hi])  # links go to the smallest member, so those of all trees are much the same
+                    root = _link(signature[own], level[own] == number, forest)
                     moved = np.flatnonzero(root != np.arange(hi - lo))
-                    a.append(nodes[lo + moved])
-                    b.append(nodes[lo + root[moved]])
+                    a.append(nodes[own[moved]])
+                    b.append(nodes[own[root[moved]]])
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
 
     return scan
