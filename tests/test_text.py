@@ -67,3 +67,11 @@ def test_py_round_ratio_matches_python(spark):
 def test_null_text_counts_as_empty(spark):
     df = spark.createDataFrame([(1, None)], "k long, s string")
     assert df.select(T.word_count("s").alias("c")).first().c == 0
+
+
+def test_words_are_cut_without_a_regular_expression(spark):
+    """A regular expression over the whitespace class took ten times as long, more than all else of a scan."""
+    odd = ["", " ", "a", " a  b\n", "\x00 a\x00b", "x" + T.WHITESPACE_CHARS + "y\u200b z", "\x1c\x85a\U0001f389\u3000b", None]
+    df = spark.createDataFrame([(i, s) for i, s in enumerate(odd)], "i int, s string").select("i", T.words("s").alias("w"), T.word_count("s").alias("n"))
+    assert {r.i: (r.w, r.n) for r in df.collect()} == {i: ((s or "").split(), len((s or "").split())) for i, s in enumerate(odd)}
+    assert "regexp" not in df._jdf.queryExecution().optimizedPlan().toString()
