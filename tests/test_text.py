@@ -75,3 +75,8 @@ def test_words_are_cut_without_a_regular_expression(spark):
     df = spark.createDataFrame([(i, s) for i, s in enumerate(odd)], "i int, s string").select("i", T.words("s").alias("w"), T.word_count("s").alias("n"))
     assert {r.i: (r.w, r.n) for r in df.collect()} == {i: ((s or "").split(), len((s or "").split())) for i, s in enumerate(odd)}
     assert "regexp" not in df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_the_words_of_a_pair_id_are_joined_once(spark):
+    df = spark.createDataFrame([("a b", "c")], "s string, t string").select(T.pair_id("s", "t").alias("id"))
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("coalesce(") == 2  # each side is read once
