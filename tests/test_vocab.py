@@ -279,3 +279,57 @@ def test_corpus_texts_requires_columns(spark):
         V.corpus_texts(df)
     out = V.corpus_texts(spark.createDataFrame([("a", None)], "src string, tgt string")).collect()
     assert [(r.side, r.text) for r in out] == [(0, "a"), (1, "")]
+
+
+@pytest.mark.parametrize("at_once", [0, 64])
+def test_merges_of_many_words_at_once(monkeypatch, at_once):
+    """All words of a batch together or word by word: the same words and the same changes of pair counts, by definition."""
+    import random
+    from collections import Counter
+
+    import pyarrow as pa
+
+    monkeypatch.setattr(V, "MERGES_AT_ONCE", at_once)
+    rng = random.Random(7)
+    words = [[rng.choice((-1, 2, 3)) for _ in range(rng.randint(0, 9))] for _ in range(400)] + [[2] * n for n in range(1, 9)]
+    freq = [rng.randint(1, 5) for _ in words]
+    merges = [(2, 2, 9), (9, 9, 10), (-1, 3, 11), (11, 2, 9), (9, 3, 12)]
+    want = []
+    for w in words:
+        for l, r, n in merges:
+            w = V._merged(w, (l, r), n)
+        want.append(w)
+    change = Counter()
+    for old, new, f in zip(words, want, freq, strict=True):
+        change.update({p: 0 for p in zip(old, old[1:])})
+        for s, sign in ((old, -1), (new, 1)):
+            for p in zip(s, s[1:]):
+                change[p] += sign * f
+    batch = pa.RecordBatch.from_arrays([pa.array(words, pa.list_(pa.int32())), pa.array(freq, pa.int64())], names=["sym", "freq"])
+    rows = [r for out in V._step_fn(merges, False)([batch.slice(0, 100), batch.slice(100)]) for r in out.to_pylist()]
+    key = lambda w: (tuple(w[0]), w[1])
+    assert sorted(key((r["sym"], r["freq"])) for r in rows if r["kind"] == 0) == sorted(key(w) for w in zip(want, freq) if len(w[0]) > 1)
+    got = Counter()
+    for r in rows:
+        if r["kind"] == 1:
+            got[(r["l"], r["r"])] += r["cnt"]
+    assert {p: n for p, n in got.items() if n} == {p: n for p, n in change.items() if n}
+
+
+def test_rounds_are_as_wide_as_the_words_ask_for(spark, texts, tmp_path, monkeypatch):
+    """Not as wide as the session's shuffles; and a round asks for as many pairs as neighbourhoods leave room for."""
+    monkeypatch.setattr(V, "FIRST_PAIRS", 8)
+    path, files, setting = str(tmp_path / "state"), [], spark.conf.get("spark.sql.shuffle.partitions")
+
+    def log(rounds, *_):
+        state = V._resume(spark, path, VocabConfig(2000, 2))
+        if not state.done:
+            files.append(len([f for f in (tmp_path / "state" / state.table("pairs").rsplit("/", 1)[1]).iterdir() if f.name.startswith("part-")]))
+
+    spark.conf.set("spark.sql.shuffle.partitions", "60")
+    try:
+        V.learn_bpe(spark.createDataFrame([(t,) for t in texts], "text string"), VocabConfig(2000, 2), state_path=path, log=log)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", setting)
+    assert files and max(files) <= spark.sparkContext.defaultParallelism
+    assert V._next_wanted(4, 30_000, 100_000) == 10 and V._next_wanted(4, 0, 100_000) == 16 and V._next_wanted(4, 90_000, 100_000) == 4
