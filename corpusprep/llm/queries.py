@@ -130,8 +130,9 @@ def op10_jaccard_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op5_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Draws the share that the labels call good."""
-    return resample.select(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"), F.expr("quality = 1 AND toxic = 0"))
+    """Draws the share that the labels call good, by words and pairs of words; the target model counts every good row."""
+    how = resample.Resampling(longest=2, buckets=1 << 18)
+    return resample.select(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"), F.expr("quality = 1 AND toxic = 0"), how=how)
 
 
 @query

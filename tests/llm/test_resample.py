@@ -3,8 +3,10 @@ import math
 from collections import Counter
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
+from corpusprep.llm import resample
 from corpusprep.llm.resample import Resampling, features, kth_largest, select
 
 
@@ -65,3 +67,22 @@ def test_query_draws_the_share_of_the_labels(spark):
     share = spark.read.parquet(f"{sf}/labels.parquet").agg(F.avg(F.expr("int(quality = 1 AND toxic = 0)"))).first()[0]
     drawn, n = op5_importance_resampling(spark, sf).agg(F.sum(F.expr("int(kept)")), F.count("score")).first()
     assert abs(drawn - share * n) <= 1
+
+
+def test_query_counts_pairs_of_words(spark):
+    from corpusprep.llm.queries import op5_importance_resampling
+
+    sf = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    got = {r["doc_id"]: r["n_features"] for r in op5_importance_resampling(spark, sf).collect()}
+    single = {r["doc_id"]: r["n_features"] for r in select(docs, labels, F.expr("quality = 1 AND toxic = 0")).collect()}
+    assert got == {d: max(2 * n - 1, 0) for d, n in single.items()}
+
+
+@pytest.mark.parametrize("most", [1 << 20, 1000])
+def test_every_target_row_is_counted(spark, monkeypatch, most):
+    """More than 50,000 of them, by broadcast or by shuffle: the target model is the raw model, all weights are 0."""
+    monkeypatch.setattr(resample, "BROADCAST_ROWS", most)
+    rows = spark.range(60_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("w"), F.hex(F.col("id") % 997)).alias("text"))
+    got = select(rows, rows.select("doc_id", F.lit(1).alias("quality")), F.expr("quality = 1"))
+    assert got.agg(F.max(F.abs("log_weight"))).first()[0] == 0
