@@ -96,3 +96,18 @@ def test_stream_take(spark):
          .option("checkpointLocation", ck).trigger(availableNow=True).start())
     q.awaitTermination()
     assert spark.read.parquet(out).count() == 40
+
+
+def test_stream_input_grows_in_files_not_in_file_size(spark, monkeypatch):
+    """Files hold a bounded part of the table, triggers a bounded number of files."""
+    from corpusprep.plans import queries as Q
+
+    sf = "/root/testdata/sf0.01"
+    assert Q._stream_input(spark, sf)[1] == 1
+    monkeypatch.setattr(Q, "STREAM_FILE", 1 << 16)
+    monkeypatch.setattr(Q, "STREAM_FILES", 5)
+    path, each = Q._stream_input(spark, sf)
+    files = len([f for f in spark.read.json(path).inputFiles()])
+    assert files == 22 and each == 5
+    ing = Q._ingested(spark, sf)
+    assert ing.committed() == [0, 1, 2, 3, 4] and ing.latest_totals().first().seen == ing.rows().count() == spark.read.json(path).count()
