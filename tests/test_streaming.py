@@ -111,3 +111,18 @@ def test_stream_input_grows_in_files_not_in_file_size(spark, monkeypatch):
     assert files == 22 and each == 5
     ing = Q._ingested(spark, sf)
     assert ing.committed() == [0, 1, 2, 3, 4] and ing.latest_totals().first().seen == ing.rows().count() == spark.read.json(path).count()
+
+
+def test_buffered_shuffle_takes_bounded_batches(spark, monkeypatch):
+    """A task holds a shard's rows of one micro-batch; more input is more batches, not larger ones."""
+    from corpusprep.plans import queries as Q
+    from corpusprep.session import list_files
+
+    made = {}
+    monkeypatch.setattr(Q, "shared_path", lambda spark, name: made.setdefault(name, shared_path(spark, name)))
+    monkeypatch.setattr(Q, "STREAM_FILE", 1 << 17)
+    monkeypatch.setattr(Q, "STREAM_FILES", 2)
+    sf = "/root/testdata/sf0.01"
+    out = Q.q_buffered_shuffle(spark, sf)
+    assert len(list_files(spark, made["shuffled_ck"] + "/commits")) == 6  # 11 files
+    assert sorted(map(tuple, out.collect())) == sorted(map(tuple, Q.documents_pairs(spark, sf).select("row_key", "src", "tgt").collect()))
