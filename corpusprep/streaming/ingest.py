@@ -13,8 +13,13 @@ the state store.
 from __future__ import annotations
 
 import hashlib
+import heapq
 import json
-from collections.abc import Callable
+import pickle
+import sys
+import tempfile
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import pandas as pd
@@ -50,6 +55,11 @@ def stream_take(stream: DataFrame, n: int) -> DataFrame:
     return stream.limit(n)
 
 
+RUN_BYTES = 16 << 20  # of rows that a task of the buffered shuffle sorts in memory at a time
+OUT_ROWS = 500  # that it gives back at a time
+ARROW_ROWS = 500  # of an Arrow batch: Spark's worker holds up to 57 batches of a group that were already read (cells of a tee)
+
+
 def shuffle_stream(stream: DataFrame, buffer_size: int, seed: int = 42, key: str = "row_key", shards: int = 8) -> DataFrame:
     """B1 on a stream: rows leave in the order of a bounded-buffer shuffle (append mode; state in the checkpoint).
 
@@ -57,17 +67,46 @@ def shuffle_stream(stream: DataFrame, buffer_size: int, seed: int = 42, key: str
     share. Every row of a shard takes the place of the buffered row that the hash of (seed, shard, number of rows so far)
     names. Within a micro-batch, rows go by key and content: a restarted query gives the same rows in the
     same places. ``drain_shuffle`` gives what is left in the buffers.
+
+    A task's Python holds its buffer, ``RUN_BYTES`` of rows and Spark's Arrow batches (start the query in ``small_batches``), however
+    large a micro-batch is: a streaming frame can't be sorted by Spark, so the rest of its rows lies in sorted runs in a
+    temp file of the task.
     """
     if buffer_size < 1 or shards < 1:
         raise ValueError("buffer_size and shards must be 1 or more")
-    columns, each = stream.columns, -(-buffer_size // shards)
+    columns, each, run_bytes, out_rows = stream.columns, -(-buffer_size // shards), RUN_BYTES, OUT_ROWS
     place = columns.index(key)
 
+    def keyed_rows(frames):
+        for f in frames:
+            for r in f[columns].to_numpy(object).tolist():
+                yield str(r[place]), json.dumps([None if x is None or x != x else x for x in r], ensure_ascii=False, default=lambda v: v.item())
+
+    def read_run(file, at, end):
+        while at < end:
+            file.seek(at)
+            row = pickle.load(file)
+            at = file.tell()
+            yield row
+
+    def in_order(rows):
+        with tempfile.TemporaryFile() as file:
+            runs, run, size = [], [], 0
+            for row in rows:
+                run.append(row)
+                size += sys.getsizeof(row) + sys.getsizeof(row[0]) + sys.getsizeof(row[1])
+                if size >= run_bytes:
+                    at = file.tell()
+                    for r in sorted(run):
+                        pickle.dump(r, file)
+                    runs.append((at, file.tell()))
+                    run, size = [], 0
+            yield from heapq.merge(*(read_run(file, *r) for r in runs), sorted(run))
+
     def push(shard, frames, state):
         seen, held = state.get if state.exists else (0, [])
         held, out = list(held), []
-        rows = sorted(([r[place], [None if x is None or x != x else x for x in r]] for f in frames for r in f[columns].to_numpy(object).tolist()), key=lambda x: (str(x[0]), str(x[1])))
-        for row in (json.dumps(r, ensure_ascii=False, default=lambda v: v.item()) for _, r in rows):
+        for _, row in in_order(keyed_rows(frames)):
             if len(held) < each:
                 held.append(row)
             else:
@@ -75,14 +114,30 @@ def shuffle_stream(stream: DataFrame, buffer_size: int, seed: int = 42, key: str
                 out.append(held[i])
                 held[i] = row
             seen += 1
+            if len(out) == out_rows:
+                yield pd.DataFrame({"row": out}, dtype=object)
+                out = []
         state.update((seen, held))
         yield pd.DataFrame({"row": out}, dtype=object)
 
-    keyed = stream.withColumn("_shard", F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(shards)).cast("int")).groupBy("_shard")
+    # a string: pandas would take numbers as views of their Arrow batch, and the held batches would stay whole, each with a copy of the state
+    keyed = stream.withColumn("_shard", F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(shards)).cast("string")).groupBy("_shard")
     pushed = keyed.applyInPandasWithState(push, "row string", "seen long, held array<string>", "append", GroupStateTimeout.NoTimeout)
     return _rows_of(pushed, stream.schema)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = ARROW_ROWS) -> Iterator[None]:
+    """Queries started here pass Arrow batches of ``rows`` rows to Python for as long as they run; the session's setting stays."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def _rows_of(json_rows: DataFrame, schema: T.StructType) -> DataFrame:
     """Rows from their JSON arrays."""
     cells = F.from_json("row", "array<string>")

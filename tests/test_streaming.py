@@ -1,10 +1,18 @@
 """Streaming ingest: drains arriving files; a restart from the checkpoint loses and repeats nothing."""
+import hashlib
+import json
+import random
+import tracemalloc
+from types import SimpleNamespace
+
+import pandas as pd
 import pytest
+from pyspark.sql import GroupedData
 from pyspark.sql import functions as F
 
 from corpusprep.config import FilterConfig
 from corpusprep.session import delete_path, path_exists, shared_path
-from corpusprep.streaming.ingest import committed_batches, drain_shuffle, ingested_rows, shuffle_stream, stream_ingest, stream_pairs, stream_take
+from corpusprep.streaming.ingest import committed_batches, drain_shuffle, ingested_rows, shuffle_stream, small_batches, stream_ingest, stream_pairs, stream_take
 
 
 def _write(spark, path, rows):
@@ -126,3 +134,52 @@ def test_buffered_shuffle_takes_bounded_batches(spark, monkeypatch):
     out = Q.q_buffered_shuffle(spark, sf)
     assert len(list_files(spark, made["shuffled_ck"] + "/commits")) == 6  # 11 files
     assert sorted(map(tuple, out.collect())) == sorted(map(tuple, Q.documents_pairs(spark, sf).select("row_key", "src", "tgt").collect()))
+
+
+def test_buffered_shuffle_sorts_in_bounded_memory(spark, monkeypatch):
+    """A task's memory does not grow with its rows of a micro-batch; they leave in the order of a plain sort."""
+    taken, whole = [], GroupedData.applyInPandasWithState
+    monkeypatch.setattr(GroupedData, "applyInPandasWithState", lambda self, f, *a: taken.append(f) or whole(self, f, *a))
+    src = shared_path(spark, "m_in")
+    _write(spark, src, _rows(0, 3))
+    shuffle_stream(stream_pairs(spark, src), 40, seed=5, shards=4)
+
+    def pushed(n):
+        keys = [str(k) for k in range(n)]
+        random.Random(1).shuffle(keys)
+        frames = (pd.DataFrame({"row_key": keys[lo:lo + 100], "src": [f"{k:>9}" * 900 for k in keys[lo:lo + 100]], "tgt": None}) for lo in range(0, n, 100))
+        state, left = SimpleNamespace(exists=False), []
+        state.update = left.append
+        tracemalloc.start()
+        out = [json.loads(r)[0] for f in taken[0](("2",), frames, state) for r in f["row"]]
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        held, gone = [], []
+        for seen, k in enumerate(sorted(keys)):
+            if len(held) < 10:
+                held.append(k)
+            else:
+                i = int(hashlib.md5(f"5:2:{seen}".encode()).hexdigest()[:15], 16) % 10
+                gone.append(held[i])
+                held[i] = k
+        assert out == gone and left[0][0] == n and [json.loads(r)[0] for r in left[0][1]] == held
+        return peak
+
+    assert pushed(16000) < 1.5 * pushed(4000)
+
+
+def test_queries_started_with_small_batches_keep_them(spark):
+    src, out, ck = (shared_path(spark, n) for n in ("a_in", "a_out", "a_ck"))
+    _write(spark, src, _rows(0, 1200))
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+
+    def sizes(key, frames, state):
+        yield pd.DataFrame({"n": [len(f) for f in frames]})
+
+    one = stream_pairs(spark, src).withColumn("k", F.lit("a")).groupBy("k").applyInPandasWithState(sizes, "n long", "n long", "append", "NoTimeout")
+    with small_batches(spark):
+        q = one.writeStream.format("parquet").option("path", out).option("checkpointLocation", ck).trigger(availableNow=True).start()
+    assert spark.conf.get(name) == before
+    q.awaitTermination()
+    assert sorted(r.n for r in spark.read.parquet(out).collect()) == [200, 500, 500]
